@@ -97,3 +97,186 @@ QUERIES: dict[str, Query] = {
     "rolling_last5": q_rolling_last5,
     "features_last5": q_features_last5,
 }
+
+
+# --- reports ----------------------------------------------------------------
+
+from ..operators import anomalies as an  # noqa: E402
+from ..operators import histogram as hist  # noqa: E402
+from ..operators.split import ordered_split  # noqa: E402
+from . import quality as dq  # noqa: E402
+from . import reports as rep  # noqa: E402
+from .model import regression_metrics  # noqa: E402
+
+# Report parameters used by the registered queries.
+REPORT_PLAYER = "Customer#000000605"
+AS_OF = "2001-08-01"
+BATCH_TS = "2024-01-02 00:00:00"
+KEY_COLS = ["SEASON", "GAME_ID", "PLAYER_ID"]
+
+
+def _features(spark, sf):
+    return feat.player_features(_silver(spark, sf))
+
+
+def q_player_list(spark, sf):
+    return rep.player_list(_features(spark, sf))
+
+
+def q_recent_games(spark, sf):
+    return rep.recent_games(_features(spark, sf), REPORT_PLAYER)
+
+
+def q_trend_series(spark, sf):
+    return rep.trend_series(rep.recent_games(_features(spark, sf), REPORT_PLAYER))
+
+
+def events_run_log(spark, sf):
+    """The events table read as a run log."""
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    return ev.select(F.col("event_id").cast("string").alias("run_id"),
+                     F.col("event_type").alias("layer"),
+                     F.col("user_id").cast("int").alias("rows_processed"),
+                     F.lit("success").alias("status"),
+                     F.col("value").alias("runtime_seconds"),
+                     F.lit(None).cast("string").alias("error_message"),
+                     F.col("ts").alias("executed_at"))
+
+
+def q_recent_runs(spark, sf):
+    return rep.recent_runs(events_run_log(spark, sf)).withColumn(
+        "executed_at", F.col("executed_at").cast("string"))
+
+
+# --- anomalies and model scoring (deterministic predictor: PTS_LAST5) -----
+
+ANOM_TIES = ["SEASON", "GAME_ID", "PLAYER_ID"]
+
+
+def _anomalies(spark, sf):
+    f5 = feat.features_last5(_raw(spark, sf))
+    return an.compute_anomalies(f5, "PTS", "PTS_LAST5", ANOM_TIES)
+
+
+def q_anomalies(spark, sf):
+    return _anomalies(spark, sf).withColumn("RESIDUAL_ZSCORE", F.round("RESIDUAL_ZSCORE", 6))
+
+
+def q_residual_zscore(spark, sf):
+    return _anomalies(spark, sf).select(*ANOM_TIES, "RESIDUAL",
+                                        F.round("RESIDUAL_ZSCORE", 6).alias("RESIDUAL_ZSCORE"))
+
+
+def q_anomaly_label(spark, sf):
+    f5 = feat.features_last5(_raw(spark, sf))
+    return an.with_label(an.with_residual(f5, "PTS", "PTS_LAST5")).select(
+        *ANOM_TIES, "RESIDUAL", "ANOMALY_TYPE")
+
+
+def q_residual_stats(spark, sf):
+    f5 = feat.features_last5(_raw(spark, sf))
+    st = an.residual_stats(an.with_residual(f5, "PTS", "PTS_LAST5"))
+    return st.select("n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+def q_top_anomalies(spark, sf):
+    return an.top_anomalies(_anomalies(spark, sf), 20, ANOM_TIES).select(
+        *ANOM_TIES, "PLAYER_NAME", "ABS_RESIDUAL", "ANOMALY_TYPE")
+
+
+def q_residual_histogram(spark, sf):
+    f5 = feat.features_last5(_raw(spark, sf))
+    return hist.histogram(an.with_residual(f5, "PTS", "PTS_LAST5"), "RESIDUAL", 40)
+
+
+def q_residual_kde(spark, sf):
+    f5 = feat.features_last5(_raw(spark, sf))
+    return hist.kde(an.with_residual(f5, "PTS", "PTS_LAST5"), "RESIDUAL")
+
+
+def q_pred_actual_grid(spark, sf):
+    f5 = feat.features_last5(_raw(spark, sf))
+    return hist.grid_counts(f5, "PTS_LAST5", "PTS", 20)
+
+
+def q_ordered_split(spark, sf):
+    f5 = feat.features_last5(_raw(spark, sf))
+    return ordered_split(f5, ["PLAYER_NAME", "GAME_DATE", "GAME_ID"], 0.2).select(
+        *ANOM_TIES, "SPLIT")
+
+
+def q_regression_metrics(spark, sf):
+    f5 = feat.features_last5(_raw(spark, sf))
+    test = ordered_split(f5, ["PLAYER_NAME", "GAME_DATE", "GAME_ID"], 0.2).where(
+        F.col("SPLIT") == "test")
+    m = regression_metrics(test, "PTS_NEXT_GAME", "PTS_LAST5")
+    return m.select("n", F.round("mae", 6).alias("mae"), F.round("r2", 6).alias("r2"))
+
+
+# --- data quality and layer counts -------------------------------------------
+
+def _checks(spark, sf):
+    s = _silver(spark, sf)
+    return dq.run_checks(dq.warehouse_checks(s, feat.player_features(s)))
+
+
+def q_dq_report(spark, sf):
+    return _checks(spark, sf)
+
+
+def q_dq_has_rows(spark, sf):
+    s = _silver(spark, sf)
+    f = feat.player_features(s)
+    return dq.run_checks([dq.Check("gold.player_features has rows", f, dq.has_rows(),
+                                   lambda v: v > 0)])
+
+
+def q_dq_null_keys(spark, sf):
+    s = _silver(spark, sf)
+    return dq.run_checks([dq.Check("silver keys not null", s,
+                                   dq.null_keys(["season", "game_id", "player_id"]),
+                                   lambda v: v == 0)])
+
+
+def q_dq_rank_range(spark, sf):
+    f = feat.player_features(_silver(spark, sf))
+    return dq.run_checks([dq.Check(f"{c} within 1..30", f, dq.out_of_range(c), lambda v: v == 0)
+                          for c in ["opp_pts_allowed_rank", "opp_reb_allowed_rank",
+                                    "opp_ast_allowed_rank"]])
+
+
+def q_layer_counts(spark, sf):
+    b = game_log(spark, sf)
+    s = silver(b)
+    allowed = opponent_allowed(s)
+    parts = [("bronze", b), ("silver", s), ("opponent_allowed", allowed),
+             ("opponent_ranks", opponent_ranks(allowed)),
+             ("player_features", feat.player_features(s))]
+    out = None
+    for name, df in parts:
+        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("layer"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+QUERIES.update({
+    "player_list": q_player_list,
+    "recent_games": q_recent_games,
+    "trend_series": q_trend_series,
+    "recent_runs": q_recent_runs,
+    "anomalies": q_anomalies,
+    "residual_zscore": q_residual_zscore,
+    "anomaly_label": q_anomaly_label,
+    "residual_stats": q_residual_stats,
+    "top_anomalies": q_top_anomalies,
+    "residual_histogram": q_residual_histogram,
+    "residual_kde": q_residual_kde,
+    "pred_actual_grid": q_pred_actual_grid,
+    "ordered_split": q_ordered_split,
+    "regression_metrics": q_regression_metrics,
+    "dq_report": q_dq_report,
+    "dq_has_rows": q_dq_has_rows,
+    "dq_null_keys": q_dq_null_keys,
+    "dq_rank_range": q_dq_rank_range,
+    "layer_counts": q_layer_counts,
+})

@@ -23,6 +23,8 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # partition folder values stay text ("0022400001", "2024-25")
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
