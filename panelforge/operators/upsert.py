@@ -86,19 +86,26 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     return j.select(*out)
 
 
-def create_like(spark: SparkSession, path: str, like: DataFrame,
-                partition_col: str | None = "SEASON") -> bool:
+def create_like(spark: SparkSession, path: str, like: DataFrame) -> bool:
     """Create an empty table at ``path`` with ``like``'s schema unless one
-    exists.  Returns True when created."""
-    if path_exists(spark, path):
+    exists (``CREATE TABLE IF NOT EXISTS ... AS SELECT ... WHERE 1=0``).
+
+    The schema is kept as an empty Parquet file in ``<path>/_schema`` (Spark
+    readers skip folders starting with '_'), so an empty partitioned table
+    still has a schema.  Returns True when created."""
+    if path_exists(spark, f"{path}/_schema"):
         return False
-    w = like.limit(0).write.mode("overwrite")
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
+    like.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/_schema")
     return True
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Scan a table made by :func:`create_like` / :func:`upsert_table` with
+    its recorded schema (partition folder values keep the recorded type)."""
+    schema = spark.read.parquet(f"{path}/_schema").schema
+    return spark.read.schema(schema).parquet(path)
+
+
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str] | None = DEFAULT_UPDATE,
                  partition_col: str = "SEASON") -> DataFrame:
@@ -113,15 +120,14 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     """
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
-    create_like(spark, path, batch, partition_col)
-    target = spark.read.parquet(path)
-    target = target.select(*batch.columns) if set(batch.columns) <= set(target.columns) else target
+    create_like(spark, path, batch)
+    target = read_table(spark, path).select(*batch.columns)
     touched = batch.select(partition_col).distinct()
     target_part = join_small(target, touched, partition_col, "left_semi")
     merged = upsert(target_part, batch, keys, update_cols)
     stage = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.parquet(stage).select(*merged.columns)
+    staged = spark.read.schema(merged.schema).parquet(stage).select(*merged.columns)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-    return spark.read.parquet(path)
+    return read_table(spark, path).select(*merged.columns)

@@ -280,3 +280,243 @@ QUERIES.update({
     "dq_rank_range": q_dq_rank_range,
     "layer_counts": q_layer_counts,
 })
+
+
+# --- ingestion, upsert, sinks (each writes to a fresh folder in the shared
+# checkpoint location and returns what it reads back) -------------------------
+
+from ..operators import upsert as ups  # noqa: E402
+from ..schemas import BRONZE_TEXT_SCHEMA  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import ingest  # noqa: E402
+from ..sources.fixtures import FIXTURE_INGESTED_AT  # noqa: E402
+
+FEED_SCHEMA = type(BRONZE_TEXT_SCHEMA)(
+    [f for f in BRONZE_TEXT_SCHEMA.fields if f.name not in ("SEASON", "INGESTED_AT")])
+BRONZE_COLS = [f.name for f in BRONZE_TEXT_SCHEMA.fields]
+# Fixed value: a season requested but never landed.
+MISSING_SEASON = "1900"
+
+
+def landing_seasons(spark, root):
+    """Season folders present under a landing root (a file listing)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("SEASON="))
+
+
+def _landing(spark, sf, fmt="parquet"):
+    root = scratch_path(spark, "landing")
+    ingest.write_landing(game_log(spark, sf), root, fmt=fmt)
+    return root
+
+
+def q_bronze_read(spark, sf):
+    root = _landing(spark, sf)
+    frames = [ingest.read_season(spark, root, s, FEED_SCHEMA, batch_ts=FIXTURE_INGESTED_AT)
+              for s in landing_seasons(spark, root)]
+    return ingest.union_by_name(frames).select(*BRONZE_COLS)
+
+
+def q_multi_season_union(spark, sf):
+    root = _landing(spark, sf)
+    seasons = landing_seasons(spark, root)
+    frames = []
+    for s in seasons:
+        df = ingest.read_season(spark, root, s, FEED_SCHEMA, batch_ts=FIXTURE_INGESTED_AT)
+        # the oldest season's feed has no TOV column
+        frames.append(df.drop("TOV") if s == seasons[0] else df)
+    return ingest.union_by_name(frames)
+
+
+def _all_seasons(spark, sf):
+    root = _landing(spark, sf)
+    return ingest.read_seasons(spark, root, landing_seasons(spark, root), FEED_SCHEMA,
+                               batch_ts=FIXTURE_INGESTED_AT).select(*BRONZE_COLS)
+
+
+def q_incremental_window(spark, sf):
+    return ingest.incremental(_all_seasons(spark, sf), AS_OF, 14)
+
+
+def q_full_refresh(spark, sf):
+    return ingest.incremental(_all_seasons(spark, sf), AS_OF, 14, full_refresh=True)
+
+
+def _isolated(spark, sf):
+    root = _landing(spark, sf)
+    seasons = landing_seasons(spark, root) + [MISSING_SEASON]
+    return seasons, ingest.isolated_load(spark, root, seasons, FEED_SCHEMA,
+                                         batch_ts=FIXTURE_INGESTED_AT)
+
+
+def q_isolated_load(spark, sf):
+    _, res = _isolated(spark, sf)
+    return res.frame.select(*BRONZE_COLS)
+
+
+def q_bronze_status(spark, sf):
+    seasons, res = _isolated(spark, sf)
+    status, msg = ingest.bronze_status(seasons, res.failed)
+    return res.frame.agg(F.count(F.lit(1)).alias("rows_processed")).select(
+        F.lit(status).alias("status"), "rows_processed",
+        F.lit(msg).cast("string").alias("error_message"))
+
+
+def q_create_like(spark, sf):
+    path = scratch_path(spark, "bronze-like")
+    ups.create_like(spark, path, game_log(spark, sf))
+    ups.create_like(spark, path, game_log(spark, sf))  # second call: no-op
+    return ups.read_table(spark, path)
+
+
+def upsert_inputs(spark, sf):
+    """Target: keys with orderkey % 10 < 8; batch: % 10 >= 6, points + 1 and
+    a later ingestion time (FIXTURES.md §3): 3,000 overlapping keys at sf0.01."""
+    gl = game_log(spark, sf)
+    k = F.col("GAME_ID").cast("bigint") % 10
+    target = gl.where(k < 8)
+    batch = gl.where(k >= 6).withColumn(
+        "PTS", (F.col("PTS").cast("bigint") + 1).cast("string")).withColumn(
+        "INGESTED_AT", F.lit(BATCH_TS))
+    return target, batch
+
+
+def q_duplicate_keys(spark, sf):
+    target, batch = upsert_inputs(spark, sf)
+    return ups.duplicate_keys(target.unionByName(batch), KEY_COLS)
+
+
+def q_upsert(spark, sf):
+    target, batch = upsert_inputs(spark, sf)
+    return ups.upsert(target, batch, KEY_COLS)
+
+
+def q_upsert_all_columns(spark, sf):
+    target, batch = upsert_inputs(spark, sf)
+    return ups.upsert(target, batch, KEY_COLS, update_cols=None)
+
+
+def q_upsert_table(spark, sf):
+    target, batch = upsert_inputs(spark, sf)
+    path = scratch_path(spark, "bronze")
+    ups.upsert_table(spark, path, target, KEY_COLS)
+    return ups.upsert_table(spark, path, batch, KEY_COLS)
+
+
+def q_stream_upsert(spark, sf):
+    from ..streaming.stream_upsert import stream_upsert
+    root = _landing(spark, sf)
+    schema = type(FEED_SCHEMA)(list(FEED_SCHEMA.fields)
+                               + [f for f in BRONZE_TEXT_SCHEMA.fields if f.name == "SEASON"])
+    out = stream_upsert(spark, root, schema, scratch_path(spark, "bronze-stream"), KEY_COLS,
+                        batch_ts=FIXTURE_INGESTED_AT, max_files_per_trigger=4)
+    return out.select(*BRONZE_COLS)
+
+
+def q_overwrite_roundtrip(spark, sf):
+    gl = game_log(spark, sf)
+    path = scratch_path(spark, "game_logs")
+    ingest.roundtrip(gl, path)  # first load
+    return ingest.roundtrip(gl, path)  # replace
+
+
+def q_csv_roundtrip(spark, sf):
+    return ingest.roundtrip(game_log(spark, sf), scratch_path(spark, "csv"), "csv",
+                            BRONZE_TEXT_SCHEMA)
+
+
+def q_catalog_exists(spark, sf):
+    s = _silver(spark, sf)
+    allowed = opponent_allowed(s)
+    views = {"silver_player_game_logs": s, "gold_opponent_allowed": allowed,
+             "gold_opponent_ranks": opponent_ranks(allowed),
+             "gold_player_features": feat.player_features(s)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    out = None
+    # the misspelled name is looked up on purpose: it does not exist
+    for name in ["gold_opponents_ranks", "gold_opponent_ranks", "gold_player_features"]:
+        if spark.catalog.tableExists(name):
+            one = spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("table_name"), F.lit(True).alias("present"), "rows")
+        else:
+            one = s.agg(F.lit(0).cast("bigint").alias("rows")).select(
+                F.lit(name).alias("table_name"), F.lit(False).alias("present"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_run_log_append(spark, sf):
+    from .runlog import RunLog, run_layer
+    log = RunLog(spark, scratch_path(spark, "run_log"))
+    log.create()
+    b = game_log(spark, sf)
+    with run_layer(log, "bronze", "run-bronze") as h:
+        h.rows = b.count()
+    s = silver(b)
+    with run_layer(log, "silver", "run-silver") as h:
+        h.rows = s.count()
+    with run_layer(log, "gold", "run-gold") as h:
+        h.rows = opponent_ranks(opponent_allowed(s)).count() + feat.player_features(s).count()
+    try:
+        with run_layer(log, "quality", "run-quality"):
+            raise RuntimeError("x" * 3000)  # an over-long error text is cut to 2000
+    except RuntimeError:
+        pass
+    return log.read().select("run_id", "layer", "rows_processed", "status",
+                             F.length("error_message").alias("error_length"))
+
+
+# --- model (Spark ML); predictions are not bit-comparable: rows-only -------
+
+def _trained(spark, sf):
+    from .model import train_model
+    f5 = feat.features_last5(_raw(spark, sf))
+    return train_model(f5, num_trees=20, max_depth=8)
+
+
+def q_rf_predict(spark, sf):
+    _, preds, _ = _trained(spark, sf)
+    return preds.select(*ANOM_TIES, "PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME")
+
+
+def q_model_roundtrip(spark, sf):
+    from .model import load_model, save_artifacts
+    model, preds, cols = _trained(spark, sf)
+    paths = save_artifacts(model, preds, cols, scratch_path(spark, "model"))
+    loaded = load_model(paths["model"])
+    test = spark.read.parquet(paths["preds"]).drop("PRED_PTS_NEXT_GAME")
+    from .model import _features
+    data = _features(test, cols, "sentinel", -1.0)
+    return loaded.transform(data).select(*ANOM_TIES, "PRED_PTS_NEXT_GAME")
+
+
+def q_ml_job(spark, sf):
+    from .jobs import ml_job
+    return ml_job(_raw(spark, sf)).select(*ANOM_TIES, "RESIDUAL", "ANOMALY_TYPE")
+
+
+QUERIES.update({
+    "bronze_read": q_bronze_read,
+    "multi_season_union": q_multi_season_union,
+    "incremental_window": q_incremental_window,
+    "full_refresh": q_full_refresh,
+    "isolated_load": q_isolated_load,
+    "bronze_status": q_bronze_status,
+    "create_like": q_create_like,
+    "duplicate_keys": q_duplicate_keys,
+    "upsert": q_upsert,
+    "upsert_all_columns": q_upsert_all_columns,
+    "upsert_table": q_upsert_table,
+    "stream_upsert": q_stream_upsert,
+    "overwrite_roundtrip": q_overwrite_roundtrip,
+    "csv_roundtrip": q_csv_roundtrip,
+    "catalog_exists": q_catalog_exists,
+    "run_log_append": q_run_log_append,
+    "rf_predict": q_rf_predict,
+    "model_roundtrip": q_model_roundtrip,
+    "ml_job": q_ml_job,
+})

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.upsert import DEFAULT_UPDATE, upsert_table
+from ..operators.upsert import DEFAULT_UPDATE, read_table, upsert_table
 from ..session import scratch_path
 
 
@@ -46,4 +46,4 @@ def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, targe
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(target).select(*cols)
+    return read_table(spark, target).select(*cols)
