@@ -24,6 +24,11 @@ is joined back on the position.
 ``"window"``: Spark's Window operator.  One shuffle on the entity, but a hot
 entity's whole history is buffered by one task; fine only for entities of
 bounded size.
+
+``"auto"`` (default): one partial-aggregate pass measures the largest entity
+(:func:`has_hot_entity`).  When no entity exceeds its fair share of a shuffle
+partition (and a floor of ``HOT_FLOOR_ROWS``), the Window plan runs with a
+proven bound on every task's buffer; otherwise the positions plan.
 """
 
 from __future__ import annotations
@@ -33,9 +38,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .positions import with_position
 
 POS = "_pf_pos"
+# An entity with fewer rows than this is never treated as hot.
+HOT_FLOOR_ROWS = 100_000
+
+
+def has_hot_entity(df: DataFrame, partition_by: Sequence[str],
+                   num_partitions: int | None = None,
+                   floor_rows: int = HOT_FLOOR_ROWS) -> bool:
+    """True when one entity holds more rows than an even share of a shuffle
+    partition (total / partitions) and more than ``floor_rows``.  A partial
+    + final aggregate of counts; only two numbers reach the driver."""
+    counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_pf_n"))
+    st = counts.agg(F.max("_pf_n").alias("mx"), F.sum("_pf_n").alias("tot")).first()
+    if st["mx"] is None:
+        return False
+    parts = num_partitions or shuffle_partitions(df.sparkSession)
+    return st["mx"] > max(st["tot"] / max(parts, 1), floor_rows)
+
+
+def resolve_strategy(df: DataFrame, partition_by: Sequence[str], strategy: str,
+                     num_partitions: int | None = None) -> str:
+    if strategy == "auto":
+        return "positions" if has_hot_entity(df, partition_by, num_partitions) else "window"
+    if strategy not in ("positions", "window"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return strategy
 
 
 def _order_cols(partition_by, order_by):
@@ -45,7 +76,7 @@ def _order_cols(partition_by, order_by):
 def rolling_features(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                      means: Sequence[tuple[str, str, int]] = (),
                      leads: Sequence[tuple[str, str, int]] = (),
-                     strategy: str = "positions",
+                     strategy: str = "auto",
                      num_partitions: int | None = None) -> DataFrame:
     """Add trailing means and lead values.
 
@@ -59,10 +90,9 @@ def rolling_features(df: DataFrame, partition_by: Sequence[str], order_by: Seque
     for _, _, k in leads:
         if k < 1:
             raise ValueError("lead offset must be >= 1")
+    strategy = resolve_strategy(df, partition_by, strategy, num_partitions)
     if strategy == "window":
         return _with_window(df, partition_by, order_by, means, leads)
-    if strategy != "positions":
-        raise ValueError(f"unknown strategy {strategy!r}")
     return _with_positions(df, partition_by, order_by, means, leads, num_partitions)
 
 
@@ -78,8 +108,26 @@ def _with_window(df, partition_by, order_by, means, leads):
 
 
 def _with_positions(df, partition_by, order_by, means, leads, num_partitions):
-    positioned = with_position(df, _order_cols(partition_by, order_by), POS,
-                               num_partitions)
+    positioned = position_rows(df, partition_by, order_by, num_partitions)
+    return rolling_over_positions(positioned, partition_by, means, leads)
+
+
+def position_rows(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
+                  num_partitions: int | None = None) -> DataFrame:
+    """Materialise ``df`` with a dense position in (partition_by, order_by)
+    order (column ``POS``).  Callers that need other aggregates of the same
+    rows should compute them from this frame: it is a scan of a written
+    table, so the upstream plan runs once."""
+    return with_position(df, _order_cols(partition_by, order_by), POS, num_partitions)
+
+
+def rolling_over_positions(positioned: DataFrame, partition_by: Sequence[str],
+                           means: Sequence[tuple[str, str, int]] = (),
+                           leads: Sequence[tuple[str, str, int]] = (),
+                           keep_pos: bool = False) -> DataFrame:
+    """Trailing means / leads over rows carrying ``POS`` from
+    :func:`position_rows`."""
+    partition_by = list(partition_by)
     inputs = sorted({c for _, c, _ in means} | {c for _, c, _ in leads})
     shifts = sorted({d for _, _, n in means for d in range(n)}
                     | {-k for _, _, k in leads} | {0})
@@ -100,4 +148,5 @@ def _with_positions(df, partition_by, order_by, means, leads, num_partitions):
                 .where(F.col("_pf_self") == 1)
                 .select(F.col("_pf_t").alias(POS),
                         *[out for out, _, _ in means], *[out for out, _, _ in leads]))
-    return positioned.join(features, POS).drop(POS)
+    out = positioned.join(features, POS)
+    return out if keep_pos else out.drop(POS)

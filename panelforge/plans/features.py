@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.expressions import nan_to_null, opponent_last_token
 from ..operators.joins import join_small
 from ..operators.opponents import opponent_allowed, opponent_defense, opponent_ranks
-from ..operators.rolling import rolling_features
+from ..operators.rolling import (position_rows, resolve_strategy, rolling_features,
+                                 rolling_over_positions)
 from ..schemas import PLAYER_FEATURE_COLS
 
 W_MEANS = [("pts_last3", "pts", 3), ("reb_last3", "reb", 3),
@@ -29,20 +30,27 @@ L_MEASURES = ["PTS", "REB", "AST", "MIN"]
 L_ORDER = ["GAME_DATE", "GAME_ID", "SEASON"]
 
 
-def rolling_last3(silver: DataFrame, strategy: str = "positions") -> DataFrame:
+def rolling_last3(silver: DataFrame, strategy: str = "auto") -> DataFrame:
     """Silver rows plus the four 3-row means and the next-game target."""
     return rolling_features(silver, ["player_id"], W_ORDER, W_MEANS, W_LEADS, strategy)
 
 
-def player_features(silver: DataFrame, strategy: str = "positions",
+def player_features(silver: DataFrame, strategy: str = "auto",
                     window: int = 3) -> DataFrame:
     """gold.player_features (19 columns)."""
-    ranks = opponent_ranks(opponent_allowed(silver))
+    strategy = resolve_strategy(silver, ["player_id"], strategy)
     means = [(o.replace("last3", f"last{window}") if window != 3 else o, c, window)
              for o, c, _ in W_MEANS]
     base = silver.select("season", "game_id", "game_date", "player_id", "player_name",
                          "team", "opponent_team", "minutes", "pts", "reb", "ast")
-    rolled = rolling_features(base, ["player_id"], W_ORDER, means, W_LEADS, strategy)
+    if strategy == "positions":
+        # one materialisation of the rows; ranks and windows both scan it
+        base = position_rows(base, ["player_id"], W_ORDER)
+        ranks = opponent_ranks(opponent_allowed(base))
+        rolled = rolling_over_positions(base, ["player_id"], means, W_LEADS)
+    else:
+        ranks = opponent_ranks(opponent_allowed(silver))
+        rolled = rolling_features(base, ["player_id"], W_ORDER, means, W_LEADS, strategy)
     r = ranks.select(F.col("season").alias("_r_season"), F.col("team").alias("_r_team"),
                      "opp_pts_allowed_rank", "opp_reb_allowed_rank", "opp_ast_allowed_rank")
     cond = (rolled.season == r._r_season) & (rolled.opponent_team == r._r_team)
@@ -58,23 +66,32 @@ def with_opponent(raw: DataFrame) -> DataFrame:
             .withColumn("OPPONENT_TEAM", opponent_last_token("MATCHUP")))
 
 
-def opponent_def_features(raw: DataFrame) -> DataFrame:
-    """Raw rows left-joined with the opponent averages and ranks."""
-    df = with_opponent(raw)
+def _join_defense(df: DataFrame) -> DataFrame:
     defense = opponent_defense(df)
     joined = join_small(df, defense, ["SEASON", "OPPONENT_TEAM"], "left")
     extra = [c for c in defense.columns if c not in ("SEASON", "OPPONENT_TEAM")]
     return joined.select(*df.columns, *extra)
 
 
-def features_last5(raw: DataFrame, strategy: str = "positions", window: int = 5) -> DataFrame:
+def opponent_def_features(raw: DataFrame) -> DataFrame:
+    """Raw rows left-joined with the opponent averages and ranks."""
+    return _join_defense(with_opponent(raw))
+
+
+def features_last5(raw: DataFrame, strategy: str = "auto", window: int = 5) -> DataFrame:
     """features.csv of the older pipeline."""
+    strategy = resolve_strategy(raw, ["PLAYER_NAME"], strategy)
     df = raw.select(*[nan_to_null(c).alias(c) if c in L_MEASURES else F.col(c)
                       for c in raw.columns])
-    df = opponent_def_features(df)
+    df = with_opponent(df)
     means = [(f"{m}_LAST{window}", m, window) for m in L_MEASURES]
-    df = rolling_features(df, ["PLAYER_NAME"], L_ORDER, means,
-                          [("PTS_NEXT_GAME", "PTS", 1)], strategy)
+    leads = [("PTS_NEXT_GAME", "PTS", 1)]
+    if strategy == "positions":
+        # one materialisation; the opponent averages and the windows scan it
+        df = position_rows(df, ["PLAYER_NAME"], L_ORDER)
+        df = rolling_over_positions(_join_defense(df), ["PLAYER_NAME"], means, leads)
+    else:
+        df = rolling_features(_join_defense(df), ["PLAYER_NAME"], L_ORDER, means, leads, strategy)
     pra = (F.col(f"PTS_LAST{window}") + F.col(f"REB_LAST{window}")
            + F.col(f"AST_LAST{window}")).alias(f"PRA_LAST{window}")
     ordered = [c for c in df.columns if c != "PTS_NEXT_GAME"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import opponent_last_token, opponent_split_part
 from ..operators.opponents import opponent_allowed, opponent_defense, opponent_ranks
-from ..sources.fixtures import game_log, typed_raw
+from ..sources.fixtures import bronze_log, typed_raw
 from . import features as feat
 from .silver import silver
 
@@ -19,11 +19,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _silver(spark, sf):
-    return silver(game_log(spark, sf))
+    return silver(bronze_log(spark, sf))
 
 
 def _raw(spark, sf):
-    return typed_raw(game_log(spark, sf))
+    return typed_raw(bronze_log(spark, sf))
 
 
 def q_silver_logs(spark, sf):
@@ -44,12 +44,12 @@ def q_player_features(spark, sf):
 
 
 def q_opponent_split_part(spark, sf):
-    return game_log(spark, sf).select("SEASON", "GAME_ID", "PLAYER_ID", "MATCHUP",
+    return bronze_log(spark, sf).select("SEASON", "GAME_ID", "PLAYER_ID", "MATCHUP",
                                       opponent_split_part("MATCHUP").alias("opponent_team"))
 
 
 def q_opponent_last_token(spark, sf):
-    return game_log(spark, sf).select("SEASON", "GAME_ID", "PLAYER_ID", "MATCHUP",
+    return bronze_log(spark, sf).select("SEASON", "GAME_ID", "PLAYER_ID", "MATCHUP",
                                       opponent_last_token("MATCHUP").alias("OPPONENT_TEAM"))
 
 
@@ -246,7 +246,7 @@ def q_dq_rank_range(spark, sf):
 
 
 def q_layer_counts(spark, sf):
-    b = game_log(spark, sf)
+    b = bronze_log(spark, sf)
     s = silver(b)
     allowed = opponent_allowed(s)
     parts = [("bronze", b), ("silver", s), ("opponent_allowed", allowed),
@@ -309,7 +309,7 @@ def landing_seasons(spark, root):
 
 def _landing(spark, sf, fmt="parquet"):
     root = scratch_path(spark, "landing")
-    ingest.write_landing(game_log(spark, sf), root, fmt=fmt)
+    ingest.write_landing(bronze_log(spark, sf), root, fmt=fmt)
     return root
 
 
@@ -367,15 +367,15 @@ def q_bronze_status(spark, sf):
 
 def q_create_like(spark, sf):
     path = scratch_path(spark, "bronze-like")
-    ups.create_like(spark, path, game_log(spark, sf))
-    ups.create_like(spark, path, game_log(spark, sf))  # second call: no-op
+    ups.create_like(spark, path, bronze_log(spark, sf))
+    ups.create_like(spark, path, bronze_log(spark, sf))  # second call: no-op
     return ups.read_table(spark, path)
 
 
 def upsert_inputs(spark, sf):
     """Target: keys with orderkey % 10 < 8; batch: % 10 >= 6, points + 1 and
     a later ingestion time (FIXTURES.md §3): 3,000 overlapping keys at sf0.01."""
-    gl = game_log(spark, sf)
+    gl = bronze_log(spark, sf)
     k = F.col("GAME_ID").cast("bigint") % 10
     target = gl.where(k < 8)
     batch = gl.where(k >= 6).withColumn(
@@ -408,23 +408,25 @@ def q_upsert_table(spark, sf):
 
 def q_stream_upsert(spark, sf):
     from ..streaming.stream_upsert import stream_upsert
-    root = _landing(spark, sf)
+    # one landed file per season (a daily fetch drops one file per season)
+    root = scratch_path(spark, "landing")
+    ingest.write_landing(bronze_log(spark, sf).repartition("SEASON"), root)
     schema = type(FEED_SCHEMA)(list(FEED_SCHEMA.fields)
                                + [f for f in BRONZE_TEXT_SCHEMA.fields if f.name == "SEASON"])
     out = stream_upsert(spark, root, schema, scratch_path(spark, "bronze-stream"), KEY_COLS,
-                        batch_ts=FIXTURE_INGESTED_AT, max_files_per_trigger=4)
+                        batch_ts=FIXTURE_INGESTED_AT, max_files_per_trigger=3)
     return out.select(*BRONZE_COLS)
 
 
 def q_overwrite_roundtrip(spark, sf):
-    gl = game_log(spark, sf)
+    gl = bronze_log(spark, sf)
     path = scratch_path(spark, "game_logs")
     ingest.roundtrip(gl, path)  # first load
     return ingest.roundtrip(gl, path)  # replace
 
 
 def q_csv_roundtrip(spark, sf):
-    return ingest.roundtrip(game_log(spark, sf), scratch_path(spark, "csv"), "csv",
+    return ingest.roundtrip(bronze_log(spark, sf), scratch_path(spark, "csv"), "csv",
                             BRONZE_TEXT_SCHEMA)
 
 
@@ -453,7 +455,7 @@ def q_run_log_append(spark, sf):
     from .runlog import RunLog, run_layer
     log = RunLog(spark, scratch_path(spark, "run_log"))
     log.create()
-    b = game_log(spark, sf)
+    b = bronze_log(spark, sf)
     with run_layer(log, "bronze", "run-bronze") as h:
         h.rows = b.count()
     s = silver(b)
@@ -520,3 +522,20 @@ QUERIES.update({
     "model_roundtrip": q_model_roundtrip,
     "ml_job": q_ml_job,
 })
+
+
+# --- the skew-safe plan forced (the automatic choice picks the Window plan
+# when no entity is hot); same results, checked against the same oracle ----
+
+def q_player_features_skew_safe(spark, sf):
+    return feat.player_features(_silver(spark, sf), strategy="positions")
+
+
+def q_features_last5_skew_safe(spark, sf):
+    return feat.features_last5(_raw(spark, sf), strategy="positions")
+
+
+QUERIES.update({
+    "player_features_skew_safe": q_player_features_skew_safe,
+    "features_last5_skew_safe": q_features_last5_skew_safe,
+})

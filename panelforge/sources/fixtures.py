@@ -90,3 +90,21 @@ def typed_raw(bronze: DataFrame) -> DataFrame:
     from ..schemas import MEASURE_COLS
     return bronze.select(*[F.col(c).cast("double").alias(c) if c in MEASURE_COLS else F.col(c)
                            for c in bronze.columns])
+
+
+_BRONZE_CACHE: dict[tuple[str, str], str] = {}
+
+
+def bronze_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The game log stored as a bronze table, the way the warehouse keeps
+    it: derived from the test tables once per application and data folder,
+    written as Parquet to the shared checkpoint folder, then scanned.  Later
+    layers (silver, gold, reports) are computed from this table."""
+    from ..session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _BRONZE_CACHE.get(key)
+    if path is None:
+        path = scratch_path(spark, "bronze-gl")
+        game_log(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _BRONZE_CACHE[key] = path
+    return spark.read.parquet(path)

@@ -53,6 +53,7 @@ def test_entry_contract(spark):
     assert set(orc) <= set(qs)
     rows_only = set(qs) - set(orc)
     assert rows_only == {"rf_predict", "model_roundtrip", "ml_job"}
+    assert {"player_features_skew_safe", "features_last5_skew_safe"} <= set(orc)
 
 
 @pytest.mark.parametrize("key", ["player_features", "features_last5", "upsert", "dq_report",
