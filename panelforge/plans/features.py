@@ -36,13 +36,29 @@ def rolling_last3(silver: DataFrame, strategy: str = "auto") -> DataFrame:
 
 
 def player_features(silver: DataFrame, strategy: str = "auto",
-                    window: int = 3) -> DataFrame:
-    """gold.player_features (19 columns)."""
+                    window: int = 3, only_players: DataFrame | None = None) -> DataFrame:
+    """gold.player_features (19 columns).
+
+    ``only_players`` (a frame with a ``player_id`` column) restricts the
+    rows whose windows are computed - all of each chosen player's rows, so
+    the windows are unchanged - while the opponent ranks still use every
+    row.  A name filter cannot be pushed below the per-player window by the
+    optimizer; resolving names to ids first and semi-joining does that."""
     strategy = resolve_strategy(silver, ["player_id"], strategy)
     means = [(o.replace("last3", f"last{window}") if window != 3 else o, c, window)
              for o, c, _ in W_MEANS]
     base = silver.select("season", "game_id", "game_date", "player_id", "player_name",
                          "team", "opponent_team", "minutes", "pts", "reb", "ast")
+    if only_players is not None:
+        ranks_src = silver
+        base = join_small(base, only_players.select("player_id").distinct(), "player_id",
+                          "left_semi")
+        if strategy == "positions":
+            base = position_rows(base, ["player_id"], W_ORDER)
+            rolled = rolling_over_positions(base, ["player_id"], means, W_LEADS)
+        else:
+            rolled = rolling_features(base, ["player_id"], W_ORDER, means, W_LEADS, "window")
+        return _join_ranks(rolled, opponent_ranks(opponent_allowed(ranks_src)), window)
     if strategy == "positions":
         # one materialisation of the rows; ranks and windows both scan it
         base = position_rows(base, ["player_id"], W_ORDER)
@@ -51,6 +67,10 @@ def player_features(silver: DataFrame, strategy: str = "auto",
     else:
         ranks = opponent_ranks(opponent_allowed(silver))
         rolled = rolling_features(base, ["player_id"], W_ORDER, means, W_LEADS, strategy)
+    return _join_ranks(rolled, ranks, window)
+
+
+def _join_ranks(rolled: DataFrame, ranks: DataFrame, window: int) -> DataFrame:
     r = ranks.select(F.col("season").alias("_r_season"), F.col("team").alias("_r_team"),
                      "opp_pts_allowed_rank", "opp_reb_allowed_rank", "opp_ast_allowed_rank")
     cond = (rolled.season == r._r_season) & (rolled.opponent_team == r._r_team)

@@ -124,11 +124,11 @@ def q_player_list(spark, sf):
 
 
 def q_recent_games(spark, sf):
-    return rep.recent_games(_features(spark, sf), REPORT_PLAYER)
+    return rep.recent_games_from_silver(_silver(spark, sf), REPORT_PLAYER)
 
 
 def q_trend_series(spark, sf):
-    return rep.trend_series(rep.recent_games(_features(spark, sf), REPORT_PLAYER))
+    return rep.trend_series(rep.recent_games_from_silver(_silver(spark, sf), REPORT_PLAYER))
 
 
 def events_run_log(spark, sf):

@@ -23,6 +23,16 @@ def recent_games(features: DataFrame, player: str, n: int = 50,
             .limit(n).select(*cols))
 
 
+def recent_games_from_silver(silver: DataFrame, player: str, n: int = 50,
+                             strategy: str = "auto") -> DataFrame:
+    """Recent games computed from silver for one player: the name is
+    resolved to player ids first, so only those players' windows are
+    computed (the ranks still cover all rows)."""
+    from .features import player_features
+    ids = silver.where(F.col("player_name") == F.lit(player)).select("player_id")
+    return recent_games(player_features(silver, strategy, only_players=ids), player, n)
+
+
 def recent_games_sql(spark, table: str, player: str, n: int = 50) -> DataFrame:
     """Same report through Spark SQL with a bound named parameter."""
     cols = ", ".join(RECENT_GAME_COLS)
