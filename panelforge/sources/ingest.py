@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 # Fixed value: default lookback of the incremental load, in days.
 LOOKBACK_DAYS = 14
+# Options of the package's own CSV sink and source.
+CSV_OPTIONS = {"header": True, "nullValue": "\\N"}
 
 
 def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None):
@@ -132,12 +134,12 @@ def roundtrip(df: DataFrame, path: str, fmt: str = "parquet",
     explicit schema: inference would strip leading zeros from ids)."""
     spark = df.sparkSession
     w = df.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        w = w.option("header", True)
-    w.save(path)
     r = spark.read.format(fmt).schema(schema or df.schema)
     if fmt == "csv":
-        r = r.option("header", True)
+        # NULL is written as \N so it stays distinct from the empty string
+        w = w.options(**CSV_OPTIONS)
+        r = r.options(**CSV_OPTIONS)
+    w.save(path)
     return r.load(path)
 
 
