@@ -431,17 +431,13 @@ def q_csv_roundtrip(spark, sf):
 
 
 def q_catalog_exists(spark, sf):
-    s = _silver(spark, sf)
-    allowed = opponent_allowed(s)
-    views = {"silver_player_game_logs": s, "gold_opponent_allowed": allowed,
-             "gold_opponent_ranks": opponent_ranks(allowed),
-             "gold_player_features": feat.player_features(s)}
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+    from .catalog import register_views, table_exists
+    views = register_views(spark, bronze_log(spark, sf))
+    s = views["silver_player_game_logs"]
     out = None
     # the misspelled name is looked up on purpose: it does not exist
     for name in ["gold_opponents_ranks", "gold_opponent_ranks", "gold_player_features"]:
-        if spark.catalog.tableExists(name):
+        if table_exists(spark, name):
             one = spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(
                 F.lit(name).alias("table_name"), F.lit(True).alias("present"), "rows")
         else:

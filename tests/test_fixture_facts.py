@@ -106,3 +106,14 @@ def test_warehouse_job(spark):
     b = read_table(spark, out["bronze"])
     assert b.count() == 1500
     assert b.where(F.col("INGESTED_AT") == "2024-01-02 00:00:00").count() == 20
+
+
+def test_namespaces_and_views(spark):
+    from panelforge.plans.catalog import init_namespaces, register_views, table_exists
+    init_namespaces(spark)
+    assert {"bronze", "silver", "gold"} <= {d.name for d in spark.catalog.listDatabases()}
+    register_views(spark, game_log(spark, SF_SMALL), prefix="t_")
+    assert table_exists(spark, "t_gold_player_features")
+    assert not table_exists(spark, "t_gold_opponents_ranks")
+    # 187 groups at sf0.001 (DuckDB gives the same count)
+    assert spark.sql("SELECT count(*) FROM t_gold_opponent_ranks").first()[0] == 187
