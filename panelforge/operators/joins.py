@@ -13,15 +13,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS):
-    """Persist ``small`` and count it (one cheap job; the persisted rows are
-    reused by the join).  Returns ``(frame, broadcastable, rows)``."""
+# A side that is a plain scan/projection/filter and whose optimizer size
+# estimate exceeds this is rejected without running anything.
+SCAN_REJECT_BYTES = 4 * 1024 ** 3
+
+
+def _estimate(df: DataFrame) -> tuple[int, bool]:
+    """(estimated bytes, plan aggregates or joins?) from the optimized plan;
+    no job runs."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    raw = plan.stats().sizeInBytes()
+    size = raw if isinstance(raw, int) else int(raw.toString())
+    text = plan.toString()
+    return size, ("Aggregate" in text or "Join" in text or "Window" in text)
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      reject_bytes: int = SCAN_REJECT_BYTES):
+    """Decide whether ``small`` may be broadcast.  Returns
+    ``(frame, broadcastable, rows)``; ``rows`` is None when the side was
+    rejected from its size estimate alone.
+
+    A scan-like side whose estimate is above ``reject_bytes`` (a large
+    dimension table) is rejected at planning time.  Otherwise the side is
+    persisted and counted (one job; the persisted rows are reused by the
+    join).  Estimates of aggregates say nothing about their output size, so
+    those are always counted."""
+    est, derived = _estimate(small)
+    if not derived and est > reject_bytes:
+        return small, False, None
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     # limit(max_rows + 1) bounds the count job on an unexpectedly large side.
     rows = small.limit(max_rows + 1).count()
-    return small, rows <= max_rows, rows
+    if rows > max_rows:
+        small.unpersist()
+        return small, False, rows
+    return small, True, rows
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",

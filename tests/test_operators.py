@@ -130,3 +130,21 @@ def test_recent_games_null_date_first(spark):
     rg = recent_games(feats, "x", 2)
     assert rows(rg, "game_date") == [None, dt.date(2020, 1, 3)]
     assert trend_series(rg).count() == 8
+
+
+def test_checked_broadcast(spark):
+    from panelforge.operators import joins
+    small = spark.range(10)
+    frame, ok, n = joins.checked_broadcast(small, max_rows=100)
+    assert ok and n == 10
+    frame, ok, n = joins.checked_broadcast(spark.range(1000), max_rows=100)
+    assert not ok and n == 101
+    # a large scan-like side is rejected from its estimate, without a job
+    frame, ok, n = joins.checked_broadcast(spark.range(10_000_000), max_rows=100, reject_bytes=1000)
+    assert not ok and n is None
+    # aggregates are always counted, whatever their estimate
+    agg = spark.range(10_000).groupBy((F.col("id") % 3).alias("k")).count()
+    frame, ok, n = joins.checked_broadcast(agg, max_rows=100, reject_bytes=1000)
+    assert ok and n == 3
+    out = joins.join_small(spark.range(5), spark.range(3), "id", "inner")
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
