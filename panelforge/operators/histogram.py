@@ -10,6 +10,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .positions import materialize
+
 
 def _bounds(lo, hi):
     # Equal bounds get a unit-wide range around the value (as numpy does).
@@ -31,7 +33,9 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
     """Columns: bin (1..bins), bin_lo, bin_hi, count.  Missing values are
     dropped; empty bins are present with count 0."""
     spark = df.sparkSession
-    vals = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    # one narrow written column serves both passes (bounds, then counts)
+    vals = materialize(df.select(F.col(col).alias("x"))
+                       .where(F.col("x").isNotNull() & ~F.isnan("x")), "hist")
     st = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     lo, hi = _bounds(st["lo"], st["hi"])
     counts = (vals.groupBy((bin_index(F.col("x"), lo, hi, bins) + 1).alias("bin"))
@@ -58,7 +62,8 @@ def kde(df: DataFrame, col: str, gridsize: int = 200, cut: float = 0.0,
     of ``bins`` bins).  Rows are first reduced to distinct values with
     weights, then each distinct value adds its kernel to every grid point
     through an array transform; the sum is a partial + final aggregate."""
-    vals = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    vals = materialize(df.select(F.col(col).alias("x"))
+                       .where(F.col("x").isNotNull() & ~F.isnan("x")), "kde")
     st = vals.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
                   F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     n, sd, lo, hi = st["n"], st["sd"], st["lo"], st["hi"]
@@ -87,8 +92,8 @@ def kde(df: DataFrame, col: str, gridsize: int = 200, cut: float = 0.0,
 def grid_counts(df: DataFrame, x_col: str, y_col: str, bins: int = 20) -> DataFrame:
     """2-D equal-width binned counts of (x, y) pairs (the data behind a
     scatter plot at any row count).  Columns: x_bin, y_bin (1-based), count."""
-    pairs = df.select(F.col(x_col).alias("x"), F.col(y_col).alias("y")).where(
-        F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
+    pairs = materialize(df.select(F.col(x_col).alias("x"), F.col(y_col).alias("y")).where(
+        F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")), "grid")
     st = pairs.agg(F.min("x").alias("xl"), F.max("x").alias("xh"),
                    F.min("y").alias("yl"), F.max("y").alias("yh")).first()
     xl, xh = _bounds(st["xl"], st["xh"])

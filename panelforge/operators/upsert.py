@@ -120,7 +120,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     """
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
-    create_like(spark, path, batch)
+    if create_like(spark, path, batch):
+        # new table: the merge is the batch itself (keys checked), no staging
+        (guard_unique(batch, keys).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+        return read_table(spark, path).select(*batch.columns)
     target = read_table(spark, path).select(*batch.columns)
     touched = batch.select(partition_col).distinct()
     target_part = join_small(target, touched, partition_col, "left_semi")
