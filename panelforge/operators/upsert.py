@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .joins import join_small
+from .joins import checked_broadcast
 from ..sources.ingest import path_exists
 
 DEFAULT_UPDATE = ("INGESTED_AT",)
@@ -126,11 +126,13 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
         return read_table(spark, path).select(*batch.columns)
     target = read_table(spark, path).select(*batch.columns)
-    touched = batch.select(partition_col).distinct()
-    target_part = join_small(target, touched, partition_col, "left_semi")
+    touched, small, _ = checked_broadcast(batch.select(partition_col).distinct())
+    target_part = target.join(F.broadcast(touched) if small else touched, partition_col,
+                              "left_semi")
     merged = upsert(target_part, batch, keys, update_cols)
     stage = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+    touched.unpersist()  # released per call: a stream calls this every batch
     staged = spark.read.schema(merged.schema).parquet(stage).select(*merged.columns)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))

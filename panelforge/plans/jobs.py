@@ -88,3 +88,46 @@ def ml_job(raw: DataFrame, num_trees: int = 20, max_depth: int = 8,
 
 def ensure_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in cols])
+
+
+def main(argv=None) -> None:
+    """Command line for spark-submit:
+
+    warehouse --landing DIR --root DIR --seasons A,B --as-of YYYY-MM-DD
+              [--lookback 14] [--full-refresh]
+    ml --bronze DIR --out DIR [--trees 300] [--depth 30]
+    """
+    import argparse
+    import datetime as dt
+
+    from ..session import build_session
+    ap = argparse.ArgumentParser(prog="panelforge.plans.jobs")
+    sub = ap.add_subparsers(dest="job", required=True)
+    w = sub.add_parser("warehouse")
+    w.add_argument("--landing", required=True)
+    w.add_argument("--root", required=True)
+    w.add_argument("--seasons", required=True, help="comma list, as given (not trimmed)")
+    w.add_argument("--as-of", default=dt.date.today().isoformat())
+    w.add_argument("--lookback", type=int, default=14)
+    w.add_argument("--full-refresh", action="store_true")
+    m = sub.add_parser("ml")
+    m.add_argument("--bronze", required=True)
+    m.add_argument("--out", required=True)
+    m.add_argument("--trees", type=int, default=300)
+    m.add_argument("--depth", type=int, default=30)
+    a = ap.parse_args(argv)
+    spark = build_session()
+    if a.job == "warehouse":
+        ts = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        out = warehouse_job(spark, a.landing, a.seasons.split(","), a.root, a.as_of,
+                            a.lookback, a.full_refresh, batch_ts=ts)
+        out["checks"].show(truncate=False)
+    else:
+        from ..operators.upsert import read_table
+        from ..sources.fixtures import typed_raw
+        anomalies = ml_job(typed_raw(read_table(spark, a.bronze)), a.trees, a.depth)
+        anomalies.write.mode("overwrite").parquet(a.out)
+
+
+if __name__ == "__main__":
+    main()

@@ -148,3 +148,17 @@ def test_checked_broadcast(spark):
     assert ok and n == 3
     out = joins.join_small(spark.range(5), spark.range(3), "id", "inner")
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recent_games_sql_bound_parameter(spark):
+    import datetime as dt
+
+    from panelforge.plans.reports import recent_games_sql
+    from panelforge.schemas import RECENT_GAME_COLS
+    cols = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in RECENT_GAME_COLS
+                     if c not in ("game_date", "team", "opponent_team"))
+    spark.sql(f"SELECT 'x''; DROP' AS player_name, 'g1' AS game_id, DATE'2020-01-02' AS game_date, "
+              f"'T' AS team, 'O' AS opponent_team, {cols}").createOrReplaceTempView("t_pf")
+    out = recent_games_sql(spark, "t_pf", "x'; DROP", 50).collect()
+    assert len(out) == 1 and out[0]["game_date"] == dt.date(2020, 1, 2)
+    assert recent_games_sql(spark, "t_pf", "nobody").count() == 0
