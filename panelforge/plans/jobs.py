@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +45,6 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
                                                   if f.name not in ("SEASON", "INGESTED_AT")]),
                         batch_ts=batch_ts)
     status, msg = bronze_status(list(seasons), res.failed)
-    import time
     if res.frame is None:
         log.append(rid, "bronze", status, time.time() - t0, 0, msg)
     else:
