@@ -481,6 +481,12 @@ def q_rf_predict(spark, sf):
     return preds.select(*ANOM_TIES, "PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME")
 
 
+def q_rf_metrics(spark, sf):
+    """MAE and R^2 of the forest on the test rows (one row)."""
+    _, preds, _ = _trained(spark, sf)
+    return regression_metrics(preds, "PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME")
+
+
 def q_model_roundtrip(spark, sf):
     from .model import load_model, save_artifacts
     model, preds, cols = _trained(spark, sf)
@@ -515,6 +521,7 @@ QUERIES.update({
     "catalog_exists": q_catalog_exists,
     "run_log_append": q_run_log_append,
     "rf_predict": q_rf_predict,
+    "rf_metrics": q_rf_metrics,
     "model_roundtrip": q_model_roundtrip,
     "ml_job": q_ml_job,
 })

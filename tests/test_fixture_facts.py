@@ -52,7 +52,7 @@ def test_entry_contract(spark):
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
     rows_only = set(qs) - set(orc)
-    assert rows_only == {"rf_predict", "model_roundtrip", "ml_job"}
+    assert rows_only == {"rf_predict", "rf_metrics", "model_roundtrip", "ml_job"}
     assert {"player_features_skew_safe", "features_last5_skew_safe"} <= set(orc)
 
 
@@ -117,3 +117,14 @@ def test_namespaces_and_views(spark):
     assert not table_exists(spark, "t_gold_opponents_ranks")
     # 187 groups at sf0.001 (DuckDB gives the same count)
     assert spark.sql("SELECT count(*) FROM t_gold_opponent_ranks").first()[0] == 187
+
+
+def test_forest_beats_mean_predictor(spark, gl):
+    from panelforge.plans.model import regression_metrics, train_model
+    f5 = feat.features_last5(typed_raw(gl))
+    _, preds, cols = train_model(f5, num_trees=10, max_depth=5)
+    assert preds.count() == 265 and len(cols) == 8
+    m = regression_metrics(preds, "PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME").first()
+    mean_y = preds.agg(F.avg("PTS_NEXT_GAME")).first()[0]
+    base = regression_metrics(preds.withColumn("mu", F.lit(mean_y)), "PTS_NEXT_GAME", "mu").first()
+    assert m["n"] == 265 and m["mae"] < base["mae"] * 1.05
