@@ -52,6 +52,10 @@ def has_hot_entity(df: DataFrame, partition_by: Sequence[str],
     """True when one entity holds more rows than an even share of a shuffle
     partition (total / partitions) and more than ``floor_rows``.  A partial
     + final aggregate of counts; only two numbers reach the driver."""
+    # no entity can be hot when the whole input is below the floor; this
+    # count is pruned down to the scan
+    if df.count() <= floor_rows:
+        return False
     counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_pf_n"))
     st = counts.agg(F.max("_pf_n").alias("mx"), F.sum("_pf_n").alias("tot")).first()
     if st["mx"] is None:
