@@ -65,9 +65,12 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
     with run_layer(log, "gold") as h:
         ranks = opponent_ranks(opponent_allowed(s))
         feats = player_features(s)
-        # Sorted by player within each file: min/max statistics let a
-        # player filter skip most row groups of the materialised table.
-        (feats.repartitionByRange("player_id", "game_date").sortWithinPartitions("player_id", "game_date")
+        # Range-partitioned and sorted by the dashboard's filter key: Parquet
+        # min/max statistics then let a player-name filter skip almost every
+        # file and row group.  game_id completes the key, so a hot player
+        # still spreads over several files.
+        order = ["player_name", "game_date", "game_id"]
+        (feats.repartitionByRange(*order).sortWithinPartitions(*order)
          .write.mode("overwrite").parquet(gold_path))
         gold = spark.read.parquet(gold_path)
         h.rows = ranks.count() + gold.count()

@@ -33,6 +33,13 @@ def recent_games_from_silver(silver: DataFrame, player: str, n: int = 50,
     return recent_games(player_features(silver, strategy, only_players=ids), player, n)
 
 
+def recent_games_from_table(spark, gold_path: str, player: str, n: int = 50) -> DataFrame:
+    """Recent games read from the materialised gold table: the name filter
+    is pushed to the Parquet scan (row groups outside the name's min/max
+    range are skipped)."""
+    return recent_games(spark.read.parquet(gold_path), player, n)
+
+
 def recent_games_sql(spark, table: str, player: str, n: int = 50) -> DataFrame:
     """Same report through Spark SQL with a bound named parameter."""
     cols = ", ".join(RECENT_GAME_COLS)

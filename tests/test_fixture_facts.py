@@ -97,6 +97,11 @@ def test_warehouse_job(spark):
                         batch_ts="2024-01-01 00:00:00")
     assert out["failed_seasons"] == ["1900"]
     assert spark.read.parquet(out["gold"]).count() == 1500
+    from panelforge.plans.reports import recent_games_from_table
+    rg = recent_games_from_table(spark, out["gold"], "Customer#000000019")
+    assert rg.count() == 18
+    plan = rg._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(player_name), EqualTo(player_name,Customer#000000019)]" in plan
     log = {r["layer"]: r for r in RunLog(spark, out["run_log"]).read().collect()}
     assert log["bronze"]["status"] == "partial" and log["bronze"]["rows_processed"] == 1500
     assert log["silver"]["rows_processed"] == 1500 and log["quality"]["status"] == "success"
