@@ -112,6 +112,10 @@ def bronze_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import scratch_path
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _BRONZE_CACHE.get(key)
+    if path is not None:
+        from .ingest import path_exists
+        if not path_exists(spark, f"{path}/_SUCCESS"):  # scratch was purged
+            path = None
     if path is None:
         path = scratch_path(spark, "bronze-gl")
         game_log(spark, sf_dir).write.mode("overwrite").parquet(path)
