@@ -21,6 +21,11 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    # No broadcast from static size estimates (not a proven bound): only
+    # explicit hints behind a row-count check (operators/joins.py), and
+    # AQE's conversion, which uses the measured size of a finished stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # partition folder values stay text ("0022400001", "2024-25")
