@@ -61,3 +61,40 @@ def test_rolling_matches_python(spark, vals, n):
                                                 [("nx", "v", 1)], strategy).orderBy("t").collect()]
         exp = _py_rolling(vals, n)
         assert all((a is None and b is None) or abs(a - b) < 1e-12 for a, b in zip(got, exp))
+
+
+keys = st.tuples(st.sampled_from(["a", "b"]), st.one_of(st.none(), st.integers(0, 6).map(str)))
+
+
+@SETTINGS
+@given(target=st.lists(st.tuples(keys, st.integers(0, 9)), max_size=12),
+       batch=st.lists(st.tuples(keys, st.integers(10, 19)), max_size=12),
+       all_cols=st.booleans())
+def test_upsert_matches_dict_model(spark, target, batch, all_cols):
+    from panelforge.operators.upsert import upsert
+    # unique non-NULL keys on each side (the batch rule); NULL keys repeat freely
+    def dedup(rows):
+        seen, out = set(), []
+        for (s, g), v in rows:
+            if g is not None and (s, g) in seen:
+                continue
+            seen.add((s, g))
+            out.append((s, g, v, f"t{v}"))
+        return out
+    t, b = dedup(target), dedup(batch)
+    schema = "SEASON string, GAME_ID string, PTS int, INGESTED_AT string"
+    out = upsert(spark.createDataFrame(t, schema), spark.createDataFrame(b, schema),
+                 ["SEASON", "GAME_ID"], None if all_cols else ["INGESTED_AT"])
+    # model: NULL keys never match; matched rows take the update columns
+    bmap = {(s, g): (v, ts) for s, g, v, ts in b if g is not None}
+    exp = []
+    for s, g, v, ts in t:
+        if g is not None and (s, g) in bmap:
+            nv, nts = bmap[(s, g)]
+            exp.append((s, g, nv if all_cols else v, nts))
+        else:
+            exp.append((s, g, v, ts))
+    tkeys = {(s, g) for s, g, _, _ in t if g is not None}
+    exp += [r for r in b if r[1] is None or (r[0], r[1]) not in tkeys]
+    key = lambda r: tuple("" if x is None else str(x) for x in r)
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(exp, key=key)
