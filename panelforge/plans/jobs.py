@@ -60,7 +60,11 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
     from ..operators.upsert import read_table
     bronze = read_table(spark, bronze_path)
     with run_layer(log, "silver") as h:
-        s = silver(bronze)
+        # silver is used by five later passes (count, hot-entity check, ranks,
+        # windows, checks): write it once instead of re-deriving it each time
+        silver_path = f"{root}/silver"
+        silver(bronze).write.mode("overwrite").parquet(silver_path)
+        s = spark.read.parquet(silver_path)
         h.rows = s.count()
     with run_layer(log, "gold") as h:
         ranks = opponent_ranks(opponent_allowed(s))
@@ -76,7 +80,7 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
         h.rows = ranks.count() + gold.count()
     with run_layer(log, "quality"):
         report = dq.assert_checks(dq.run_checks(dq.warehouse_checks(s, gold)))
-    return {"bronze": bronze_path, "gold": gold_path, "run_log": log.path,
+    return {"bronze": bronze_path, "silver": silver_path, "gold": gold_path, "run_log": log.path,
             "checks": report, "failed_seasons": res.failed}
 
 

@@ -38,7 +38,9 @@ def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, targe
         ["INGESTED_AT"] if batch_ts is not None or "INGESTED_AT" in schema.fieldNames() else [])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(spark, target, batch.select(*cols), keys, update_cols, partition_col)
+        # the micro-batch's own session; replaying a batch_id is harmless
+        upsert_table(batch.sparkSession, target, batch.select(*cols), keys, update_cols,
+                     partition_col)
 
     q = (src.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
