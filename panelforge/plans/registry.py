@@ -372,13 +372,20 @@ def q_create_like(spark, sf):
     return ups.read_table(spark, path)
 
 
+# The loaded range ends before TARGET_END; the new batch
+# re-reads from BATCH_START on, so the year in between is loaded twice.
+TARGET_END = "1999-01-01"
+BATCH_START = "1998-01-01"
+
+
 def upsert_inputs(spark, sf):
-    """Target: keys with orderkey % 10 < 8; batch: % 10 >= 6, points + 1 and
-    a later ingestion time (FIXTURES.md §3): 3,000 overlapping keys at sf0.01."""
+    """Target: games before TARGET_END; batch: games from BATCH_START on,
+    with points + 1 and a later ingestion time.  The overlap year is the
+    re-read of a lookback load; together they cover every row."""
     gl = bronze_log(spark, sf)
-    k = F.col("GAME_ID").cast("bigint") % 10
-    target = gl.where(k < 8)
-    batch = gl.where(k >= 6).withColumn(
+    d = F.to_date("GAME_DATE")
+    target = gl.where(d < F.to_date(F.lit(TARGET_END)))
+    batch = gl.where(d >= F.to_date(F.lit(BATCH_START))).withColumn(
         "PTS", (F.col("PTS").cast("bigint") + 1).cast("string")).withColumn(
         "INGESTED_AT", F.lit(BATCH_TS))
     return target, batch
