@@ -12,14 +12,15 @@ column so ties are resolved the same way everywhere.
 
 Strategies:
 
-``"positions"`` (default, skew-safe): rows get a dense position in the total
+``"positions"`` (skew-safe): rows get a dense position in the total
 order (entity, order) from :func:`with_position` (range-partitioned, so a hot
 entity spreads over many tasks).  Every row is then exploded into one narrow
 copy per frame offset, tagged with the target position it contributes to, and
 the copies are aggregated on (entity, target).  That key is unique per row, so
 the aggregation has no hot group; partial aggregation collapses the copies
 map-side because neighbouring positions share a partition.  The narrow result
-is joined back on the position.
+is joined back on the position.  The positioned rows are a written table, so
+the two uses scan it instead of repeating the range shuffle.
 
 ``"window"``: Spark's Window operator.  One shuffle on the entity, but a hot
 entity's whole history is buffered by one task; fine only for entities of
