@@ -14,13 +14,13 @@ Strategies:
 
 ``"positions"`` (skew-safe): rows get a dense position in the total
 order (entity, order) from :func:`with_position` (range-partitioned, so a hot
-entity spreads over many tasks).  Every row is then exploded into one narrow
-copy per frame offset, tagged with the target position it contributes to, and
-the copies are aggregated on (entity, target).  That key is unique per row, so
-the aggregation has no hot group; partial aggregation collapses the copies
-map-side because neighbouring positions share a partition.  The narrow result
-is joined back on the position.  The positioned rows are a written table, so
-the two uses scan it instead of repeating the range shuffle.
+entity spreads over many tasks; written once to the shared folder).  The
+positions are cut into blocks of at most ``BLOCK_ROWS`` rows; each block
+also receives a small halo (the previous block's last n-1 rows, the next
+block's first k rows), and the Window runs per (entity, block).  Every
+window buffer is bounded by the block size, a hot entity is spread over its
+blocks, and results are exact because each row's frame lies within its
+block plus halo.
 
 ``"window"``: Spark's Window operator.  One shuffle on the entity, but a hot
 entity's whole history is buffered by one task; fine only for entities of
@@ -126,32 +126,50 @@ def position_rows(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     return with_position(df, _order_cols(partition_by, order_by), POS, num_partitions)
 
 
+# Rows per block of the positions plan: the most a single window buffer
+# holds (plus the halo), whatever the size of an entity.
+BLOCK_ROWS = 1_000_000
+
+
 def rolling_over_positions(positioned: DataFrame, partition_by: Sequence[str],
                            means: Sequence[tuple[str, str, int]] = (),
                            leads: Sequence[tuple[str, str, int]] = (),
-                           keep_pos: bool = False) -> DataFrame:
+                           keep_pos: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Trailing means / leads over rows carrying ``POS`` from
-    :func:`position_rows`."""
+    :func:`position_rows`.
+
+    Positions are cut into blocks of ``block_rows``.  A block also receives
+    a halo: copies of the last ``n-1`` rows of the block before it (history
+    for its first rows) and of the first ``k`` rows of the block after it
+    (for ``lead``).  The Window then runs per (entity, block) ordered by
+    position, and only each block's own rows are kept.  Every window buffer
+    holds at most ``block_rows`` plus the halo, a hot entity is spread over
+    its blocks, and the payload is shuffled once (no join back)."""
     partition_by = list(partition_by)
-    inputs = sorted({c for _, c, _ in means} | {c for _, c, _ in leads})
-    shifts = sorted({d for _, _, n in means for d in range(n)}
-                    | {-k for _, _, k in leads} | {0})
-    # One narrow copy per frame offset: source row at p feeds target p + d.
+    back = max([n - 1 for _, _, n in means] + [0])
+    fwd = max([k for _, _, k in leads] + [0])
+    if block_rows <= max(back, fwd):
+        raise ValueError("block_rows must exceed the frame length and lead offset")
+    pos = F.col(POS)
+    blk = F.floor(pos / F.lit(block_rows))
+    off = pos - blk * F.lit(block_rows)
+    # (target block, own row?) for each copy: own block always; halo copies
+    # only for rows at the block edges
+    tags = F.array(
+        F.struct(blk.alias("b"), F.lit(True).alias("own")),
+        F.when(off >= F.lit(block_rows - back),
+               F.struct((blk + 1).alias("b"), F.lit(False).alias("own"))),
+        F.when(off < F.lit(fwd),
+               F.struct((blk - 1).alias("b"), F.lit(False).alias("own"))))
     copies = (positioned
-              .select(*partition_by, POS, *inputs,
-                      F.explode(F.array(*[F.lit(d) for d in shifts])).alias("_pf_d"))
-              .withColumn("_pf_t", F.col(POS) + F.col("_pf_d")))
-    d = F.col("_pf_d")
-    aggs = [F.max(F.when(d == 0, F.lit(1))).alias("_pf_self")]
+              .select("*", F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("_pf_tag"))
+              .select("*", F.col("_pf_tag.b").alias("_pf_blk"), F.col("_pf_tag.own").alias("_pf_own"))
+              .drop("_pf_tag"))
+    w = Window.partitionBy(*partition_by, "_pf_blk").orderBy(POS)
+    cols = []
     for out, c, n in means:
-        aggs.append(F.avg(F.when((d >= 0) & (d < n), F.col(c))).alias(out))
+        cols.append(F.avg(c).over(w.rowsBetween(-(n - 1), 0)).alias(out))
     for out, c, k in leads:
-        aggs.append(F.max(F.when(d == -k, F.col(c))).alias(out))
-    # Same entity is enforced by the grouping key: a copy that crosses an
-    # entity border lands in a group without a self row and is discarded.
-    features = (copies.groupBy(*partition_by, "_pf_t").agg(*aggs)
-                .where(F.col("_pf_self") == 1)
-                .select(F.col("_pf_t").alias(POS),
-                        *[out for out, _, _ in means], *[out for out, _, _ in leads]))
-    out = positioned.join(features, POS)
+        cols.append(F.lead(c, k).over(w).alias(out))
+    out = copies.select("*", *cols).where(F.col("_pf_own")).drop("_pf_blk", "_pf_own")
     return out if keep_pos else out.drop(POS)

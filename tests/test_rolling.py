@@ -118,3 +118,16 @@ def test_auto_strategy_detects_hot_entity(spark):
     assert resolve_strategy(df, ["e"], "auto") == "window"  # below the default floor
     even = df.where(F.col("e") != "hot")
     assert not has_hot_entity(even, ["e"], num_partitions=8, floor_rows=100)
+
+
+@pytest.mark.parametrize("block_rows", [5, 7, 64])
+def test_small_blocks_equal_window(spark, block_rows):
+    from panelforge.operators.rolling import position_rows, rolling_over_positions
+    df = _random_frame(spark, 1500, seed=13)
+    spec = dict(means=[("m3", "v", 3), ("m5", "v", 5)], leads=[("n1", "v", 1), ("n2", "v", 2)])
+    p = position_rows(df, ["e"], ["d", "id"])
+    a = rolling_over_positions(p, ["e"], block_rows=block_rows, **spec)
+    b = rolling_features(df, ["e"], ["d", "id"], strategy="window", **spec)
+    cols = ["id", "m3", "m5", "n1", "n2"]
+    assert sorted(rows(a.select(*cols), *cols)) == sorted(rows(b.select(*cols), *cols))
+    assert a.count() == 1500
