@@ -112,7 +112,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     """Upsert ``batch`` into the Parquet table at ``path`` (partitioned by
     ``partition_col``, which must be one of the keys).
 
-    Only the partitions the batch touches are read, merged and rewritten:
+    Only the partitions the batch touches are read, merged and rewritten
+    (when none of them holds rows yet, the batch is written directly):
     the merge is staged in the shared checkpoint folder (Spark cannot
     overwrite a path it is reading), then written back with dynamic
     partition overwrite, which replaces exactly those partitions.  Reruns
@@ -129,6 +130,13 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     touched, small, _ = checked_broadcast(batch.select(partition_col).distinct())
     target_part = target.join(F.broadcast(touched) if small else touched, partition_col,
                               "left_semi")
+    if target_part.limit(1).count() == 0:
+        # Every touched partition is new (an append, e.g. a new season): the
+        # merge is the batch itself, written straight into those partitions.
+        (guard_unique(batch, keys).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+        touched.unpersist()
+        return read_table(spark, path).select(*batch.columns)
     merged = upsert(target_part, batch, keys, update_cols)
     stage = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)

@@ -161,3 +161,13 @@ def test_silver_lenient_and_rejects(spark):
     assert lenient[1]["pts"] is None and lenient[1]["game_date"] is None
     rej = silver_rejects(df).collect()
     assert len(rej) == 1 and sorted(rej[0]["_bad_columns"]) == ["GAME_DATE", "PTS"]
+
+
+def test_upsert_table_new_partition_appends(spark):
+    path = scratch_path(spark, "t-bronze-append")
+    ups.upsert_table(spark, path, _t(spark, [("a", "1", 1, "1", "t0")]), KEYS)
+    out = ups.upsert_table(spark, path, _t(spark, [("c", "9", 1, "9", "t1")]), KEYS)
+    assert sorted(rows(out, "SEASON", "GAME_ID")) == [("a", "1"), ("c", "9")]
+    with pytest.raises(Exception):  # the duplicate guard also holds on the append path
+        ups.upsert_table(spark, path, _t(spark, [("d", "1", 1, "1", "t2"),
+                                                 ("d", "1", 1, "2", "t2")]), KEYS)
