@@ -102,3 +102,28 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.sparkContext.defaultParallelism)
     except Exception:
         return os.cpu_count() or 8
+
+
+def purge_scratch(spark: SparkSession, older_than_hours: float = 24.0, prefix: str = "",
+                  dry_run: bool = False) -> list[str]:
+    """Delete this package's scratch folders (``<checkpoint>/panelforge-scratch``)
+    whose last change is older than ``older_than_hours`` and whose name starts
+    with ``prefix``.  Returns the affected paths; ``dry_run`` only lists them.
+    Run it between jobs: a running job may still read its scratch tables."""
+    import time
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelforge-scratch"
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    cutoff_ms = (time.time() - older_than_hours * 3600) * 1000
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix) and st.getModificationTime() < cutoff_ms:
+            out.append(st.getPath().toString())
+            if not dry_run:
+                fs.delete(st.getPath(), True)
+    return out

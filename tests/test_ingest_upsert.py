@@ -171,3 +171,13 @@ def test_upsert_table_new_partition_appends(spark):
     with pytest.raises(Exception):  # the duplicate guard also holds on the append path
         ups.upsert_table(spark, path, _t(spark, [("d", "1", 1, "1", "t2"),
                                                  ("d", "1", 1, "2", "t2")]), KEYS)
+
+
+def test_purge_scratch_dry_run(spark):
+    from panelforge.session import purge_scratch
+    path = scratch_path(spark, "t-purge")
+    spark.range(3).write.parquet(path)
+    listed = purge_scratch(spark, older_than_hours=-1, prefix="t-purge", dry_run=True)
+    assert any(p.endswith(path.rsplit("/", 1)[1]) for p in listed)
+    assert purge_scratch(spark, older_than_hours=1000, prefix="t-purge", dry_run=True) == []
+    assert spark.read.parquet(path).count() == 3  # dry run deleted nothing
