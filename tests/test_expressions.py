@@ -1,7 +1,5 @@
 """Opponent parsing, NaN handling and error-text truncation (G3, G7, B6, B20)."""
 
-from pyspark.sql import functions as F
-
 from panelforge.functions.expressions import (nan_to_null, opponent_last_token,
                                               opponent_split_part, truncate_text)
 

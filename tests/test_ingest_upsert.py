@@ -2,7 +2,6 @@
 run log and run status."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from panelforge.operators import upsert as ups
 from panelforge.plans.runlog import RunLog, run_layer, truncate_error

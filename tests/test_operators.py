@@ -1,7 +1,5 @@
 """Ranks, anomalies, histogram, split, quality checks, reports (G1-G9)."""
 
-import math
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -36,7 +36,6 @@ def test_positions_plan_range_partitioned(spark, s):
     base = s.select("player_id", "game_date", "game_id", "season", "pts")
     p = position_rows(base, ["player_id"], feat.W_ORDER)
     # the materialised rows come from a range exchange on the full order key
-    from panelforge.operators.positions import with_position  # noqa: F401
     ranged = base.repartitionByRange(F.col("player_id").asc_nulls_last(),
                                      F.col("game_date").asc_nulls_last())
     assert "rangepartitioning(player_id" in plan_text(ranged)
