@@ -180,3 +180,24 @@ def test_purge_scratch_dry_run(spark):
     assert any(p.endswith(path.rsplit("/", 1)[1]) for p in listed)
     assert purge_scratch(spark, older_than_hours=1000, prefix="t-purge", dry_run=True) == []
     assert spark.read.parquet(path).count() == 3  # dry run deleted nothing
+
+
+def test_read_seasons_prunes_folders(spark):
+    from pyspark.sql import types as T
+    root = scratch_path(spark, "t-prune-landing")
+    df = spark.createDataFrame([("x", "1"), ("y", "2"), ("z", "3")], "SEASON string, v string")
+    ingest.write_landing(df, root, drop_cols=())
+    out = ingest.read_seasons(spark, root, ["x", "z"], T.StructType([T.StructField("v", T.StringType())]))
+    assert sorted(rows(out, "v")) == ["1", "3"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "SEASON" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_run_log_compact_keeps_rows(spark):
+    log = RunLog(spark, scratch_path(spark, "t-runlog-compact"))
+    log.create()
+    for i in range(3):
+        log.append(f"r{i}", "silver", "success", 0.5, i)
+    before = sorted(rows(log.read(), "run_id"))
+    log.compact(1)
+    assert sorted(rows(log.read(), "run_id")) == before == ["r0", "r1", "r2"]
