@@ -18,6 +18,11 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_main_text
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -29,6 +34,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
 }
