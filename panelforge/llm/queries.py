@@ -33,10 +33,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op6_jaccard_join": op6_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
