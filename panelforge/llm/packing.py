@@ -17,10 +17,11 @@ bounded pool: no shuffle, and no partition depends on another.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections import defaultdict
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -34,30 +35,67 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 
-class Encoder:
-    """Texts -> little-endian unsigned 32-bit ids, as bytes.
+#: A word of letters that keep their form under normalisation, and the punctuation after it.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
-    The vocabulary's words never span white space, so a text's ids are those
-    of its space-separated chunks in order; a chunk seen before is not encoded
-    again.  Chunks are split at ASCII white space only and keep their case."""
+
+def byte_letters() -> list[str]:
+    """Byte-level vocabularies write byte b as chr(b) where that prints, else as
+    the next letter from 256 on."""
+    prints = [33 <= b <= 126 or 161 <= b <= 255 and b != 173 for b in range(256)]
+    return [chr(b) if p else chr(256 + b - sum(prints[:b])) for b, p in enumerate(prints)]
+
+
+class Encoder(dict):
+    """Texts -> little-endian unsigned 32-bit ids, as bytes; a dictionary of
+    the chunks seen, of at most ``limit`` entries.
+
+    The vocabulary's pieces never span white space, so a text's ids are those
+    of its chunks between ASCII white space, in order.  A plain word goes to
+    the vocabulary's merges directly, without the regular expressions before
+    them; every other chunk takes the whole tokenizer."""
 
     def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
+        super().__init__()
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.limit = limit
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        words = set().union(*split)
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        got = self.tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for w, e in zip(new, got):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-        look = self.known.__getitem__
-        return [b"".join(map(look, ws)) for ws in split]
+        self.merges, self.letters, self.limit = self.tok.model, byte_letters(), limit
+        self.words: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {"": b""}
+
+    def whole(self, chunk: str) -> bytes:
+        return array("I", self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def word(self, word: str) -> bytes:
+        got = self.words.get(word)
+        if got is None:
+            spelled = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
+            got = array("I", [t.id for t in self.merges.tokenize(spelled)]).tobytes()
+            if len(self.words) >= self.limit:
+                self.words.clear()
+            self.words[word] = got
+        return got
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        plain = PLAIN.fullmatch(text)
+        if plain:
+            tail = self.others.get(plain[2])
+            if tail is None:
+                tail = self.whole(plain[2])
+                if len(self.others) < self.limit:
+                    self.others[plain[2]] = tail
+            got = self.word(plain[1].lower()) + tail
+        else:
+            got = self.whole(text)
+        if len(chunk) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[chunk] = got
+        return got
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.encode().split()))
 
 
 def fill(counts: list[int], present: int, capacity: int) -> dict[int, int]:
@@ -168,7 +206,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
     is in the bits from 40 up.  ``pool`` bounds the pieces that wait in a
     partition, not what is packed."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
-    end = np.array([END_ID], "<u4").tobytes()
+    end = array("I", [END_ID]).tobytes()
 
     def run(batches):
         encoder = Encoder(tokenizer)
@@ -180,8 +218,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
         for ids, texts in slices(batches, "_id", "_text"):
-            for doc, raw in zip(ids, encoder.encode(texts)):
-                packer.add(doc, raw + end)
+            for doc, text in zip(ids, texts):
+                packer.add(doc, encoder.encode(text) + end)
                 if packer.size >= pool:
                     packer.pack(pool // 2)
             yield out()
