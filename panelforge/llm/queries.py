@@ -33,16 +33,34 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import score_texts
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_knn import quality_scores
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_lm_score": op4_lm_score,
     "op6_jaccard_join": op6_jaccard_join,
+    "op8_quality_knn": op8_quality_knn,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
