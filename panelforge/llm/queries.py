@@ -5,9 +5,10 @@ result; the others are tested against brute force."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import table
+from .mixing import MIX_SQL
+from .sharding import SHARD_SQL
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -53,14 +54,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import assign_shards
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_lm_score": op4_lm_score,
+    "op5_sharding": op5_sharding,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_mixing": op7_mixing,
     "op8_quality_knn": op8_quality_knn,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_sharding": SHARD_SQL,
+    "op7_mixing": MIX_SQL,
+}
