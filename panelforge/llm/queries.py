@@ -49,6 +49,12 @@ def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bm25 import search
+    docs = table(spark, sf_dir, "documents")
+    return search(docs, docs.filter("doc_id % 100 = 0"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity_scores
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -73,6 +79,7 @@ QUERIES = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_mixing": op7_mixing,
     "op8_quality_knn": op8_quality_knn,
+    "op9_bm25_search": op9_bm25_search,
     "op10_toxicity": op10_toxicity,
 }
 
