@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,14 @@ def two(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
 
 
+def whole_rows(docs: DataFrame, text_col: str) -> DataFrame:
+    """Each row as the struct ``_id``, whatever its columns are called, and its
+    text as ``_text`` (NULL: empty); ``select("_id.*")`` gives the row back."""
+    quoted = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*quoted).alias("_id"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+
+
 def remainder(id_col, mod: int):
     """crc32 of the id written as text, modulo ``mod``; a NULL id counts as ''."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % mod
@@ -51,6 +60,37 @@ def slices(batches, *columns: str):
             yield tuple(c[start:] for c in cols)
 
 
+def parts(batches, column: str = "_text"):
+    """Pieces of Arrow batches with the column's values as a list, cut as in ``slices``."""
+    for b in batches:
+        texts = b.column(column).to_pylist()
+        start = size = 0
+        for i, t in enumerate(texts):
+            if i > start and size + len(t) > SLICE_CHARS:
+                yield b.slice(start, i - start), texts[start:i]
+                start, size = i, 0
+            size += len(t)
+        if start < len(texts):
+            yield b.slice(start), texts[start:]
+
+
+def with_columns(rows: DataFrame, fn, columns: str) -> DataFrame:
+    """``rows`` without ``_text``, and the columns that ``fn()(texts)`` gives as
+    lists or arrays.  ``fn`` is called once per task, so it may keep a state."""
+    from pyspark.sql.types import StructType
+    names = [c for c in rows.columns if c != "_text"]
+    added = StructType.fromDDL(columns)
+    out = StructType([*rows.drop("_text").schema.fields, *added.fields])
+
+    def run(batches):
+        of = fn()
+        for piece, texts in parts(batches):
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), *of(texts)],
+                                             names=[*names, *added.names])
+
+    return rows.mapInArrow(run, out)
+
+
 class WordHash(dict):
     """Word (UTF-8 bytes) -> 64-bit hash, remembered for up to ``limit`` words."""
 

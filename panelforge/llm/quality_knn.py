@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, slices, two
+from .common import remainder, slices, two, whole_rows, with_columns
 from .labelled import training_rows
 
 #: Terms: hashed shapes, hashed pairs of shapes, then the others.
@@ -120,21 +120,33 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | N
     Equal texts get equal scores.  Without labels the score is 0.5."""
     model = fit_quality(docs if train_docs is None else train_docs, labels, id_col, text_col, label,
                         mod, held, sample, directions)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most sample x directions floats
+    rows = two(docs, id_col, text_col).withColumn("_held", remainder("_id", mod) == held)
+    return scored(rows, model, neighbours, power).select(
+        F.col("_id").alias("doc_id"), F.col("_held").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-    def run(batches):
+
+def scored(rows: DataFrame, model, neighbours: int, power: int) -> DataFrame:
+    """``rows`` without ``_text``, and its ``score``."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # at most sample x directions floats
+
+    def fn():
         shapes = Shapes()
-        for ids, held_out, texts in slices(batches, "_id", "_held", "_text"):
-            score = np.concatenate([vote(_matrix(texts[i:i + BLOCK], shapes), shared.value, neighbours, power)
-                                    for i in range(0, len(texts), BLOCK)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(held_out, pa.bool_()), pa.array(score, pa.float64())],
-                names=["doc_id", "held_out", "score"])
+        return lambda texts: [pa.array(np.concatenate(
+            [vote(_matrix(texts[i:i + BLOCK], shapes), shared.value, neighbours, power)
+             for i in range(0, len(texts), BLOCK)]), pa.float64())]
 
-    rows = two(docs, id_col, text_col).withColumn("_held", remainder("_id", mod) == held)
-    return rows.select("_id", "_held", "_text").mapInArrow(
-        run, "doc_id long, held_out boolean, score double").withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int"))
+    return with_columns(rows, fn, "score double")
+
+
+def good_rows(docs: DataFrame, labels: DataFrame, train_docs: DataFrame, id_col: str = "doc_id",
+              text_col: str = "text", label: str = "quality", mod: int = 3, held: int = 1,
+              sample: int = SAMPLE, directions: int = DIRECTIONS, neighbours: int = NEIGHBOURS,
+              power: int = POWER) -> DataFrame:
+    """The rows of ``docs`` with a score of 0.5 or more, all columns."""
+    model = fit_quality(train_docs, labels, id_col, text_col, label, mod, held, sample, directions)
+    return scored(whole_rows(docs, text_col), model, neighbours, power).filter(
+        "score >= 0.5").select("_id.*")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, mixed, slices, two
+from .common import WordHash, mixed, two, whole_rows, with_columns
 
 #: Counts of a text, all whole numbers.
 FACTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -88,22 +88,17 @@ def _text_facts(text: str, hashes: WordHash) -> tuple:
             raw.count(b"!!"))
 
 
-def text_facts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``FACTS`` of each whole text, beside the id as ``_id``, in one pass.
+def text_facts(rows: DataFrame) -> DataFrame:
+    """``FACTS`` of each whole ``_text``, beside ``_id``, in one pass.
 
     Words are runs other than space and U+0009 to U+000D.  ``n_repeat_words``:
     words inside a window of three that occurs twice or more in the text."""
 
-    def run(batches):
+    def fn():
         hashes = WordHash()
-        for ids, texts in slices(batches, "_id", "_text"):
-            cols = zip(*(_text_facts(t, hashes) for t in texts))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in cols)],
-                names=["_id", *FACTS])
+        return lambda texts: [pa.array(c, pa.int64()) for c in zip(*(_text_facts(t, hashes) for t in texts))]
 
-    return two(docs, id_col, text_col).mapInArrow(
-        run, ", ".join(f"{c} long" for c in ["_id", *FACTS]))
+    return with_columns(rows, fn, ", ".join(f"{c} long" for c in FACTS))
 
 
 def em(votes: np.ndarray, counts: np.ndarray, rounds: int = 300, tol: float = 1e-9,
@@ -138,17 +133,9 @@ def em(votes: np.ndarray, counts: np.ndarray, rounds: int = 300, tol: float = 1e
     return post, share, acc
 
 
-def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     min_words: int = 50, max_repeat_percent: int = 50,
-                     threshold: float = 0.5) -> DataFrame:
-    """Per row: the id as ``doc_id``, ``FACTS``, ``base_failed``, ``p_good`` (the
-    posterior) and ``kept``.
-
-    A NULL text counts as empty: no words, so it fails the base.  Every row
-    gets a verdict of its own text, so repeated rows agree.  An empty table
-    gives no rows.  Two passes over the texts: one counts the vote patterns,
-    one applies the verdicts."""
-    facts = text_facts(docs, id_col, text_col).select(
+def verdicts(rows: DataFrame, min_words: int, max_repeat_percent: int, threshold: float) -> DataFrame:
+    """``_id`` of ``rows``, ``FACTS``, ``base_failed``, ``p_good``, ``kept``."""
+    facts = text_facts(rows).select(
         "*", *(vote().cast("int").alias(f"v_{name}") for name, vote in RULES.items()))
     # One digit per rule: a pattern is one number below 3 ** len(RULES).
     code = sum(((F.col(f"v_{name}") + 1) * 3 ** i for i, name in enumerate(RULES)), F.lit(0))
@@ -157,12 +144,32 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     codes = np.array([r[0] for r in seen], int)
     votes = np.array([[c // 3 ** i % 3 - 1 for i in range(len(RULES))] for c in codes], int)
     post = em(votes.reshape(-1, len(RULES)), np.array([r[1] for r in seen], float))[0]
-    spark = docs.sparkSession
-    verdicts = spark.createDataFrame([(int(c), float(p)) for c, p in zip(codes, post)],
-                                     "_code int, p_good double")
+    known = rows.sparkSession.createDataFrame([(int(c), float(p)) for c, p in zip(codes, post)],
+                                              "_code int, p_good double")
     failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    return (facts.join(F.broadcast(verdicts), "_code", "left")
+    return (facts.join(F.broadcast(known), "_code", "left")
             .withColumn("base_failed", failed)
             .withColumn("kept", ~failed & (F.coalesce(F.col("p_good"), F.lit(1.0)) >= threshold))
-            .select(F.col("_id").alias("doc_id"), *FACTS, "base_failed", "p_good", "kept"))
+            .select("_id", *FACTS, "base_failed", "p_good", "kept"))
+
+
+def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     min_words: int = 50, max_repeat_percent: int = 50,
+                     threshold: float = 0.5) -> DataFrame:
+    """Per row: the id as ``doc_id``, ``FACTS``, ``base_failed``, ``p_good`` (the
+    posterior) and ``kept``.
+
+    A NULL text counts as empty: no words, so it fails the base.  Every row
+    gets a verdict of its own text, so repeated rows agree; NULL ids stay NULL.
+    An empty table gives no rows.  Two passes over the texts: one counts the
+    vote patterns, one applies the verdicts."""
+    return verdicts(two(docs, id_col, text_col), min_words, max_repeat_percent,
+                    threshold).withColumnRenamed("_id", "doc_id")
+
+
+def good_rows(docs: DataFrame, text_col: str = "text", min_words: int = 50,
+              max_repeat_percent: int = 50, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose texts are kept, all columns."""
+    return verdicts(whole_rows(docs, text_col), min_words, max_repeat_percent, threshold).filter(
+        "kept").select("_id.*")

@@ -70,6 +70,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_packing": op2_packing,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_quality_knn": op8_quality_knn,
     "op9_bm25_search": op9_bm25_search,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
