@@ -33,12 +33,6 @@ def nan_to_null(c) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def truncate_text(c, n: int = 2000) -> Column:
-    """First ``n`` characters; NULL for NULL or empty text."""
-    c = _c(c)
-    return F.when(c.isNotNull() & (F.length(c) > 0), F.substring(c, 1, n))
-
-
 def count_where(cond: Column) -> Column:
     """Rows where ``cond`` is true; NULL conditions do not count."""
     return F.count_if(F.coalesce(cond, F.lit(False)))

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,9 +62,8 @@ def kde(df: DataFrame, col: str, gridsize: int = 200, cut: float = 0.0,
 
     Columns: point (0..gridsize-1), x, density, and ``count_density`` (the
     density scaled by n * bin width, the curve drawn over a count histogram
-    of ``bins`` bins).  Rows are first reduced to distinct values with
-    weights, then each distinct value adds its kernel to every grid point
-    through an array transform; the sum is a partial + final aggregate."""
+    of ``bins`` bins).  Each task gives one row per grid point, whatever its
+    number of values, and a final aggregate adds the tasks up."""
     vals = materialize(df.select(F.col(col).alias("x"))
                        .where(F.col("x").isNotNull() & ~F.isnan("x")), "kde")
     st = vals.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
@@ -73,12 +75,20 @@ def kde(df: DataFrame, col: str, gridsize: int = 200, cut: float = 0.0,
     bw = sd * n ** (-1.0 / 5.0) * bw_adjust
     g_lo, g_hi = lo - cut * bw, hi + cut * bw
     step = (g_hi - g_lo) / (gridsize - 1)
-    weighted = vals.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    contrib = weighted.select(F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(gridsize - 1)),
-        lambda i: F.col("w") * F.exp(F.lit(-0.5) * ((F.lit(g_lo) + i.cast("double") * F.lit(step) - F.col("x")) / F.lit(bw))
-                                     * ((F.lit(g_lo) + i.cast("double") * F.lit(step) - F.col("x")) / F.lit(bw)))))
-        .alias("point", "k"))
+    # Each task adds up its values' kernels on the grid in one array of
+    # ``gridsize`` sums, and only those arrays meet.
+    grid = g_lo + np.arange(gridsize) * step
+
+    def sums(batches):
+        total = np.zeros(gridsize)
+        for batch in batches:
+            x = batch.column("x").to_numpy(zero_copy_only=False)
+            for i in range(0, len(x), 1000):
+                total += np.exp(-0.5 * ((grid[None, :] - x[i:i + 1000, None]) / bw) ** 2).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(gridsize)), pa.array(total)],
+                                         names=["point", "k"])
+
+    contrib = vals.mapInArrow(sums, "point long, k double")
     norm = n * bw * math.sqrt(2 * math.pi)
     h_lo, h_hi = _bounds(lo, hi)
     binwidth = (h_hi - h_lo) / bins

@@ -1,60 +1,53 @@
 """Joins whose broadcast side has a checked size.
 
-A side is broadcast only after its row count has been measured and found
-below ``max_rows``.  Above that bound the join stays a shuffle join; AQE's
-skew-join rule then splits oversized partitions of the large side, so a hot
-key does not land in one task.
+The small side is written once to a fresh folder of the shared scratch
+location and its rows and stored bytes are measured there.  Below both bounds
+the scan of that copy is broadcast; above, the join stays a shuffle join of the
+same copy, whose skewed partitions AQE splits.  Nothing is cached: the side is
+as fresh as the call, and nothing stays in executor memory after the query.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-# A side that is a plain scan/projection/filter and whose optimizer size
-# estimate exceeds this is rejected without running anything.
-SCAN_REJECT_BYTES = 4 * 1024 ** 3
-
-
-def _estimate(df: DataFrame) -> tuple[int, bool]:
-    """(estimated bytes, plan aggregates or joins?) from the optimized plan;
-    no job runs."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    raw = plan.stats().sizeInBytes()
-    size = raw if isinstance(raw, int) else int(raw.toString())
-    text = plan.toString()
-    return size, ("Aggregate" in text or "Join" in text or "Window" in text)
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      reject_bytes: int = SCAN_REJECT_BYTES):
-    """Decide whether ``small`` may be broadcast.  Returns
-    ``(frame, broadcastable, rows)``; ``rows`` is None when the side was
-    rejected from its size estimate alone.
-
-    A scan-like side whose estimate is above ``reject_bytes`` (a large
-    dimension table) is rejected at planning time.  Otherwise the side is
-    persisted and counted (one job; the persisted rows are reused by the
-    join).  Estimates of aggregates say nothing about their output size, so
-    those are always counted."""
-    est, derived = _estimate(small)
-    if not derived and est > reject_bytes:
-        return small, False, None
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    # limit(max_rows + 1) bounds the count job on an unexpectedly large side.
-    rows = small.limit(max_rows + 1).count()
-    if rows > max_rows:
-        small.unpersist()
-        return small, False, rows
-    return small, True, rows
+from .positions import materialize
+
+#: Bounds of a side that may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 16 * 1024 ** 2
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a plain scan reads."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for name in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(name)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS,
+                      max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """(a scan of ``small`` as written now, whether it may be broadcast)."""
+    side = materialize(small, "join-side")
+    if stored_bytes(side) > max_bytes:
+        return side, False
+    return side, side.count() <= max_rows  # the count reads file footers only
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``big.join(small, on, how)`` broadcasting ``small`` only below the bound."""
-    small, ok, _ = checked_broadcast(small, max_rows)
-    if ok:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+               max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``big.join(small, on, how)`` broadcasting ``small`` only below the bounds.
+
+    ``on``: column names, or pairs (column of ``big``, column of ``small``)."""
+    side, fits = checked_broadcast(small, max_rows, max_bytes)
+    pairs = [on] if isinstance(on, tuple) else on
+    if not isinstance(pairs, str) and any(isinstance(p, tuple) for p in pairs):
+        cond = F.lit(True)
+        for a, b in pairs:
+            cond = cond & (big[a] == side[b])
+        on = cond
+    return big.join(F.broadcast(side) if fits else side, on, how)

@@ -12,7 +12,7 @@ column so ties are resolved the same way everywhere.
 
 Strategies:
 
-``"positions"`` (skew-safe): rows get a dense position in the total
+``"positions"`` (default): rows get a dense position in the total
 order (entity, order) from :func:`with_position` (range-partitioned, so a hot
 entity spreads over many tasks; written once to the shared folder).  The
 positions are cut into blocks of at most ``BLOCK_ROWS`` rows; each block
@@ -22,14 +22,9 @@ window buffer is bounded by the block size, a hot entity is spread over its
 blocks, and results are exact because each row's frame lies within its
 block plus halo.
 
-``"window"``: Spark's Window operator.  One shuffle on the entity, but a hot
-entity's whole history is buffered by one task; fine only for entities of
-bounded size.
-
-``"auto"`` (default): one partial-aggregate pass measures the largest entity
-(:func:`has_hot_entity`).  When no entity exceeds its fair share of a shuffle
-partition (and a floor of ``HOT_FLOOR_ROWS``), the Window plan runs with a
-proven bound on every task's buffer; otherwise the positions plan.
+``"window"``: Spark's Window operator.  One shuffle on the entity, but an
+entity's whole history is sorted and buffered by one task; choose it only where
+the size of every entity is known to be small.
 """
 
 from __future__ import annotations
@@ -39,39 +34,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
 from .positions import with_position
 
 POS = "_pf_pos"
-# An entity with fewer rows than this is never treated as hot.
-HOT_FLOOR_ROWS = 100_000
-
-
-def has_hot_entity(df: DataFrame, partition_by: Sequence[str],
-                   num_partitions: int | None = None,
-                   floor_rows: int = HOT_FLOOR_ROWS) -> bool:
-    """True when one entity holds more rows than an even share of a shuffle
-    partition (total / partitions) and more than ``floor_rows``.  A partial
-    + final aggregate of counts; only two numbers reach the driver."""
-    # no entity can be hot when the whole input is below the floor; this
-    # count is pruned down to the scan
-    if df.count() <= floor_rows:
-        return False
-    counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_pf_n"))
-    st = counts.agg(F.max("_pf_n").alias("mx"), F.sum("_pf_n").alias("tot")).first()
-    if st["mx"] is None:
-        return False
-    parts = num_partitions or shuffle_partitions(df.sparkSession)
-    return st["mx"] > max(st["tot"] / max(parts, 1), floor_rows)
-
-
-def resolve_strategy(df: DataFrame, partition_by: Sequence[str], strategy: str,
-                     num_partitions: int | None = None) -> str:
-    if strategy == "auto":
-        return "positions" if has_hot_entity(df, partition_by, num_partitions) else "window"
-    if strategy not in ("positions", "window"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return strategy
+STRATEGIES = ("positions", "window")
 
 
 def _order_cols(partition_by, order_by):
@@ -81,7 +47,7 @@ def _order_cols(partition_by, order_by):
 def rolling_features(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                      means: Sequence[tuple[str, str, int]] = (),
                      leads: Sequence[tuple[str, str, int]] = (),
-                     strategy: str = "auto",
+                     strategy: str = "positions",
                      num_partitions: int | None = None) -> DataFrame:
     """Add trailing means and lead values.
 
@@ -95,7 +61,8 @@ def rolling_features(df: DataFrame, partition_by: Sequence[str], order_by: Seque
     for _, _, k in leads:
         if k < 1:
             raise ValueError("lead offset must be >= 1")
-    strategy = resolve_strategy(df, partition_by, strategy, num_partitions)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "window":
         return _with_window(df, partition_by, order_by, means, leads)
     return _with_positions(df, partition_by, order_by, means, leads, num_partitions)

@@ -13,11 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .joins import checked_broadcast
 from ..sources.ingest import path_exists
 
 DEFAULT_UPDATE = ("INGESTED_AT",)
@@ -38,13 +37,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def guard_unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fail the job if a (non-NULL) key occurs twice in ``batch``."""
+    """Fail the job if a (non-NULL) key occurs twice in ``batch``.  Rows with a
+    NULL key part pass by the check, so they never meet in one window."""
+    whole = _all_keys_present(keys)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     msg = "upsert batch has a duplicate key on (" + ", ".join(keys) + ")"
-    flagged = batch.withColumn("_pf_kn", n)
-    return flagged.where(
-        F.when(_all_keys_present(keys) & (F.col("_pf_kn") > 1), F.raise_error(F.lit(msg)))
-        .otherwise(F.lit(True))).drop("_pf_kn")
+    checked = batch.where(whole).withColumn("_pf_kn", n).where(
+        F.when(F.col("_pf_kn") > 1, F.raise_error(F.lit(msg))).otherwise(F.lit(True))).drop("_pf_kn")
+    return checked.unionByName(batch.where(~whole))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
@@ -106,42 +106,71 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: Partition values of a batch that are written into the scan as literals at most.
+MAX_TOUCHED = 10_000
+
+
+def touched_partitions(batch: DataFrame, partition_col: str) -> Column | None:
+    """A condition that selects the batch's partitions, NULL included, with
+    literals, so that the target's scan reads only those folders.  None beyond
+    ``MAX_TOUCHED`` values (then a join selects them)."""
+    values = [r[0] for r in batch.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
+    if len(values) > MAX_TOUCHED:
+        return None
+    some = [v for v in values if v is not None]
+    cond = F.col(partition_col).isin(some) if some else F.lit(False)
+    return cond | F.col(partition_col).isNull() if None in values else cond
+
+
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str] | None = DEFAULT_UPDATE,
                  partition_col: str = "SEASON") -> DataFrame:
     """Upsert ``batch`` into the Parquet table at ``path`` (partitioned by
     ``partition_col``, which must be one of the keys).
 
-    Only the partitions the batch touches are read, merged and rewritten
-    (when none of them holds rows yet, the batch is written directly):
-    the merge is staged in the shared checkpoint folder (Spark cannot
-    overwrite a path it is reading), then written back with dynamic
-    partition overwrite, which replaces exactly those partitions.  Reruns
-    with the same batch give the same table (idempotent on keys).
+    The table's columns decide: a column that the batch lacks keeps its stored
+    value in matched rows and is NULL in inserted ones; a column that only the
+    batch has is an error.  Only the partitions the batch touches, the NULL
+    partition included, are read, merged and rewritten (when none of them holds
+    rows yet, the batch is written directly): the merge is staged in the shared
+    checkpoint folder (Spark cannot overwrite a path it is reading), then
+    written back with dynamic partition overwrite, which replaces exactly those
+    partitions.  Reruns with the same batch give the same table, but for rows
+    with a NULL key part, which are always inserted.
     """
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
+
+    def write(df):
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
+
     if create_like(spark, path, batch):
         # new table: the merge is the batch itself (keys checked), no staging
-        (guard_unique(batch, keys).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+        write(guard_unique(batch, keys))
         return read_table(spark, path).select(*batch.columns)
-    target = read_table(spark, path).select(*batch.columns)
-    touched, small, _ = checked_broadcast(batch.select(partition_col).distinct())
-    target_part = target.join(F.broadcast(touched) if small else touched, partition_col,
-                              "left_semi")
+    target = read_table(spark, path)
+    extra = [c for c in batch.columns if c not in target.columns]
+    if extra:
+        raise ValueError(f"the table has no columns {extra}")
+    update = [c for c in (batch.columns if update_cols is None else update_cols)
+              if c in batch.columns and c not in keys]
+    batch = batch.select(*[(F.col(c) if c in batch.columns
+                            else F.lit(None).cast(target.schema[c].dataType)).alias(c)
+                           for c in target.columns])
+    cond = touched_partitions(batch, partition_col)
+    if cond is not None:
+        target_part = target.where(cond)
+    else:
+        seasons = batch.select(F.col(partition_col).alias("_pf_p")).distinct()
+        target_part = target.join(seasons, target[partition_col].eqNullSafe(seasons["_pf_p"]), "left_semi")
     if target_part.limit(1).count() == 0:
         # Every touched partition is new (an append, e.g. a new season): the
         # merge is the batch itself, written straight into those partitions.
-        (guard_unique(batch, keys).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-        touched.unpersist()
-        return read_table(spark, path).select(*batch.columns)
-    merged = upsert(target_part, batch, keys, update_cols)
+        write(guard_unique(batch, keys))
+        return read_table(spark, path).select(*target.columns)
+    merged = upsert(target_part, batch, keys, update)
     stage = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    touched.unpersist()  # released per call: a stream calls this every batch
-    staged = spark.read.schema(merged.schema).parquet(stage).select(*merged.columns)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    write(spark.read.schema(merged.schema).parquet(stage).select(*merged.columns))
     return read_table(spark, path).select(*merged.columns)

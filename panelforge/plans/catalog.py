@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators.opponents import opponent_allowed, opponent_ranks
 from .features import player_features
@@ -20,6 +21,22 @@ def init_namespaces(spark: SparkSession, names: Sequence[str] = NAMESPACES) -> N
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{n}`")
 
 
+def register_tables(spark: SparkSession, paths: dict[str, str], schemas: dict[str, StructType],
+                    partitions: dict[str, list[str]] | None = None) -> None:
+    """Make stored Parquet folders readable as ``layer.name``.  The catalog
+    entry is replaced, so it follows a changed schema; the files stay."""
+    for name, path in paths.items():
+        layer, table = name.split(".")
+        by = (partitions or {}).get(name, [])
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas[name].fields)
+        spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{table}`")
+        spark.sql(f"CREATE TABLE `{layer}`.`{table}` ({fields}) USING parquet "
+                  + (f"PARTITIONED BY ({', '.join(f'`{c}`' for c in by)}) " if by else "")
+                  + "LOCATION :path", args={"path": path})
+        if by:
+            spark.sql(f"MSCK REPAIR TABLE `{layer}`.`{table}`")
+
+
 def register_views(spark: SparkSession, bronze: DataFrame, prefix: str = "") -> dict[str, DataFrame]:
     """Define (or replace) the silver and gold views in dependency order as
     temporary views: silver_player_game_logs -> gold_opponent_allowed ->

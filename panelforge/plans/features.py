@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.expressions import nan_to_null, opponent_last_token
 from ..operators.joins import join_small
 from ..operators.opponents import opponent_allowed, opponent_defense, opponent_ranks
-from ..operators.rolling import (position_rows, resolve_strategy, rolling_features,
-                                 rolling_over_positions)
-from ..schemas import PLAYER_FEATURE_COLS
+from ..operators.rolling import position_rows, rolling_features, rolling_over_positions
+from ..schemas import MEASURE_COLS, PLAYER_FEATURE_COLS
 
 W_MEANS = [("pts_last3", "pts", 3), ("reb_last3", "reb", 3),
            ("ast_last3", "ast", 3), ("min_last3", "minutes", 3)]
@@ -27,15 +26,16 @@ W_LEADS = [("pts_next_game", "pts", 1)]
 W_ORDER = ["game_date", "game_id", "season"]
 
 L_MEASURES = ["PTS", "REB", "AST", "MIN"]
-L_ORDER = ["GAME_DATE", "GAME_ID", "SEASON"]
+# Two players of one name share a group, so the id completes the order.
+L_ORDER = ["GAME_DATE", "GAME_ID", "PLAYER_ID", "SEASON"]
 
 
-def rolling_last3(silver: DataFrame, strategy: str = "auto") -> DataFrame:
+def rolling_last3(silver: DataFrame, strategy: str = "positions") -> DataFrame:
     """Silver rows plus the four 3-row means and the next-game target."""
     return rolling_features(silver, ["player_id"], W_ORDER, W_MEANS, W_LEADS, strategy)
 
 
-def player_features(silver: DataFrame, strategy: str = "auto",
+def player_features(silver: DataFrame, strategy: str = "positions",
                     window: int = 3, only_players: DataFrame | None = None) -> DataFrame:
     """gold.player_features (19 columns).
 
@@ -44,7 +44,6 @@ def player_features(silver: DataFrame, strategy: str = "auto",
     the windows are unchanged - while the opponent ranks still use every
     row.  A name filter cannot be pushed below the per-player window by the
     optimizer; resolving names to ids first and semi-joining does that."""
-    strategy = resolve_strategy(silver, ["player_id"], strategy)
     means = [(o.replace("last3", f"last{window}") if window != 3 else o, c, window)
              for o, c, _ in W_MEANS]
     base = silver.select("season", "game_id", "game_date", "player_id", "player_name",
@@ -73,13 +72,19 @@ def player_features(silver: DataFrame, strategy: str = "auto",
 def _join_ranks(rolled: DataFrame, ranks: DataFrame, window: int) -> DataFrame:
     r = ranks.select(F.col("season").alias("_r_season"), F.col("team").alias("_r_team"),
                      "opp_pts_allowed_rank", "opp_reb_allowed_rank", "opp_ast_allowed_rank")
-    cond = (rolled.season == r._r_season) & (rolled.opponent_team == r._r_team)
-    joined = join_small(rolled, r, cond, "left")
+    joined = join_small(rolled, r, [("season", "_r_season"), ("opponent_team", "_r_team")], "left")
     cols = PLAYER_FEATURE_COLS if window == 3 else [
         c.replace("last3", f"last{window}") for c in PLAYER_FEATURE_COLS]
     return joined.select(*cols)
 
 
+def typed_raw(bronze: DataFrame) -> DataFrame:
+    """Raw log with numeric measures, as the older lineage's local table
+    holds them (upper-case names kept)."""
+    return bronze.select(*[F.col(c).cast("double").alias(c) if c in MEASURE_COLS else F.col(c)
+                           for c in bronze.columns])
+
+
 def with_opponent(raw: DataFrame) -> DataFrame:
     """Raw log with dates parsed and OPPONENT_TEAM = last token (or NULL)."""
     return (raw.withColumn("GAME_DATE", F.to_date("GAME_DATE"))
@@ -98,9 +103,8 @@ def opponent_def_features(raw: DataFrame) -> DataFrame:
     return _join_defense(with_opponent(raw))
 
 
-def features_last5(raw: DataFrame, strategy: str = "auto", window: int = 5) -> DataFrame:
+def features_last5(raw: DataFrame, strategy: str = "positions", window: int = 5) -> DataFrame:
     """features.csv of the older pipeline."""
-    strategy = resolve_strategy(raw, ["PLAYER_NAME"], strategy)
     df = raw.select(*[nan_to_null(c).alias(c) if c in L_MEASURES else F.col(c)
                       for c in raw.columns])
     df = with_opponent(df)

@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-import time
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,84 +19,101 @@ from pyspark.sql import functions as F
 
 from ..operators.anomalies import compute_anomalies
 from ..operators.opponents import opponent_allowed, opponent_ranks
-from ..operators.upsert import upsert_table
+from ..operators.positions import materialize
+from ..operators.upsert import read_table, upsert_table
 from ..schemas import BRONZE_KEYS, BRONZE_TEXT_SCHEMA
-from ..sources.ingest import bronze_status, incremental, isolated_load
+from ..sources.ingest import bronze_status, incremental, isolated_load, path_exists
 from . import quality as dq
-from .features import features_last5, player_features
-from .model import train_model
-from .runlog import RunLog, run_layer, start_run
+from .catalog import init_namespaces, register_tables
+from .features import features_last5, player_features, typed_raw
+from .model import MAX_DEPTH, NUM_TREES, train_model
+from .runlog import RunLog, run_layer
 from .silver import silver
 
 
+def now_text() -> str:
+    """The present second in UTC, as the feed writes instants."""
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], root: str,
                   as_of: str, lookback_days: int = 14, full_refresh: bool = False,
                   batch_ts: str | None = None) -> dict:
-    """Run the warehouse layers; returns the paths and the check report."""
+    """Run the warehouse layers; returns the paths and the check report.
+
+    ``batch_ts`` is the batch's ingestion instant (default: now).  A season that
+    cannot be read is recorded and the others proceed.  Without any readable
+    season and without a bronze table the run ends after bronze, with a
+    'warning' row; with a bronze table the later layers run on it.  Silver is
+    partitioned by season and only the batch's seasons are rewritten."""
+    init_namespaces(spark)
     log = RunLog(spark, f"{root}/run_log")
     log.create()
-    bronze_path, gold_path = f"{root}/bronze", f"{root}/gold_player_features"
-
-    # bronze: failure-isolated season reads, lookback filter, keyed upsert
-    rid, t0 = start_run()
-    feed_schema = BRONZE_TEXT_SCHEMA
-    res = isolated_load(spark, landing, seasons,
-                        schema=type(feed_schema)([f for f in feed_schema.fields
-                                                  if f.name not in ("SEASON", "INGESTED_AT")]),
-                        batch_ts=batch_ts)
-    status, msg = bronze_status(list(seasons), res.failed)
-    if res.frame is None:
-        log.append(rid, "bronze", status, time.time() - t0, 0, msg)
-    else:
-        batch = incremental(res.frame, as_of, lookback_days, full_refresh)
-        batch = batch.select(*[f.name for f in BRONZE_TEXT_SCHEMA.fields])
-        try:
-            bronze = upsert_table(spark, bronze_path, batch, BRONZE_KEYS)
-            log.append(rid, "bronze", status, time.time() - t0, batch.count(), msg)
-        except Exception as e:
-            log.append(rid, "bronze", "failure", time.time() - t0, None, e)
-            raise
-
-    from ..operators.upsert import read_table
-    bronze = read_table(spark, bronze_path)
-    with run_layer(log, "silver") as h:
-        # silver is used by five later passes (count, hot-entity check, ranks,
-        # windows, checks): write it once instead of re-deriving it each time
-        silver_path = f"{root}/silver"
-        silver(bronze).write.mode("overwrite").parquet(silver_path)
-        s = spark.read.parquet(silver_path)
-        h.rows = s.count()
-    with run_layer(log, "gold") as h:
+    paths = {"bronze": f"{root}/bronze", "silver": f"{root}/silver",
+             "gold": f"{root}/gold_player_features", "run_log": log.path}
+    feed_schema = type(BRONZE_TEXT_SCHEMA)([f for f in BRONZE_TEXT_SCHEMA.fields
+                                            if f.name not in ("SEASON", "INGESTED_AT")])
+    touched = None
+    with run_layer(log, "bronze") as run:
+        res = isolated_load(spark, landing, seasons, schema=feed_schema, batch_ts=batch_ts or now_text())
+        run.status, run.message = bronze_status(list(seasons), res.failed)
+        run.rows = 0
+        if res.frame is not None:
+            batch = incremental(res.frame, as_of, lookback_days, full_refresh)
+            batch = batch.select(*[f.name for f in BRONZE_TEXT_SCHEMA.fields])
+            # Written once: its rows, its seasons and the merge come from one reading of the feed.
+            batch = materialize(batch, "bronze-batch")
+            run.rows = batch.count()
+            touched = [r[0] for r in batch.select("SEASON").distinct().collect()]  # seasons
+            upsert_table(spark, paths["bronze"], batch, BRONZE_KEYS)
+    out = {**paths, "checks": None, "failed_seasons": res.failed}
+    if not path_exists(spark, f"{paths['bronze']}/_schema"):
+        return out
+
+    bronze = read_table(spark, paths["bronze"])
+    with run_layer(log, "silver") as run:
+        first = not path_exists(spark, paths["silver"])
+        rows = silver(bronze)
+        if not first:
+            some = [s for s in touched or [] if s is not None]
+            changed = F.col("season").isin(some) if some else F.lit(False)
+            rows = rows.where(changed | F.col("season").isNull() if None in (touched or []) else changed)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static" if first else "dynamic")
+         .partitionBy("season").parquet(paths["silver"]))
+        s = spark.read.schema(silver(bronze).schema).parquet(paths["silver"])
+        run.rows = s.count()
+    with run_layer(log, "gold") as run:
         ranks = opponent_ranks(opponent_allowed(s))
         feats = player_features(s)
         # Range-partitioned and sorted by the dashboard's filter key: Parquet
         # min/max statistics then let a player-name filter skip almost every
         # file and row group.  game_id completes the key, so a hot player
-        # still spreads over several files.
+        # still spreads over several files.  All of gold is rewritten: a new
+        # row moves its season's ranks and its player's means and targets.
         order = ["player_name", "game_date", "game_id"]
         (feats.repartitionByRange(*order).sortWithinPartitions(*order)
-         .write.mode("overwrite").parquet(gold_path))
-        gold = spark.read.parquet(gold_path)
-        h.rows = ranks.count() + gold.count()
+         .write.mode("overwrite").parquet(paths["gold"]))
+        gold = spark.read.parquet(paths["gold"])
+        run.rows = ranks.count() + gold.count()
+    register_tables(spark, {"silver.player_game_logs": paths["silver"],
+                            "gold.player_features": paths["gold"]},
+                    {"silver.player_game_logs": s.schema, "gold.player_features": gold.schema},
+                    {"silver.player_game_logs": ["season"]})
     with run_layer(log, "quality"):
-        report = dq.assert_checks(dq.run_checks(dq.warehouse_checks(s, gold)))
-    return {"bronze": bronze_path, "silver": silver_path, "gold": gold_path, "run_log": log.path,
-            "checks": report, "failed_seasons": res.failed}
+        out["checks"] = dq.assert_checks(dq.run_checks(dq.warehouse_checks(s, gold)))
+    return out
 
 
-def ml_job(raw: DataFrame, num_trees: int = 20, max_depth: int = 8,
-           actual_col: str = "PTS") -> DataFrame:
-    """features -> ordered split -> forest -> predictions -> anomalies."""
-    feats = features_last5(raw)
-    _, preds, _ = train_model(feats, num_trees=num_trees, max_depth=max_depth)
+def ml_job(raw: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
+           actual_col: str = "PTS", preds: DataFrame | None = None) -> DataFrame:
+    """features -> ordered split -> forest -> predictions -> anomalies.  Stored
+    predictions of an earlier fit (``preds``) are used instead of a new one."""
+    if preds is None:
+        _, preds, _ = train_model(features_last5(raw), num_trees=num_trees, max_depth=max_depth)
     return compute_anomalies(preds, actual_col, "PRED_PTS_NEXT_GAME",
                              ["SEASON", "GAME_ID", "PLAYER_ID"])
 
 
-def ensure_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in cols])
-
-
 def main(argv=None) -> None:
     """Command line for spark-submit:
 
@@ -105,7 +122,6 @@ def main(argv=None) -> None:
     ml --bronze DIR --out DIR [--trees 300] [--depth 30]
     """
     import argparse
-    import datetime as dt
 
     from ..session import build_session
     ap = argparse.ArgumentParser(prog="panelforge.plans.jobs")
@@ -120,18 +136,16 @@ def main(argv=None) -> None:
     m = sub.add_parser("ml")
     m.add_argument("--bronze", required=True)
     m.add_argument("--out", required=True)
-    m.add_argument("--trees", type=int, default=300)
-    m.add_argument("--depth", type=int, default=30)
+    m.add_argument("--trees", type=int, default=NUM_TREES)
+    m.add_argument("--depth", type=int, default=MAX_DEPTH)
     a = ap.parse_args(argv)
     spark = build_session()
     if a.job == "warehouse":
-        ts = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         out = warehouse_job(spark, a.landing, a.seasons.split(","), a.root, a.as_of,
-                            a.lookback, a.full_refresh, batch_ts=ts)
-        out["checks"].show(truncate=False)
+                            a.lookback, a.full_refresh)
+        if out["checks"] is not None:
+            out["checks"].show(truncate=False)
     else:
-        from ..operators.upsert import read_table
-        from ..sources.fixtures import typed_raw
         anomalies = ml_job(typed_raw(read_table(spark, a.bronze)), a.trees, a.depth)
         anomalies.write.mode("overwrite").parquet(a.out)
 

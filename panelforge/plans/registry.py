@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import opponent_last_token, opponent_split_part
 from ..operators.opponents import opponent_allowed, opponent_defense, opponent_ranks
-from ..sources.fixtures import bronze_log, typed_raw
+from ..sources.fixtures import bronze_log
 from . import features as feat
 from .silver import silver
 
@@ -23,7 +23,7 @@ def _silver(spark, sf):
 
 
 def _raw(spark, sf):
-    return typed_raw(bronze_log(spark, sf))
+    return feat.typed_raw(bronze_log(spark, sf))
 
 
 def q_silver_logs(spark, sf):
@@ -106,7 +106,7 @@ from ..operators import histogram as hist  # noqa: E402
 from ..operators.split import ordered_split  # noqa: E402
 from . import quality as dq  # noqa: E402
 from . import reports as rep  # noqa: E402
-from .model import regression_metrics  # noqa: E402
+from .model import SPLIT_ORDER, regression_metrics  # noqa: E402
 
 # Report parameters used by the registered queries.
 REPORT_PLAYER = "Customer#000000605"
@@ -120,13 +120,18 @@ def _features(spark, sf):
 
 
 def q_player_list(spark, sf):
-    return rep.player_list(_features(spark, sf))
+    return rep.player_list(_silver(spark, sf))  # features have the rows of silver
 
 
 def q_recent_games(spark, sf):
     return rep.recent_games_from_silver(_silver(spark, sf), REPORT_PLAYER)
 
 
+def q_recent_games_limited(spark, sf):
+    """The same report cut where the player has more games."""
+    return rep.recent_games_from_silver(_silver(spark, sf), REPORT_PLAYER, 7)
+
+
 def q_trend_series(spark, sf):
     return rep.trend_series(rep.recent_games_from_silver(_silver(spark, sf), REPORT_PLAYER))
 
@@ -162,8 +167,14 @@ def q_anomalies(spark, sf):
     return _anomalies(spark, sf).withColumn("RESIDUAL_ZSCORE", F.round("RESIDUAL_ZSCORE", 6))
 
 
+def _f5(spark, sf, *cols):
+    """Only the named columns of the last-five features."""
+    return feat.features_last5(_raw(spark, sf)).select(*cols)
+
+
 def q_residual_zscore(spark, sf):
-    return _anomalies(spark, sf).select(*ANOM_TIES, "RESIDUAL",
+    narrow = _f5(spark, sf, *ANOM_TIES, "PTS", "PTS_LAST5")
+    return an.scored_residuals(narrow, "PTS", "PTS_LAST5").select(*ANOM_TIES, "RESIDUAL",
                                         F.round("RESIDUAL_ZSCORE", 6).alias("RESIDUAL_ZSCORE"))
 
 
@@ -180,7 +191,9 @@ def q_residual_stats(spark, sf):
 
 
 def q_top_anomalies(spark, sf):
-    return an.top_anomalies(_anomalies(spark, sf), 20, ANOM_TIES).select(
+    narrow = _f5(spark, sf, *ANOM_TIES, "PLAYER_NAME", "PTS", "PTS_LAST5")
+    labelled = an.with_label(an.with_residual(narrow, "PTS", "PTS_LAST5"))
+    return an.top_anomalies(labelled, 20, ANOM_TIES).select(
         *ANOM_TIES, "PLAYER_NAME", "ABS_RESIDUAL", "ANOMALY_TYPE")
 
 
@@ -200,14 +213,14 @@ def q_pred_actual_grid(spark, sf):
 
 
 def q_ordered_split(spark, sf):
-    f5 = feat.features_last5(_raw(spark, sf))
-    return ordered_split(f5, ["PLAYER_NAME", "GAME_DATE", "GAME_ID"], 0.2).select(
+    f5 = _f5(spark, sf, *ANOM_TIES, "PLAYER_NAME", "GAME_DATE")
+    return ordered_split(f5, SPLIT_ORDER, 0.2).select(
         *ANOM_TIES, "SPLIT")
 
 
 def q_regression_metrics(spark, sf):
-    f5 = feat.features_last5(_raw(spark, sf))
-    test = ordered_split(f5, ["PLAYER_NAME", "GAME_DATE", "GAME_ID"], 0.2).where(
+    f5 = _f5(spark, sf, *SPLIT_ORDER, "PTS_NEXT_GAME", "PTS_LAST5")
+    test = ordered_split(f5, SPLIT_ORDER, 0.2).where(
         F.col("SPLIT") == "test")
     m = regression_metrics(test, "PTS_NEXT_GAME", "PTS_LAST5")
     return m.select("n", F.round("mae", 6).alias("mae"), F.round("r2", 6).alias("r2"))
@@ -238,6 +251,21 @@ def q_dq_null_keys(spark, sf):
                                    lambda v: v == 0)])
 
 
+def q_dq_null_keys_found(spark, sf):
+    """The same check on rows of which some lack a key."""
+    s = _silver(spark, sf).withColumn("season", F.when(F.col("player_id") % 11 != 0, F.col("season")))
+    return dq.run_checks([dq.Check("silver keys not null", s,
+                                   dq.null_keys(["season", "game_id", "player_id"]),
+                                   lambda v: v == 0)])
+
+
+def q_dq_rank_range_found(spark, sf):
+    """The same check on ranks of which some are too large."""
+    c = "opp_pts_allowed_rank"
+    f = feat.player_features(_silver(spark, sf)).withColumn(c, F.col(c) * 2)
+    return dq.run_checks([dq.Check(f"{c} within 1..30", f, dq.out_of_range(c), lambda v: v == 0)])
+
+
 def q_dq_rank_range(spark, sf):
     f = feat.player_features(_silver(spark, sf))
     return dq.run_checks([dq.Check(f"{c} within 1..30", f, dq.out_of_range(c), lambda v: v == 0)
@@ -279,6 +307,9 @@ QUERIES.update({
     "dq_null_keys": q_dq_null_keys,
     "dq_rank_range": q_dq_rank_range,
     "layer_counts": q_layer_counts,
+    "recent_games_limited": q_recent_games_limited,
+    "dq_null_keys_found": q_dq_null_keys_found,
+    "dq_rank_range_found": q_dq_rank_range_found,
 })
 
 
@@ -307,10 +338,21 @@ def landing_seasons(spark, root):
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("SEASON="))
 
 
-def _landing(spark, sf, fmt="parquet"):
-    root = scratch_path(spark, "landing")
-    ingest.write_landing(bronze_log(spark, sf), root, fmt=fmt)
-    return root
+_MADE: dict[tuple, str] = {}
+
+
+def _once(spark, sf, name, make):
+    """A folder that ``make(path)`` writes once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    if key not in _MADE or not ingest.path_exists(spark, _MADE[key]):
+        path = scratch_path(spark, name)
+        make(path)
+        _MADE[key] = path
+    return _MADE[key]
+
+
+def _landing(spark, sf):
+    return _once(spark, sf, "landing", lambda root: ingest.write_landing(bronze_log(spark, sf), root))
 
 
 def q_bronze_read(spark, sf):
@@ -413,11 +455,32 @@ def q_upsert_table(spark, sf):
     return ups.upsert_table(spark, path, batch, KEY_COLS)
 
 
+def q_upsert_table_null_season(spark, sf):
+    """Rows without a season, in the table and in the batch, are never lost."""
+    path = scratch_path(spark, "bronze")
+    for df in upsert_inputs(spark, sf):
+        out = ups.upsert_table(spark, path, df.withColumn(
+            "SEASON", F.when(F.col("PLAYER_ID") % 11 != 0, F.col("SEASON"))), KEY_COLS)
+    return out
+
+
+def q_upsert_table_missing_column(spark, sf):
+    """A batch without a stored column leaves the stored values alone."""
+    target, batch = upsert_inputs(spark, sf)
+    path = scratch_path(spark, "bronze")
+    ups.upsert_table(spark, path, target, KEY_COLS)
+    return ups.upsert_table(spark, path, batch.drop("TOV"), KEY_COLS)
+
+
 def q_stream_upsert(spark, sf):
+    """Two loads whose dates overlap by the lookback: the rows in between land twice."""
     from ..streaming.stream_upsert import stream_upsert
-    # one landed file per season (a daily fetch drops one file per season)
     root = scratch_path(spark, "landing")
-    ingest.write_landing(bronze_log(spark, sf).repartition("SEASON"), root)
+    gl = bronze_log(spark, sf)
+    for part in (gl.where(F.col("GAME_DATE") < TARGET_END),
+                 gl.where(F.col("GAME_DATE") >= F.date_sub(F.lit(TARGET_END), 14).cast("string"))):
+        # one landed file per season (a daily fetch drops one file per season)
+        ingest.write_landing(part.repartition("SEASON"), root, mode="append")
     schema = type(FEED_SCHEMA)(list(FEED_SCHEMA.fields)
                                + [f for f in BRONZE_TEXT_SCHEMA.fields if f.name == "SEASON"])
     out = stream_upsert(spark, root, schema, scratch_path(spark, "bronze-stream"), KEY_COLS,
@@ -475,39 +538,83 @@ def q_run_log_append(spark, sf):
                              F.length("error_message").alias("error_length"))
 
 
-# --- model (Spark ML); predictions are not bit-comparable: rows-only -------
+def q_warehouse_job(spark, sf):
+    """The run log of three runs: all seasons good, one unreadable, all unreadable."""
+    from .jobs import warehouse_job
 
-def _trained(spark, sf):
-    from .model import train_model
-    f5 = feat.features_last5(_raw(spark, sf))
-    return train_model(f5, num_trees=20, max_depth=8)
+    def landing(name, good, bad):
+        def make(root):
+            if good:
+                ingest.write_landing(bronze_log(spark, sf), root)
+            for season in bad:
+                spark.createDataFrame([("not a table",)], "value string").coalesce(1).write.text(
+                    f"{root}/SEASON={season}")
+        return _once(spark, sf, name, make)
+
+    out = None
+    for case, root in (("good", _landing(spark, sf)),
+                       ("one unreadable", landing("landing-junk", True, [MISSING_SEASON])),
+                       ("all unreadable", landing("landing-bad", False, [MISSING_SEASON]))):
+        run = warehouse_job(spark, root, landing_seasons(spark, root), scratch_path(spark, "warehouse"),
+                            AS_OF, full_refresh=True)
+        log = spark.read.parquet(run["run_log"]).select(
+            F.lit(case).alias("case"), "layer", "status", "rows_processed")
+        out = log if out is None else out.unionByName(log)
+    return out
+
+
+# --- model (Spark ML): one fit per data folder, shared by its queries.  Predictions
+# are not bit-comparable, so each query returns what must hold of them -------
+
+def _fitted(spark, sf):
+    """Folders of the fitted model, the test rows with predictions and the features."""
+    from .model import save_artifacts, train_model
+    names = ("model", "test_with_preds", "feature_columns")
+
+    def make(root):
+        model, preds, cols = train_model(feat.features_last5(_raw(spark, sf)))
+        save_artifacts(model, preds, cols, root)
+
+    root = _once(spark, sf, "model", make)
+    return [f"{root}/{n}" for n in names]
 
 
 def q_rf_predict(spark, sf):
-    _, preds, _ = _trained(spark, sf)
-    return preds.select(*ANOM_TIES, "PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME")
+    """Test rows, and whether the forest stays in the range of the training labels."""
+    rows = ordered_split(_f5(spark, sf, *SPLIT_ORDER, "PTS_NEXT_GAME"), SPLIT_ORDER, 0.2)
+    low, high = rows.where(F.col("SPLIT") == "train").agg(
+        F.min("PTS_NEXT_GAME"), F.max("PTS_NEXT_GAME")).first()
+    return spark.read.parquet(_fitted(spark, sf)[1]).select(
+        *ANOM_TIES, "PTS_NEXT_GAME",
+        F.coalesce(F.col("PRED_PTS_NEXT_GAME").between(low, high), F.lit(False)).alias("in_range"))
 
 
 def q_rf_metrics(spark, sf):
-    """MAE and R^2 of the forest on the test rows (one row)."""
-    _, preds, _ = _trained(spark, sf)
-    return regression_metrics(preds, "PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME")
+    """Test rows, and whether the reported MAE is that of the stored predictions."""
+    preds = spark.read.parquet(_fitted(spark, sf)[1])
+    m = regression_metrics(preds, "PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME").first()
+    miss = F.greatest("PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME") - F.least("PTS_NEXT_GAME", "PRED_PTS_NEXT_GAME")
+    return preds.agg(F.count("*").alias("n"), F.sum(miss).alias("s")).select(
+        "n", (F.abs(F.col("s") / F.col("n") - m["mae"]) < 1e-9).alias("mae_agrees"))
 
 
 def q_model_roundtrip(spark, sf):
-    from .model import load_model, save_artifacts
-    model, preds, cols = _trained(spark, sf)
-    paths = save_artifacts(model, preds, cols, scratch_path(spark, "model"))
-    loaded = load_model(paths["model"])
-    test = spark.read.parquet(paths["preds"]).drop("PRED_PTS_NEXT_GAME")
-    from .model import _features
-    data = _features(test, cols, "sentinel", -1.0)
-    return loaded.transform(data).select(*ANOM_TIES, "PRED_PTS_NEXT_GAME")
+    """Whether the loaded model predicts each stored test row as the fitted one did."""
+    from .model import _features, load_model
+    model, preds, features = _fitted(spark, sf)
+    cols = [r.feature for r in spark.read.parquet(features).orderBy("position").collect()]
+    stored = spark.read.parquet(preds).withColumnRenamed("PRED_PTS_NEXT_GAME", "_pf_stored")
+    return load_model(model).transform(_features(stored, cols, "sentinel", -1.0)).select(
+        *ANOM_TIES, F.col("PRED_PTS_NEXT_GAME").eqNullSafe(F.col("_pf_stored")).alias("same"))
 
 
 def q_ml_job(spark, sf):
+    """Whether each anomaly's label agrees with the sign of its residual."""
     from .jobs import ml_job
-    return ml_job(_raw(spark, sf)).select(*ANOM_TIES, "RESIDUAL", "ANOMALY_TYPE")
+    rows = ml_job(_raw(spark, sf), preds=spark.read.parquet(_fitted(spark, sf)[1]))
+    over = F.col("PTS") > F.col("PRED_PTS_NEXT_GAME")
+    return rows.select(*ANOM_TIES, F.when(F.coalesce(over, F.lit(False)), F.col("ANOMALY_TYPE") == "OVERPERFORM")
+                       .otherwise(F.col("ANOMALY_TYPE") == "UNDERPERFORM").alias("label_agrees"))
 
 
 QUERIES.update({
@@ -522,6 +629,9 @@ QUERIES.update({
     "upsert": q_upsert,
     "upsert_all_columns": q_upsert_all_columns,
     "upsert_table": q_upsert_table,
+    "upsert_table_null_season": q_upsert_table_null_season,
+    "upsert_table_missing_column": q_upsert_table_missing_column,
+    "warehouse_job": q_warehouse_job,
     "stream_upsert": q_stream_upsert,
     "overwrite_roundtrip": q_overwrite_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
@@ -534,8 +644,7 @@ QUERIES.update({
 })
 
 
-# --- the skew-safe plan forced (the automatic choice picks the Window plan
-# when no entity is hot); same results, checked against the same oracle ----
+# --- the block plan named explicitly (it is the default) ----
 
 def q_player_features_skew_safe(spark, sf):
     return feat.player_features(_silver(spark, sf), strategy="positions")

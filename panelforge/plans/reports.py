@@ -24,7 +24,7 @@ def recent_games(features: DataFrame, player: str, n: int = 50,
 
 
 def recent_games_from_silver(silver: DataFrame, player: str, n: int = 50,
-                             strategy: str = "auto") -> DataFrame:
+                             strategy: str = "positions") -> DataFrame:
     """Recent games computed from silver for one player: the name is
     resolved to player ids first, so only those players' windows are
     computed (the ranks still cover all rows)."""

@@ -16,13 +16,8 @@ from ..schemas import RUN_LOG_SCHEMA, RUN_STATUSES
 from ..sources.ingest import path_exists
 
 
-def truncate_error(error, n: int = 2000) -> str | None:
-    """Text of an error cut to ``n`` characters; None when empty."""
-    return str(error)[:n] if error else None
-
-
-def start_run() -> tuple[str, float]:
-    return str(uuid.uuid4()), time.time()
+#: Fixed value: characters of an error text that the log keeps.
+ERROR_CHARS = 2000
 
 
 class RunLog:
@@ -38,8 +33,9 @@ class RunLog:
         if status not in RUN_STATUSES:
             raise ValueError(f"status must be one of {RUN_STATUSES}")
         rt = None if runtime is None else decimal.Decimal(f"{runtime:.6f}")
+        text = None if error is None else str(error)
         row = [(run_id, layer, None if rows is None else int(rows), status, rt,
-                truncate_error(error), executed_at)]
+                text[:ERROR_CHARS] if text else None, executed_at)]
         df = self.spark.createDataFrame(row, RUN_LOG_SCHEMA)
         if executed_at is None:
             df = df.withColumn("executed_at", F.current_timestamp())
@@ -55,20 +51,29 @@ class RunLog:
         staged.coalesce(files).write.mode("overwrite").parquet(self.path)
 
 
-class _Handle:
-    rows: int | None = None
+class LayerRun:
+    """One run of a layer: its id, and what the log will say of it."""
+
+    def __init__(self, run_id: str | None = None):
+        self.run_id = run_id or uuid.uuid4().hex
+        self.rows: int | None = None
+        self.status = "success"
+        self.message: str | None = None
+        self._began = time.monotonic()
+
+    @property
+    def seconds(self) -> float:
+        return time.monotonic() - self._began
 
 
 @contextlib.contextmanager
 def run_layer(log: RunLog, layer: str, run_id: str | None = None):
-    """Time a layer; on success log 'success' with ``handle.rows``; on an
+    """Time a layer and log its ``rows``, ``status`` and ``message``; on an
     exception log 'failure' with the error text (no rows) and re-raise."""
-    rid, t0 = start_run()
-    rid = run_id or rid
-    h = _Handle()
+    run = LayerRun(run_id)
     try:
-        yield h
+        yield run
     except Exception as e:
-        log.append(rid, layer, "failure", time.time() - t0, None, e)
+        log.append(run.run_id, layer, "failure", run.seconds, None, e)
         raise
-    log.append(rid, layer, "success", time.time() - t0, h.rows)
+    log.append(run.run_id, layer, run.status, run.seconds, run.rows, run.message)

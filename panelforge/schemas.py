@@ -46,10 +46,11 @@ BRONZE_TEXT_SCHEMA = T.StructType(
     + [T.StructField(c, T.StringType()) for c in MEASURE_COLS]
     + [T.StructField("INGESTED_AT", T.StringType())])
 
+# Columns of the run log (row counts are 64-bit: a layer can exceed 2^31 rows).
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("layer", T.StringType(), False),
-    T.StructField("rows_processed", T.IntegerType()),
+    T.StructField("rows_processed", T.LongType()),
     T.StructField("status", T.StringType(), False),
     T.StructField("runtime_seconds", T.DecimalType(18, 6)),
     T.StructField("error_message", T.StringType()),

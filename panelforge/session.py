@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -22,12 +22,11 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     # No broadcast from static size estimates (not a proven bound): only
-    # explicit hints behind a row-count check (operators/joins.py), and
+    # explicit hints behind a measured size (operators/joins.py), and
     # AQE's conversion, which uses the measured size of a finished stage.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # partition folder values stay text ("0022400001", "2024-25")
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
@@ -60,20 +59,17 @@ def build_session(master: str | None = None, app_name: str = "panelforge",
 def apply_conf(spark: SparkSession, overrides: dict | None = None) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k, v in {**BASE_CONF, **(overrides or {})}.items():
-        if k.startswith("spark.ui."):
-            continue
-        try:
+        if spark.conf.isModifiable(k):  # others are fixed when the application starts
             spark.conf.set(k, v)
-        except Exception:  # static conf on an already running session
-            pass
     ensure_checkpoint_dir(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; that setting wins.  Only
-    when it is unset (local runs, tests) a private folder is created.
+    The cluster names it in ``spark.checkpoint.dir``; that setting wins.  When
+    it is unset, a private folder is created for a local master (one machine);
+    on a cluster, where executors would not see it, this fails.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -82,6 +78,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
         configured = tempfile.mkdtemp(prefix="panelforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -97,13 +96,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:
-        return os.cpu_count() or 8
-
-
 def purge_scratch(spark: SparkSession, older_than_hours: float = 24.0, prefix: str = "",
                   dry_run: bool = False) -> list[str]:
     """Delete this package's scratch folders (``<checkpoint>/panelforge-scratch``)

@@ -59,9 +59,9 @@ def game_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = order_measures(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_linenumber", "l_suppkey", "l_partkey"))
 
-    # Dimension sides are broadcast only after a row-count check.
-    cust = join_small(customer, nation, customer.c_nationkey == nation.n_nationkey, "inner")
-    base = join_small(orders, cust, orders.o_custkey == cust.c_custkey, "inner")
+    # Dimension sides are broadcast only after a check of their size.
+    cust = join_small(customer, nation, ("c_nationkey", "n_nationkey"), "inner")
+    base = join_small(orders, cust, ("o_custkey", "c_custkey"), "inner")
     # order measures are one row per order: a shuffle join on a unique key.
     g = base.join(li, base.o_orderkey == li.l_orderkey, "left")
 
@@ -93,14 +93,6 @@ def game_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def typed_raw(bronze: DataFrame) -> DataFrame:
-    """Raw log with numeric measures, as the older lineage's local table
-    holds them (upper-case names kept)."""
-    from ..schemas import MEASURE_COLS
-    return bronze.select(*[F.col(c).cast("double").alias(c) if c in MEASURE_COLS else F.col(c)
-                           for c in bronze.columns])
-
-
 _BRONZE_CACHE: dict[tuple[str, str], str] = {}
 
 

@@ -8,6 +8,7 @@ an explicit schema keeps ids such as ``0022400001`` as text.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -31,10 +32,11 @@ def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None):
 
 
 def write_landing(df: DataFrame, root: str, season_col: str = "SEASON", fmt: str = "parquet",
-                  drop_cols: Sequence[str] = ("INGESTED_AT",)) -> str:
+                  drop_cols: Sequence[str] = ("INGESTED_AT",), mode: str = "overwrite") -> str:
     """Drop a raw batch as one folder per season (the feed has no SEASON or
     INGESTED_AT column; they are added at ingestion)."""
-    w = df.drop(*drop_cols).write.mode("overwrite").partitionBy(season_col).format(fmt)
+    w = df.drop(*drop_cols).write.mode(mode).option(
+        "partitionOverwriteMode", "static").partitionBy(season_col).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     w.save(root)
@@ -79,14 +81,19 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 def incremental(df: DataFrame, as_of: str, lookback_days: int = LOOKBACK_DAYS,
                 full_refresh: bool = False, date_col: str = "GAME_DATE") -> DataFrame:
     """Rows dated in [as_of - lookback_days, as_of] (both ends included), or
-    all rows on a full refresh.  ``as_of`` is an argument, not today's date,
-    so reruns are reproducible.  On a partitioned or sorted source the date
-    predicate is pushed to the scan."""
+    all rows on a full refresh.  ``as_of`` is an argument, not today's date, so
+    reruns are reproducible.  A text column holds ISO dates (a time may follow);
+    bounds on the text itself reach the scan, which skips files and row groups
+    outside them, and the parsed date decides."""
     if full_refresh:
         return df
-    d = F.to_date(F.col(date_col))
-    end = F.to_date(F.lit(as_of))
-    return df.where(d.between(F.date_sub(end, lookback_days), end))
+    last = dt.date.fromisoformat(as_of)
+    first = last - dt.timedelta(days=lookback_days)
+    c = F.col(date_col)
+    if isinstance(df.schema[date_col].dataType, T.StringType):
+        next_day = (last + dt.timedelta(days=1)).isoformat()
+        df = df.where((c >= first.isoformat()) & (c < next_day))
+    return df.where(F.to_date(c).between(F.lit(first), F.lit(last)))
 
 
 @dataclass
@@ -102,13 +109,14 @@ def isolated_load(spark: SparkSession, root: str, seasons: Sequence[str],
                   batch_ts: str | None = None) -> LoadResult:
     """Read each season on its own; a season that cannot be read (missing
     folder, unreadable files, schema mismatch) is recorded as failed and the
-    others proceed.  The check per season is a file listing plus schema
-    resolution on the driver - no data is pulled."""
+    others proceed.  The check per season counts its rows, which for Parquet
+    opens every file's footer and no data, and decodes one row."""
     frames, res = [], LoadResult(None)
     for s in seasons:
         try:
             df = read_season(spark, root, s, schema, fmt, batch_ts)
-            df.schema  # noqa: B018 - forces resolution of files and schema
+            df.count()
+            df.limit(1).collect()
             frames.append(df)
             res.loaded.append(s)
         except Exception as e:  # noqa: BLE001 - any read failure isolates the season
@@ -122,9 +130,9 @@ def bronze_status(requested: Sequence[str], failed: Sequence[str]) -> tuple[str,
     """(status, message) of a bronze run: all seasons failed -> 'warning';
     some -> 'partial'; none -> 'success'."""
     if requested and len(failed) >= len(requested):
-        return "warning", f"API timeout - failed seasons: {','.join(failed)}"
+        return "warning", f"no season could be read: {', '.join(failed)}"
     if failed:
-        return "partial", f"Failed seasons: {','.join(failed)}"
+        return "partial", f"unreadable seasons: {', '.join(failed)}"
     return "success", None
 
 
@@ -133,7 +141,7 @@ def roundtrip(df: DataFrame, path: str, fmt: str = "parquet",
     """Write with replace semantics and read back (CSV with header and an
     explicit schema: inference would strip leading zeros from ids)."""
     spark = df.sparkSession
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     r = spark.read.format(fmt).schema(schema or df.schema)
     if fmt == "csv":
         # NULL is written as \N so it stays distinct from the empty string

@@ -3,7 +3,10 @@
 Landing files are read with a file source; every micro-batch is upserted
 into the bronze table with ``foreachBatch``.  The upsert is idempotent on
 the key, so a batch replayed after a failure (same ``batch_id``) leaves the
-table unchanged.  ``availableNow`` processes what has landed and stops, the
+table unchanged.  A lookback load lands rows again that an earlier file holds;
+when both files fall into one micro-batch, the row of the newest file counts
+(later modification time, then larger path).  A key twice in one file stays an
+error.  ``availableNow`` processes what has landed and stops, the
 way a scheduled job runs; the checkpoint location (in the shared checkpoint
 folder unless given) remembers which files were done.
 """
@@ -12,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +23,17 @@ from ..operators.upsert import DEFAULT_UPDATE, read_table, upsert_table
 from ..session import scratch_path
 
 
+def newest_file(batch: DataFrame, keys: Sequence[str], file_col: str = "_pf_file") -> DataFrame:
+    """Per key the rows of its newest file; rows with a NULL key part all stay."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    newest = F.max(file_col).over(Window.partitionBy(*keys))
+    kept = batch.where(whole).withColumn("_pf_newest", newest).where(
+        F.col(file_col) == F.col("_pf_newest")).drop("_pf_newest")
+    return kept.unionByName(batch.where(~whole))
+
+
 def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                   keys: Sequence[str], update_cols: Sequence[str] | None = DEFAULT_UPDATE,
                   fmt: str = "parquet", batch_ts: str | None = None,
@@ -31,7 +45,8 @@ def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, targe
         reader = reader.option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.load(landing)
+    src = reader.load(landing).withColumn("_pf_file", F.struct(
+        F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")))
     if batch_ts is not None:
         src = src.withColumn("INGESTED_AT", F.lit(batch_ts))
     cols = [f.name for f in schema.fields if f.name != "INGESTED_AT"] + (
@@ -39,8 +54,8 @@ def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, targe
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         # the micro-batch's own session; replaying a batch_id is harmless
-        upsert_table(batch.sparkSession, target, batch.select(*cols), keys, update_cols,
-                     partition_col)
+        upsert_table(batch.sparkSession, target, newest_file(batch, keys).select(*cols), keys,
+                     update_cols, partition_col)
 
     q = (src.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))

@@ -1,7 +1,6 @@
-"""Opponent parsing, NaN handling and error-text truncation (G3, G7, B6, B20)."""
+"""Opponent parsing and NaN handling (G3, G7, B6)."""
 
-from panelforge.functions.expressions import (nan_to_null, opponent_last_token,
-                                              opponent_split_part, truncate_text)
+from panelforge.functions.expressions import nan_to_null, opponent_last_token, opponent_split_part
 
 from .conftest import rows
 
@@ -32,10 +31,3 @@ def test_nan_is_missing(spark):
     out = df.select((nan_to_null("x") > 0).alias("pos"), nan_to_null("x").alias("x"))
     assert rows(out, "pos") == [True, None, None]
     assert rows(out, "x")[1] is None
-
-
-def test_error_text_truncated(spark):
-    df = spark.createDataFrame([("e" * 3000,), ("",), (None,)], "t string")
-    out = df.select(truncate_text("t").alias("t"))
-    got = rows(out, "t")
-    assert len(got[0]) == 2000 and got[1] is None and got[2] is None

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from panelforge.plans import features as feat
 from panelforge.plans.silver import silver
-from panelforge.sources.fixtures import game_log, typed_raw
+from panelforge.plans.features import typed_raw
+from panelforge.sources.fixtures import game_log
 
 from .conftest import SF_SMALL
 
@@ -51,8 +52,8 @@ def test_entry_contract(spark):
     assert len(df.columns) == 19 and df.count() == 1500
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
-    rows_only = set(qs) - set(orc)
-    assert rows_only == {"rf_predict", "rf_metrics", "model_roundtrip", "ml_job"}
+    from panelforge.plans.registry import QUERIES
+    assert set(QUERIES) <= set(orc)  # every query of the game log has its SQL
     assert {"player_features_skew_safe", "features_last5_skew_safe"} <= set(orc)
 
 

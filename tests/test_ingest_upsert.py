@@ -4,7 +4,7 @@ run log and run status."""
 import pytest
 
 from panelforge.operators import upsert as ups
-from panelforge.plans.runlog import RunLog, run_layer, truncate_error
+from panelforge.plans.runlog import RunLog, run_layer
 from panelforge.session import scratch_path
 from panelforge.sources import ingest
 
@@ -105,15 +105,79 @@ def test_run_log_layers(spark):
     log = RunLog(spark, scratch_path(spark, "t-runlog"))
     log.create()
     with run_layer(log, "silver", "r1") as h:
-        h.rows = 5
+        h.rows = 5_000_000_000  # more than 32 bits hold
     with pytest.raises(ValueError):
         with run_layer(log, "gold", "r2"):
             raise ValueError("boom" * 1000)
     got = {r["run_id"]: r for r in log.read().collect()}
-    assert got["r1"]["status"] == "success" and got["r1"]["rows_processed"] == 5
+    assert got["r1"]["status"] == "success" and got["r1"]["rows_processed"] == 5_000_000_000
     assert got["r2"]["status"] == "failure" and got["r2"]["rows_processed"] is None
     assert len(got["r2"]["error_message"]) == 2000
-    assert truncate_error("") is None
+    log.append("r3", "quality", "warning", None, error="")
+    assert log.read().where("run_id = 'r3'").first()["error_message"] is None
+
+
+def test_upsert_table_keeps_null_season_rows(spark):
+    path = scratch_path(spark, "t-null-season")
+    ups.upsert_table(spark, path, _t(spark, [(None, "1", 1, "1", "t0"), ("2000", "2", 1, "2", "t0")]), KEYS)
+    out = ups.upsert_table(spark, path, _t(spark, [(None, "3", 1, "3", "t1"), ("2000", "4", 1, "4", "t1")]), KEYS)
+    assert sorted(rows(out, "GAME_ID")) == ["1", "2", "3", "4"]
+    out = ups.upsert_table(spark, path, _t(spark, [(None, "5", 1, "5", "t2")]), KEYS)
+    assert sorted(rows(out, "GAME_ID")) == ["1", "2", "3", "4", "5"]
+
+
+def test_upsert_table_batch_without_a_column(spark):
+    path = scratch_path(spark, "t-missing-col")
+    ups.upsert_table(spark, path, _t(spark, [("a", "1", 1, "9", "t0")]), KEYS)
+    batch = _t(spark, [("a", "1", 1, "0", "t1"), ("a", "2", 1, "0", "t1")]).drop("PTS")
+    out = ups.upsert_table(spark, path, batch, KEYS).orderBy("GAME_ID")
+    assert rows(out, "GAME_ID", "PTS", "INGESTED_AT") == [("1", "9", "t1"), ("2", None, "t1")]
+    with pytest.raises(ValueError, match="EXTRA"):
+        ups.upsert_table(spark, path, batch.selectExpr("*", "1 AS EXTRA"), KEYS)
+
+
+def test_upsert_table_reads_only_touched_partitions(spark):
+    path = scratch_path(spark, "t-pruned")
+    ups.upsert_table(spark, path, _t(spark, [(s, "1", 1, "1", "t0") for s in "abc"]), KEYS)
+    batch = _t(spark, [("b", "2", 1, "1", "t1"), (None, "3", 1, "1", "t1")])
+    plan = ups.read_table(spark, path).where(ups.touched_partitions(batch, "SEASON"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    filters = text[text.index("PartitionFilters"):text.index("PushedFilters")]
+    assert "b" in filters and "isnull" in filters
+
+
+def test_lookback_bounds_reach_the_scan(spark):
+    path = scratch_path(spark, "t-lookback")
+    spark.createDataFrame([("2001-07-17",), ("2001-07-18",), ("2001-08-01 20:00:00",), ("2001-08-02",), (None,)],
+                          "GAME_DATE string").write.parquet(path)
+    df = ingest.incremental(spark.read.parquet(path), "2001-08-01")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(GAME_DATE,2001-07-18)" in text and "LessThan(GAME_DATE,2001-08-02)" in text
+    assert sorted(rows(df, "GAME_DATE")) == ["2001-07-18", "2001-08-01 20:00:00"]
+
+
+def test_partitioned_replace_replaces(spark):
+    root = scratch_path(spark, "t-replace")
+    feed = _t(spark, [(s, str(i), 1, "1", "t0") for s in "ab" for i in range(5)])
+    ingest.write_landing(feed, root)
+    ingest.write_landing(feed.where("SEASON = 'b'").limit(2), root)
+    assert spark.read.parquet(root).count() == 2
+
+
+def test_unreadable_file_fails_only_its_season(spark):
+    root = scratch_path(spark, "t-junk")
+    ingest.write_landing(_t(spark, [("a", "1", 1, "1", "t0")]), root)
+    spark.createDataFrame([("junk",)], "v string").coalesce(1).write.text(f"{root}/SEASON=z")
+    res = ingest.isolated_load(spark, root, ["a", "z"], _t(spark, []).drop("SEASON", "INGESTED_AT").schema)
+    assert res.loaded == ["a"] and res.failed == ["z"] and res.frame.count() == 1
+
+
+def test_stream_takes_the_newest_file_of_a_key(spark):
+    from panelforge.streaming.stream_upsert import newest_file
+    df = spark.sql("""SELECT * FROM VALUES ('a', '1', 1, 'old', named_struct('t', 1, 'f', 'x')),
+        ('a', '1', 1, 'new', named_struct('t', 2, 'f', 'x')), ('a', null, 1, 'n1', named_struct('t', 1, 'f', 'x')),
+        ('a', null, 1, 'n2', named_struct('t', 2, 'f', 'y')) AS v(SEASON, GAME_ID, PLAYER_ID, PTS, _pf_file)""")
+    assert sorted(rows(newest_file(df, KEYS), "PTS")) == ["n1", "n2", "new"]
 
 
 def test_stream_upsert_replay_is_idempotent(spark):

@@ -132,20 +132,28 @@ def test_recent_games_null_date_first(spark):
 
 def test_checked_broadcast(spark):
     from panelforge.operators import joins
-    small = spark.range(10)
-    frame, ok, n = joins.checked_broadcast(small, max_rows=100)
-    assert ok and n == 10
-    frame, ok, n = joins.checked_broadcast(spark.range(1000), max_rows=100)
-    assert not ok and n == 101
-    # a large scan-like side is rejected from its estimate, without a job
-    frame, ok, n = joins.checked_broadcast(spark.range(10_000_000), max_rows=100, reject_bytes=1000)
-    assert not ok and n is None
-    # aggregates are always counted, whatever their estimate
-    agg = spark.range(10_000).groupBy((F.col("id") % 3).alias("k")).count()
-    frame, ok, n = joins.checked_broadcast(agg, max_rows=100, reject_bytes=1000)
-    assert ok and n == 3
+    side, fits = joins.checked_broadcast(spark.range(10), max_rows=100)
+    assert fits and side.count() == 10
+    assert not joins.checked_broadcast(spark.range(1000), max_rows=100)[1]
+    assert not joins.checked_broadcast(spark.range(100_000), max_bytes=1000)[1]
     out = joins.join_small(spark.range(5), spark.range(3), "id", "inner")
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    out = joins.join_small(spark.range(5), spark.range(3), "id", "inner", max_rows=2)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 3
+
+
+def test_small_side_is_fresh_and_not_cached(spark):
+    from panelforge.operators import joins
+    from panelforge.session import scratch_path
+    path = scratch_path(spark, "t-side")
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    spark.range(3).write.parquet(path)
+    big = spark.range(10)
+    assert joins.join_small(big, spark.read.parquet(path), "id", "inner").count() == 3
+    spark.range(3, 6).write.mode("append").parquet(path)
+    assert joins.join_small(big, spark.read.parquet(path), "id", "inner").count() == 6
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
 
 
 def test_recent_games_sql_bound_parameter(spark):

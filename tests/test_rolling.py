@@ -111,13 +111,9 @@ def test_positions_dense_and_hot_key_split(spark):
     assert keys == sorted(keys)
 
 
-def test_auto_strategy_detects_hot_entity(spark):
-    from panelforge.operators.rolling import has_hot_entity, resolve_strategy
-    df = _random_frame(spark, 3000, seed=5)
-    assert has_hot_entity(df, ["e"], num_partitions=8, floor_rows=100)
-    assert resolve_strategy(df, ["e"], "auto") == "window"  # below the default floor
-    even = df.where(F.col("e") != "hot")
-    assert not has_hot_entity(even, ["e"], num_partitions=8, floor_rows=100)
+def test_unknown_strategy_is_refused(spark):
+    with pytest.raises(ValueError):
+        rolling_features(_random_frame(spark, 10, seed=5), ["e"], ["d"], strategy="auto")
 
 
 @pytest.mark.parametrize("block_rows", [5, 7, 64])
