@@ -76,11 +76,7 @@ RECENT_GAME_COLS = [
 ]
 
 # Model features of the older pipeline.  The original list names
-# the points rank twice and omits the assists rank; the default here is the
-# intended list, the verbatim one is kept for parity runs.
+# the points rank twice and omits the assists rank; this is the intended list.
 MODEL_FEATURES = ["PTS_LAST5", "REB_LAST5", "AST_LAST5", "MIN_LAST5",
                   "PRA_LAST5", "OPP_PTS_ALLOWED_RANK", "OPP_REB_ALLOWED_RANK",
                   "OPP_AST_ALLOWED_RANK"]
-MODEL_FEATURES_VERBATIM = ["PTS_LAST5", "REB_LAST5", "AST_LAST5", "MIN_LAST5",
-                           "PRA_LAST5", "OPP_PTS_ALLOWED_RANK",
-                           "OPP_REB_ALLOWED_RANK", "OPP_PTS_ALLOWED_RANK"]
