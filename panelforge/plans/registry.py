@@ -1,5 +1,6 @@
 """Named queries over the test tables: one callable ``(spark, sf_dir)`` per
-operator of the inventory.  Results are lazy DataFrames; outputs with
+operator of the inventory.  The results are DataFrames; building most of them
+already runs jobs (statistics, positions, written tables).  Outputs with
 time-zone timestamps are rendered as text so they compare across engines."""
 
 from __future__ import annotations
