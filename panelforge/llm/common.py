@@ -60,13 +60,14 @@ def slices(batches, *columns: str):
             yield tuple(c[start:] for c in cols)
 
 
-def parts(batches, column: str = "_text"):
-    """Pieces of Arrow batches with the column's values as a list, cut as in ``slices``."""
+def parts(batches, column: str = "_text", chars: int = SLICE_CHARS):
+    """Pieces of Arrow batches with the column's values as a list, of at most
+    ``chars`` characters or one row."""
     for b in batches:
         texts = b.column(column).to_pylist()
         start = size = 0
         for i, t in enumerate(texts):
-            if i > start and size + len(t) > SLICE_CHARS:
+            if i > start and size + len(t) > chars:
                 yield b.slice(start, i - start), texts[start:i]
                 start, size = i, 0
             size += len(t)
@@ -74,7 +75,7 @@ def parts(batches, column: str = "_text"):
             yield b.slice(start), texts[start:]
 
 
-def with_columns(rows: DataFrame, fn, columns: str) -> DataFrame:
+def with_columns(rows: DataFrame, fn, columns: str, chars: int = SLICE_CHARS) -> DataFrame:
     """``rows`` without ``_text``, and the columns that ``fn()(texts)`` gives as
     lists or arrays.  ``fn`` is called once per task, so it may keep a state."""
     from pyspark.sql.types import StructType
@@ -84,7 +85,7 @@ def with_columns(rows: DataFrame, fn, columns: str) -> DataFrame:
 
     def run(batches):
         of = fn()
-        for piece, texts in parts(batches):
+        for piece, texts in parts(batches, chars=chars):
             yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), *of(texts)],
                                              names=[*names, *added.names])
 
@@ -116,3 +117,80 @@ def mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(32))
     h = h * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
+
+
+SPACES = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 1 << 64)
+
+
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2 ** 64."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            def powers(x):
+                out = np.full(n, x, np.uint64)
+                out[0] = 1
+                return np.cumprod(out, dtype=np.uint64)
+            self.up, self.down = powers(_STEP), powers(_BACK)
+        return self.up[:n], self.down[:n]
+
+
+class Tokens:
+    """The lower-cased (A-Z) words of some texts, in order, as arrays.
+
+    ``raw``: the texts' bytes; ``start`` and ``end`` of each word there; ``doc``:
+    which text it is of; ``h``: its 64-bit hash, a polynomial in its bytes,
+    taken from running sums, so that no word becomes a Python object."""
+
+    def __init__(self, texts: list[str], powers: Powers):
+        parts = [t.encode() for t in texts]
+        self.bytes = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.raw = b"\n".join(parts).lower() + b"\n"
+        b = np.frombuffer(self.raw, np.uint8)
+        edge = np.diff(np.r_[True, SPACES[b]].astype(np.int8))
+        self.start, self.end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        up, down = powers.of(len(b))
+        term = (b.astype(np.uint64) + np.uint64(1)) * up
+        total = np.cumsum(term, dtype=np.uint64)
+        h = (total[self.end - 1] - total[self.start] + term[self.start]) * down[self.start]
+        self.h = mixed(h + (self.end - self.start).astype(np.uint64))
+        first = np.cumsum(self.bytes + 1) - self.bytes - 1
+        self.first_word = np.searchsorted(self.start, first)
+        self.words = np.diff(np.r_[self.first_word, len(self.start)])
+        self.doc = np.repeat(np.arange(len(parts)), self.words)
+
+    def word(self, i: int) -> bytes:
+        return self.raw[self.start[i]:self.end[i]]
+
+
+class Numbers:
+    """Numbers of known hashes (their places in ``known``), -1 for others."""
+
+    def __init__(self, known: np.ndarray):
+        bits = max(int(len(known)).bit_length() + 1, 4)
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.key, self.number = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1)
+        todo, slot = np.arange(len(known)), (known >> self.shift).astype(np.int64)
+        while len(todo):  # linear probing, all at once: the first of each free slot gets it
+            free = self.number[slot] < 0
+            at, first = np.unique(np.where(free, slot, -1), return_index=True)
+            first = first[at >= 0]
+            self.key[slot[first]], self.number[slot[first]] = known[todo[first]], todo[first]
+            left = np.ones(len(todo), bool)
+            left[first] = False
+            todo, slot = todo[left], (slot[left] + 1) & self.mask
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        slot = (h >> self.shift).astype(np.int64)
+        out = self.number[slot]
+        wrong = np.flatnonzero((out >= 0) & (self.key[slot] != h))
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & self.mask
+            out[wrong] = self.number[slot[wrong]]
+            wrong = wrong[(out[wrong] >= 0) & (self.key[slot[wrong]] != h[wrong])]
+        return out

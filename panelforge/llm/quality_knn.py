@@ -163,7 +163,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                 names=["y", "x"])
 
     rows = training_rows(docs, labels, label, sample, mod, held, id_col, text_col).select("y", "_text")
-    got = rows.mapInArrow(run, "y int, x binary").toPandas()
-    x = np.frombuffer(b"".join(got["x"]), np.float16).reshape(-1, TERMS).astype(np.float32)
-    order = np.lexsort((*x.T[:8], got["y"].to_numpy(int)))  # the same sums in the same order each time
-    return fit(x[order], got["y"].to_numpy(int)[order], directions)
+    got = sorted((r.x, r.y) for r in rows.mapInArrow(run, "y int, x binary").collect())  # the same order each time
+    x = np.frombuffer(b"".join(x for x, _ in got), np.float16).reshape(-1, TERMS).astype(np.float32)
+    return fit(x, np.array([y for _, y in got], int), directions)

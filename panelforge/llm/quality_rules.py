@@ -108,9 +108,10 @@ def em(votes: np.ndarray, counts: np.ndarray, rounds: int = 300, tol: float = 1e
     ``votes``: patterns x rules in {-1, 0, 1}; ``counts``: rows per pattern.
     It starts from the patterns themselves (a text with a bad vote is probably
     bad) and alternates: accuracies from the posteriors, posteriors from the
-    accuracies.  Two priors name the classes and settle small or one-sided
-    tables: pseudo-counts, and rules that are written to be precise, so a good
-    text draws a bad vote of a rule at most ``false_alarm`` of the time.
+    accuracies.  Three priors name the classes and settle small or one-sided
+    tables: pseudo-counts; rules that are written to be precise, so a good text
+    draws a bad vote of a rule at most ``false_alarm`` of the time; and a text
+    without any bad vote is good.
     Returns (posterior of good per pattern, share of good,
     accuracies[class, vote + 1, rule] for the classes good and bad)."""
     is_vote = np.stack([votes == v for v in (-1, 0, 1)]).astype(float)  # vote x pattern x rule
@@ -127,6 +128,7 @@ def em(votes: np.ndarray, counts: np.ndarray, rounds: int = 300, tol: float = 1e
         share = (weight[0].sum() + 9) / (counts.sum() + 10)
         logs = np.einsum("vpr,cvr->cp", is_vote, np.log(acc))
         new = 1 / (1 + np.exp(np.clip(logs[1] - logs[0] + np.log((1 - share) / share), -500, 500)))
+        new = np.where(bad_votes == 0, np.maximum(new, 0.98), new)
         moved, post = np.abs(new - post).max(initial=0), new
         if moved < tol:
             break

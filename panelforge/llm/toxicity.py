@@ -176,10 +176,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                 names=["y", "flat", "stops"])
 
     rows = training_rows(docs, labels, label, sample, mod, held, id_col, text_col, per_class=True)
-    got = rows.select("y", "_text").mapInArrow(run, "y int, flat binary, stops binary").toPandas()
-    got = got.sort_values(["y", "flat", "stops"])
+    got = rows.select("y", "_text").mapInArrow(run, "y int, flat binary, stops binary").collect()
     bags = [(int(y), [s for s in np.split(np.frombuffer(f, np.int32), np.frombuffer(e, np.int32)) if len(s)])
-            for y, f, e in zip(got["y"], got["flat"], got["stops"])]
+            for y, f, e in sorted((r.y, r.flat, r.stops) for r in got)]
     counts = {r[0]: r[1] for r in labels.filter(remainder(id_col, mod) != held).groupBy(
         F.col(label).cast("int")).count().collect()}  # one row per label
     weight = {k: counts.get(k, 1) / max(sum(y == k for y, _ in bags), 1) for k in (0, 1)}
