@@ -4,11 +4,15 @@
    node, so copies cost one row each and are never compared.
 2. Prefix filter: of two sets with Jaccard similarity t or more, the
    ``n - ceil(t n) + 1`` first shingles of either, in any one order, have a
-   shingle in common.  Shingles that occur often come last in that order (a
-   bounded list of frequent ones; it steers cost, never the result).  Nodes
-   that share a prefix shingle form a tile.
+   shingle in common.  The order is by length, longest first: long shingles
+   are rare, and those of short words only, which unrelated texts share by
+   chance, come last.  Behind them come shingles that occur often (a bounded
+   list; order and list steer cost, never the result).  Nodes that share a
+   prefix shingle form a tile.
 3. Links inside a tile are looked for in two steps.  First each node against
-   the tile's first node; the links found give components.  Then only pairs of
+   a centre (in its size band the node that is in the most tiles), then those
+   without a link against the node most like that one; the links found give
+   components.  Then only pairs of
    one tile from different components, which for a group of near copies are
    few: sorted by size and cut into size bands, a band is compared with itself
    and the bands within reach of the size bound, and the hashed bitmaps' bit
@@ -28,30 +32,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
-from .common import WordHash, mixed, slices, stage, two
+from .common import Powers, Tokens, mixed, parts, stage, two, whole_rows, with_columns
 from .components import connected_components
 
-BITS = 1024
+#: Bits of a bitmap per shingle of the set, at least; their number is a power of two.
+BITS_PER_SHINGLE, LEAST_BITS = 6, 64
+#: Characters of text whose words are arrays at once.
+CHARS = 500_000
 #: Frequent shingles kept for the order, and the counts that make one frequent.
 FREQUENT = 1 << 18
 FREQUENT_IN_SLICE, FREQUENT_IN_ALL = 4, 12
 #: Prefix entries a task should get, entries of one shingle before it is split, nodes of a tile per block.
 TASK_ENTRIES, HOT_ENTRIES, BLOCK = 2_000_000, 500_000, 2000
+#: Times that nodes without a link try a centre nearer to the original.
+CLIMBS = 2
+#: Rows of tiles that a task should get, pairs that it looks at together.
+TASK_ROWS, PAIRS = 100_000, 1_000_000
+#: Shingles that a task counts together for the frequent ones.
+COUNTED = 2_000_000
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str, hashes: WordHash, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the n-grams of lower-cased words (A-Z only);
-    fewer words than n make one shingle, none make none."""
-    h = hashes.array(text.encode().lower().split())
-    if not len(h):
-        return h
-    size = min(n, len(h))
-    acc = h[:len(h) - size + 1]
-    for k in range(1, size):
-        acc = acc * MULTIPLIER + h[k:len(h) - size + 1 + k]
-    return np.unique(mixed(acc + np.uint64(size)))
+def shingle_sets(texts: list[str], powers: Powers, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per text its distinct n-grams of lower-cased words (A-Z only) as sorted
+    hashes, and the bytes of each n-gram's words; fewer words than n make one,
+    none make none."""
+    t = Tokens(texts, powers)
+    size = t.end - t.start
+    total = np.r_[0, np.cumsum(size)]
+    full = max(len(t.h) - n + 1, 0)
+    acc = t.h[:full]
+    for k in range(1, n):
+        acc = acc * MULTIPLIER + t.h[k:k + full]
+    acc = mixed(acc + np.uint64(n))
+    length = total[n:n + full] - total[:full]
+    out = []
+    for first, words in zip(t.first_word.tolist(), t.words.tolist()):
+        if words >= n:
+            s, at = np.unique(acc[first:first + words - n + 1], return_index=True)
+            out.append((s, length[first + at]))
+        elif words:
+            h = t.h[first:first + 1]
+            for k in range(1, words):
+                h = h * MULTIPLIER + t.h[first + k:first + k + 1]
+            out.append((mixed(h + np.uint64(words)), total[first + words:first + words + 1] - total[first]))
+        else:
+            out.append((t.h[:0], size[:0]))
+    return out
 
 
 def node_of(s: np.ndarray) -> int | None:
@@ -66,67 +94,92 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    at = np.zeros(BITS, np.uint8)
-    at[(s >> np.uint64(20)) % np.uint64(BITS)] = 1
-    return np.packbits(at).tobytes()
+    """One bit per hash of the set, out of a power of two of at least
+    ``BITS_PER_SHINGLE`` times its size; halving the bitmap by OR gives the
+    next smaller one."""
+    bits = max(LEAST_BITS, 1 << (BITS_PER_SHINGLE * len(s) - 1).bit_length())
+    at = np.zeros(bits, np.uint8)
+    at[(s >> np.uint64(20)) & np.uint64(bits - 1)] = 1
+    return np.packbits(at, bitorder="little").tobytes()
 
 
-def ordered(s: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The set in the global order: rare shingles by hash, then frequent ones by count."""
-    if not len(frequent):
-        return s
-    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-    hit = frequent[at] == s
-    if not hit.any():
-        return s
-    tail = s[hit]
-    return np.concatenate([s[~hit], tail[np.lexsort((tail, counts[at[hit]]))]])
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of 64-bit words, halved by OR down to ``width`` words."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
+def most_in_common(size_a, size_b, bits_a: np.ndarray, bits_b: np.ndarray) -> np.ndarray:
+    """An upper bound of the overlap: a bit in which two bitmaps differ comes
+    from a shingle of one set only, another one for each bit."""
+    differ = np.bitwise_count(bits_a ^ bits_b).sum(axis=-1, dtype=np.int64)
+    return (size_a + size_b - differ) // 2
+
+
+def ordered(s: np.ndarray, length: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The set in the global order: long shingles first, frequent ones last."""
+    often = np.zeros(len(s), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+        often = np.where(frequent[at] == s, counts[at], 0)
+    return s[np.lexsort((s, -length, often))]
 
 
 def with_sets(docs: DataFrame, n: int) -> DataFrame:
-    """Per row (kind 0): ``_id``, the set's size and node; per slice (kind 1):
-    the shingles found in several different sets of it, and in how many."""
+    """Per row (kind 0): ``_id``, the set's size, node and, once per node and
+    task, its bitmap; per some sets (kind 1): the shingles found in several
+    of them, and in how many."""
 
     def run(batches):
-        hashes = WordHash()
-        for ids, texts in slices(batches, "_id", "_text"):
-            sizes, nodes, sets, seen = [], [], [], set()
-            for t in texts:
-                s = shingles(t, hashes, n)
+        powers, seen, held = Powers(), set(), []
+        names = ["kind", "_id", "n", "node", "bits"]
+        for piece, texts in parts(batches, chars=CHARS):
+            sizes, nodes, bits, sets = [], [], [], []
+            for s, _ in shingle_sets(texts, powers, n):
                 node = node_of(s)
                 sizes.append(len(s))
                 nodes.append(node)
-                if node is not None and node not in seen:
+                new = node is not None and node not in seen
+                if new:
                     seen.add(node)
                     sets.append(s)
-            k = len(ids)
+                bits.append(bitmap(s) if new else None)
+            held += sets
+            k = len(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * k, pa.int32()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(nodes, pa.int64())], names=["kind", "_id", "n", "node"])
-            if sets:
-                every = np.concatenate(sets)
-                every.sort()
-                # Equal neighbours FREQUENT_IN_SLICE apart: at least so many in this slice.
-                often = np.unique(every[FREQUENT_IN_SLICE - 1:][
-                    every[FREQUENT_IN_SLICE - 1:] == every[:len(every) - FREQUENT_IN_SLICE + 1]])
-                times = np.searchsorted(every, often, "right") - np.searchsorted(every, often)
-                k = len(often)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([1] * k, pa.int32()), pa.nulls(k, pa.int64()),
-                     pa.array(times.astype(np.int64)), pa.array(often.view(np.int64))],
-                    names=["kind", "_id", "n", "node"])
-
-    return docs.mapInArrow(run, "kind int, _id long, n long, node long")
+                [pa.array([0] * k, pa.int32()), piece.column("_id"), pa.array(sizes, pa.int64()),
+                 pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())], names=names)
+            if sum(map(len, held)) > COUNTED:
+                yield often(held)
+                held = []
+        if held:
+            yield often(held)
+
+    def often(sets):
+        every = np.sort(np.concatenate(sets))
+        # Equal neighbours FREQUENT_IN_SLICE apart: in at least so many of the sets.
+        last = every[FREQUENT_IN_SLICE - 1:]
+        found = np.unique(last[last == every[:len(every) - FREQUENT_IN_SLICE + 1]])
+        times = np.searchsorted(every, found, "right") - np.searchsorted(every, found)
+        k = len(found)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([1] * k, pa.int32()), pa.nulls(k, pa.int64()), pa.array(times.astype(np.int64)),
+             pa.array(found.view(np.int64)), pa.nulls(k, pa.binary())],
+            names=["kind", "_id", "n", "node", "bits"])
+
+    return docs.mapInArrow(run, "kind int, _id long, n long, node long, bits binary")
 
 
 def prefix_tiles(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, counts: np.ndarray,
                  groups: int, hot: int) -> DataFrame:
-    """(tile, pivot, size, node): nodes with a prefix shingle in common; a tile
+    """(tile, size, node): nodes with a prefix shingle in common; a tile
     is named by its nodes, so shingles with the same nodes give one tile."""
     entry = np.dtype([("key", "<u8"), ("node", "<i8")])
 
     def emit(batches):
-        hashes, seen, held, size = WordHash(), set(), [], 0
+        powers, seen, held, size = Powers(), set(), [], 0
 
         def flush():
             e = np.concatenate(held)
@@ -153,15 +206,14 @@ def prefix_tiles(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, co
                 [pa.array(p[starts]), pa.array([e[i:j].tobytes() for i, j in zip(starts, ends)],
                                                pa.binary())], names=["p", "entries"])
 
-        for (texts,) in slices(batches, "_text"):
-            for t in texts:
-                s = shingles(t, hashes, n)
+        for _, texts in parts(batches, chars=CHARS):
+            for s, length in shingle_sets(texts, powers, n):
                 node = node_of(s)
                 if node is None or node in seen:
                     continue
                 seen.add(node)
                 e = np.empty(prefix_size(len(s), percent), entry)
-                e["key"] = ordered(s, frequent, counts)[:len(e)]
+                e["key"] = ordered(s, length, frequent, counts)[:len(e)]
                 e["node"] = node
                 held.append(e)
                 size += len(e)
@@ -183,7 +235,7 @@ def prefix_tiles(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, co
         if len(e):
             new = np.r_[True, e[1:] != e[:-1]]
             e = e[new]
-        out = {c: [] for c in ("tile", "pivot", "size", "node")}
+        out = {c: [] for c in ("tile", "size", "node")}
         if len(e):
             starts = np.flatnonzero(np.r_[True, e["key"][1:] != e["key"][:-1]])
             sizes = np.diff(np.r_[starts, len(e)])
@@ -193,47 +245,113 @@ def prefix_tiles(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, co
             first &= sizes > 1
             keep = np.repeat(first, sizes)
             out = {"tile": np.repeat(names.view(np.int64), sizes)[keep],
-                   "pivot": np.repeat(e["node"][starts], sizes)[keep],
                    "size": np.repeat(sizes, sizes)[keep], "node": e["node"][keep]}
         return pd.DataFrame(out).astype("int64")
 
     packed = docs.select("_text").mapInArrow(emit, "p int, entries binary")
-    return (packed.groupBy("p").applyInPandas(tiles, "tile long, pivot long, size long, node long")
+    return (packed.groupBy("p").applyInPandas(tiles, "tile long, size long, node long")
             .dropDuplicates(["tile", "node"]))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity, checked exactly."""
+def star_pairs(tiles: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """One pair (a: node, b: centre) per node.  Each size band of a tile has its
+    node that is in the most tiles as centre, which among near copies is near
+    the original; a node takes the centre that it meets in the most tiles."""
+    degree = tiles.groupBy("node").agg(F.count("*").alias("degree"))
+    band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)))
+    t = tiles.select("tile", "node").join(degree, "node").join(
+        nodes.select("node", band.alias("band")), "node")
+    centre = t.groupBy("tile", "band").agg(F.max(F.struct("degree", "node")).alias("centre"))
+    met = t.join(centre, ["tile", "band"]).filter("node != centre.node").groupBy(
+        "node", F.col("centre.node").alias("other")).agg(F.count("*").alias("times"))
+    return met.groupBy("node").agg(F.max(F.struct("times", "other")).alias("x")).select(
+        F.col("node").alias("a"), F.col("x.other").alias("b"))
+
+
+def nearer_pairs(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs without a link again, with the node most like their centre as
+    the new centre.  Copies have more in common with their original than with
+    each other, so this climbs towards it."""
+    nearest = found.groupBy("b").agg(F.max(F.struct("share", "a")).alias("x")).select(
+        F.col("b").alias("old"), F.col("x.a").alias("new"))
+    left = pairs.join(found.select("a", "b"), ["a", "b"], "left_anti")
+    return left.join(nearest, left["b"] == nearest["old"]).filter("a != new").select(
+        "a", F.col("new").alias("b"))
+
+
+def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps allow the similarity."""
 
     def run(batches):
         for batch in batches:
-            keep = []
-            bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BITS // 8)
-                    for c in ("bits_a", "bits_b")] if batch.num_rows else None
-            if bits is not None:
-                na, nb = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-                most = (na + nb - np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)) // 2
-                passing = (100 + percent) * most >= percent * (na + nb)
-                left, right = batch.column("set_a"), batch.column("set_b")
-                for i in np.flatnonzero(passing):
-                    x, y = (np.frombuffer(c[int(i)].as_buffer(), np.uint64) for c in (left, right))
-                    both = len(x) + len(y) - len(np.union1d(x, y))
-                    if 100 * both >= percent * (len(x) + len(y) - both):
-                        keep.append(int(i))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], names=["a", "b"])
+            bits = [batch.column(c).to_pylist() for c in ("bits_a", "bits_b")]
+            size = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            width = np.array([min(len(x), len(y)) // 8 for x, y in zip(*bits)], np.int64)
+            good = np.zeros(batch.num_rows, bool)
+            for w in np.unique(width):
+                at = np.flatnonzero(width == w)
+                a, b = (np.stack([folded(np.frombuffer(x[i], np.uint64), w) for i in at]) for x in bits)
+                total = size[0][at] + size[1][at]
+                good[at] = (100 + percent) * most_in_common(size[0][at], size[1][at], a, b) >= percent * total
+            keep = pa.array(np.flatnonzero(good))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("a", "b")], names=["a", "b"])
 
     def side(x):
-        return sets.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "bits", "set")))
+        return nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
     near = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    return both.filter(near).mapInArrow(run, "a long, b long")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(near)
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+
+
+def linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity, checked exactly, with
+    what ``share`` of their shingles both have.  Sets are made again from one document each of the nodes in question."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    ids = nodes.join(wanted, "node", "left_semi").select("id").distinct()
+
+    def sets_of(batches):
+        powers, seen = Powers(), set()
+        for _, texts in parts(batches, chars=CHARS):
+            out = []
+            for s, _ in shingle_sets(texts, powers, n):
+                node = node_of(s)
+                if node is not None and node not in seen:
+                    seen.add(node)
+                    out.append((node, s.tobytes()))
+            cols = list(zip(*out)) or [()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())],
+                                             names=["node", "set"])
+
+    texts = docs.join(ids, F.col("_id").eqNullSafe(F.col("id")), "left_semi").select("_text")
+    sets = stage(texts.mapInArrow(sets_of, "node long, set binary").dropDuplicates(["node"]), "tile-sets")
+
+    def run(batches):
+        for batch in batches:
+            keep, share = [], []
+            left, right = batch.column("set_a"), batch.column("set_b")
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
+                either = len(np.union1d(x, y))
+                both = len(x) + len(y) - either
+                if 100 * both >= percent * either:
+                    keep.append(i)
+                    share.append(both / either)
+            keep = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(keep) for c in ("a", "b")),
+                                              pa.array(share, pa.float64())], names=["a", "b", "share"])
+
+    def side(x):
+        return sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
+    return both.mapInArrow(run, "a long, b long, share double")
 
 
 def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, percent: int,
-                block: int) -> DataFrame:
-    """Pairs of one tile, from different components, that size and bitmap allow."""
+                block: int, buckets: int) -> DataFrame:
+    """Pairs of one tile, from different components, that size and bitmap allow.
+    ``buckets`` tasks share the tiles and their blocks."""
     t = tiles.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn(
         "part", F.coalesce("part", "node"))
     mixed_tiles = t.groupBy("tile").agg(F.min("part").alias("low"), F.max("part").alias("high")) \
@@ -252,26 +370,61 @@ def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, perce
 
     def run(pdf):
         import pandas as pd
-        pdf = pdf.sort_values(["n", "node"], kind="stable")
-        size, part, node = (pdf[c].to_numpy() for c in ("n", "part", "node"))
-        is_main, own, blk = pdf["main"].to_numpy(bool), pdf["own"].to_numpy(), int(pdf["blk"].iloc[0])
-        bits = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
-        found = []
-        for i in np.flatnonzero(~is_main):
-            # The band that the size bound leaves; among the others, each pair once.
-            lo = np.searchsorted(size, -(-percent * size[i] // 100))
-            hi = np.searchsorted(size, 100 * size[i] // percent, "right")
-            j = np.arange(lo, hi)
-            j = j[(part[j] != part[i]) & (is_main[j] | (node[j] > node[i]) & (own[i] == blk))]
-            if len(j):
-                total = size[j] + size[i]
-                most = (total - np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)) // 2
-                j = j[(100 + percent) * most >= percent * total]
-                found.append(np.stack([np.full(len(j), node[i]), node[j]]))
+        pdf = pdf.sort_values(["tile", "blk", "n", "node"], kind="stable")
+        group = np.cumsum(np.r_[0, (np.diff(pdf["tile"].to_numpy()) != 0) | (np.diff(pdf["blk"].to_numpy()) != 0)])
+        size, part, node, own, blk = (pdf[c].to_numpy() for c in ("n", "part", "node", "own", "blk"))
+        is_main = pdf["main"].to_numpy(bool)
+        raw = [np.frombuffer(x, np.uint64) for x in pdf["bits"]]
+        width = np.array([len(x) for x in raw])
+        stacked = {w: folded_rows(raw, width, w) for w in np.unique(width)}
+        # In a group, sorted by size, each row outside the largest component is compared
+        # with the band of rows that the size bound leaves to it.
+        reach = size.max() * 2 + 1
+        rows = np.flatnonzero(~is_main)
+        base = group[rows] * reach
+        low = np.searchsorted(group * reach + size, base + -(-percent * size[rows] // 100))
+        high = np.searchsorted(group * reach + size, base + np.minimum(100 * size[rows] // percent, reach - 1), "right")
+        ends = np.cumsum(high - low)
+        found, first = [], 0
+        while first < len(rows):  # some rows' bands at a time
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+            j, of = ranges(low[first:last], high[first:last])
+            i = rows[of + first]
+            # Two such rows meet in every block and count in one, by the smaller node.
+            ok = (part[i] != part[j]) & (is_main[j] | (node[i] < node[j]) & (own[i] == blk[i]))
+            i, j = i[ok], j[ok]
+            w_pair = np.minimum(width[i], width[j])
+            for w in np.unique(w_pair):
+                x, y = i[w_pair == w], j[w_pair == w]
+                at, bits = stacked[w]
+                for k in range(0, len(x), PAIRS // 8):
+                    u, v = x[k:k + PAIRS // 8], y[k:k + PAIRS // 8]
+                    most = most_in_common(size[u], size[v], bits[at[u]], bits[at[v]])
+                    good = (100 + percent) * most >= percent * (size[u] + size[v])
+                    found.append(np.stack([node[u[good]], node[v[good]]]))
+            first = last
         a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return pairs.drop_duplicates()
 
-    return t.groupBy("tile", "blk").applyInPandas(run, "a long, b long").distinct()
+    buckets = F.pmod(F.xxhash64("tile", "blk"), F.lit(buckets))
+    return t.groupBy(buckets.alias("bucket")).applyInPandas(run, "a long, b long").distinct()
+
+
+def folded_rows(raw: list[np.ndarray], width: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bitmaps of ``w`` or twice as many words, folded to ``w``, and each row's place there."""
+    rows = np.flatnonzero((width == w) | (width == 2 * w))
+    at = np.full(len(raw), -1)
+    at[rows] = np.arange(len(rows))
+    return at, np.stack([folded(raw[i], w) for i in rows])
+
+
+def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, one after another, and which range each is of."""
+    size = np.maximum(end - start, 0)
+    of = np.repeat(np.arange(len(start)), size)
+    return np.arange(len(of)) - np.repeat(np.cumsum(size) - size - start, size), of
 
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -289,48 +442,32 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     src = two(docs, id_col, text_col)
     found = stage(with_sets(src, n), "sets")
     rows = found.filter("kind = 0").select("_id", "n", "node")
-    nodes = stage(rows.filter("node is not null").groupBy("node").agg(
-        F.min("_id").alias("id"), F.max("n").alias("n")), "nodes")
+    nodes = stage(found.filter("kind = 0 and node is not null").groupBy("node").agg(
+        F.min("_id").alias("id"), F.max("n").alias("n"), F.max("bits").alias("bits")), "nodes")
     often = (found.filter("kind = 1").groupBy("node").agg(F.sum("n").alias("n"))
              .filter(F.col("n") >= FREQUENT_IN_ALL).orderBy(F.desc("n"), "node")
-             .limit(frequent).toPandas())  # at most `frequent` hashes and counts
-    order = np.argsort(often["node"].to_numpy(np.int64).view(np.uint64))
-    keys = often["node"].to_numpy(np.int64).view(np.uint64)[order]
-    counts = often["n"].to_numpy(np.int64)[order]
+             .limit(frequent).toArrow())  # at most `frequent` hashes and counts
+    keys = often.column("node").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    keys, counts = keys[order], often.column("n").to_numpy().astype(np.int64)[order]
     entries = nodes.agg(F.coalesce(F.sum(F.expr(f"n - ceil({percent} * n / 100) + 1")), F.lit(0))).first()[0]
     groups = max(shuffle_partitions(spark), int(entries) // task_entries + 1)
     tiles = stage(prefix_tiles(src, n, percent, keys, counts, groups, hot_entries), "tiles")
 
-    # The sets of nodes in a tile, from one document each.
-    wanted = nodes.join(tiles.select("node").distinct(), "node", "left_semi").select("id").distinct()
-
-    def sets_of(batches):
-        hashes, seen = WordHash(), set()
-        for (texts,) in slices(batches, "_text"):
-            out = []
-            for t in texts:
-                s = shingles(t, hashes, n)
-                node = node_of(s)
-                if node is not None and node not in seen:
-                    seen.add(node)
-                    out.append((node, len(s), bitmap(s), s.tobytes()))
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
-                names=["node", "n", "bits", "set"])
+    def links(pairs):
+        return stage(linked(stage(pairs, "pairs"), src, nodes, n, percent), "links")
 
-    texts = src.join(wanted, F.col("_id").eqNullSafe(F.col("id")), "left_semi").select("_text")
-    sets = stage(texts.mapInArrow(sets_of, "node long, n long, bits binary, set binary")
-                 .dropDuplicates(["node"]), "tile-sets")
-
-    star = tiles.filter("node != pivot").select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    first = stage(linked(star, sets, percent), "links")
+    pairs = stage(star_pairs(tiles, nodes, percent), "stars")
+    found = links(possible(pairs, nodes, percent))
+    first = found
+    for _ in range(CLIMBS):
+        pairs = stage(nearer_pairs(pairs, found), "stars")
+        found = links(possible(pairs, nodes, percent))
+        first = first.unionByName(found)
     parts = connected_components(first, "a", "b")
-    cross = cross_pairs(tiles, parts, sets.select("node", "n", "bits"), percent, block)
-    second = stage(linked(cross, sets, percent), "links")
-    comps = connected_components(first.union(second), "a", "b")
+    second = links(cross_pairs(tiles, parts, nodes.select("node", "n", "bits"), percent, block,
+                               max(shuffle_partitions(spark), tiles.count() // TASK_ROWS + 1)))
+    comps = connected_components(first.unionByName(second), "a", "b")
 
     named = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     keepers = named.groupBy("component").agg(
@@ -357,22 +494,16 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the row with the smallest id stays.  Rows without words all stay."""
     _, classes = similarity_classes(docs, id_col, text_col, **settings)
     n = settings.get("n", 5)
-    names = docs.columns
-    kinds = docs.schema
 
-    def run(batches):
-        hashes = WordHash()
-        for batch in batches:
-            texts = batch.column(names.index(text_col)).to_pylist()
-            nodes = [node_of(shingles(t or "", hashes, n)) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())],
-                                             names=[*names, "_node"])
-
-    from pyspark.sql.types import LongType, StructField, StructType
-    tagged = docs.mapInArrow(run, StructType([*kinds.fields, StructField("_node", LongType())]))
-    keep = classes.filter("node = keeper").select(F.col("keeper").alias("_node"),
-                                                  F.col("component_id").alias("_keep"))
-    kept = (tagged.filter("_node is not null").join(keep, "_node")
-            .filter(F.col(id_col).cast("long").eqNullSafe(F.col("_keep")))
-            .dropDuplicates(["_node"]))
-    return kept.select(*names).unionByName(tagged.filter("_node is null").select(*names))
+    def fn():
+        powers = Powers()
+        return lambda texts: [pa.array([node_of(s) for s, _ in shingle_sets(texts, powers, n)], pa.int64())]
+
+    def name(c):  # NULL and numbers as text: plain keys for join and grouping
+        return F.coalesce(c.cast("long").cast("string"), F.lit("")).alias("_key")
+
+    tagged = with_columns(whole_rows(docs, text_col), fn, "_node long", CHARS).select(
+        "_id", "_node", name(F.col(f"_id.`{id_col}`")))
+    keep = classes.filter("node = keeper").select(F.col("keeper").alias("_node"), name(F.col("component_id")))
+    kept = tagged.filter("_node is not null").join(keep, ["_node", "_key"]).dropDuplicates(["_node", "_key"])
+    return kept.select("_id.*").unionByName(tagged.filter("_node is null").select("_id.*"))
