@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,31 +49,22 @@ def remainder(id_col, mod: int):
 def slices(batches, *columns: str):
     """Per Arrow batch, lists of the columns' values of at most ``SLICE_CHARS``
     characters of the last column, or one row."""
-    for b in batches:
-        cols = [b.column(c).to_pylist() for c in columns]
-        start = size = 0
-        for i, t in enumerate(cols[-1]):
-            if i > start and size + len(t) > SLICE_CHARS:
-                yield tuple(c[start:i] for c in cols)
-                start, size = i, 0
-            size += len(t)
-        if start < len(cols[-1]):
-            yield tuple(c[start:] for c in cols)
+    for piece, last in parts(batches, columns[-1]):
+        yield (*(piece.column(c).to_pylist() for c in columns[:-1]), last)
 
 
 def parts(batches, column: str = "_text", chars: int = SLICE_CHARS):
     """Pieces of Arrow batches with the column's values as a list, of at most
     ``chars`` characters or one row."""
     for b in batches:
-        texts = b.column(column).to_pylist()
-        start = size = 0
-        for i, t in enumerate(texts):
-            if i > start and size + len(t) > chars:
-                yield b.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(t)
-        if start < len(texts):
-            yield b.slice(start), texts[start:]
+        ends = np.cumsum(pc.utf8_length(b.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + chars, "right")))
+            piece = b.slice(start, stop - start)
+            yield piece, piece.column(column).to_pylist()
+            start = stop
 
 
 def with_columns(rows: DataFrame, fn, columns: str, chars: int = SLICE_CHARS) -> DataFrame:
