@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import checked_broadcast
 from ..session import shuffle_partitions
 from .common import Powers, Tokens, mixed, parts, stage, two, whole_rows, with_columns
 from .components import connected_components
@@ -323,7 +324,9 @@ def linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent:
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())],
                                              names=["node", "set"])
 
-    texts = docs.join(ids, F.col("_id").eqNullSafe(F.col("id")), "left_semi").select("_text")
+    ids, fits = checked_broadcast(ids)  # by measured size; beyond it the texts are shuffled
+    texts = docs.join(F.broadcast(ids) if fits else ids, F.col("_id").eqNullSafe(F.col("id")),
+                      "left_semi").select("_text")
     sets = stage(texts.mapInArrow(sets_of, "node long, set binary").dropDuplicates(["node"]), "tile-sets")
 
     def run(batches):
