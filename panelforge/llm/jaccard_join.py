@@ -47,8 +47,9 @@ FREQUENT_IN_SLICE, FREQUENT_IN_ALL = 4, 12
 TASK_ENTRIES, HOT_ENTRIES, BLOCK = 2_000_000, 500_000, 2000
 #: Times that nodes without a link try a centre nearer to the original.
 CLIMBS = 2
-#: Rows of tiles that a task should get, pairs that it looks at together.
-TASK_ROWS, PAIRS = 100_000, 1_000_000
+#: Rows of tiles that a task should get, pairs that it looks at together, and 64-bit words
+#: of their bitmaps.
+TASK_ROWS, PAIRS, WORDS = 50_000, 300_000, 1_000_000
 #: Shingles that a task counts together for the frequent ones.
 COUNTED = 2_000_000
 
@@ -401,8 +402,9 @@ def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, perce
             for w in np.unique(w_pair):
                 x, y = i[w_pair == w], j[w_pair == w]
                 at, bits = stacked[w]
-                for k in range(0, len(x), PAIRS // 8):
-                    u, v = x[k:k + PAIRS // 8], y[k:k + PAIRS // 8]
+                step = max(1, WORDS // int(w))  # wide bitmaps in smaller lots
+                for k in range(0, len(x), step):
+                    u, v = x[k:k + step], y[k:k + step]
                     most = most_in_common(size[u], size[v], bits[at[u]], bits[at[v]])
                     good = (100 + percent) * most >= percent * (size[u] + size[v])
                     found.append(np.stack([node[u[good]], node[v[good]]]))
