@@ -34,9 +34,17 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.in_mixed_order(docs)
 
 
+#: Documents that are packed together: 32 slots of the mixed order.
+RUN_ROWS = 32 * mixing.BLOCK_ROWS
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences, packed in the order of the documents."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """Pieces of sequences, whose ids follow the mixed order in runs of ``RUN_ROWS`` documents.
+
+    A scan returns files and their splits in any order and the documents have
+    no column for their slot, so the slots, which depend on nothing but the
+    documents, are computed again."""
+    return packing.pack_documents(mixing.in_mixed_order(docs), tokenizer_path(), run_rows=RUN_ROWS)
 
 
 STAGES = [

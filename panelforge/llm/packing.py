@@ -12,7 +12,9 @@ partition is cut into sequences whose lengths are powers of two, which need no
 padding.
 
 Each partition of the input packs its own documents, batch by batch, with a
-bounded pool: no shuffle, and no partition depends on another.
+bounded pool: no shuffle, and no partition depends on another.  Where the order
+of the documents counts, the pool is emptied after every run of so many rows;
+what is left of a run, less than a window, starts the next window.
 """
 
 from __future__ import annotations
@@ -131,6 +133,7 @@ class Packer:
         self.pool: dict[int, list] = defaultdict(list)
         self.counts, self.present, self.size = [0] * (window + 1), 0, 0
         self.rows: list[tuple] = []
+        self.first: list[tuple] = []  # left of the run before: the next window starts with them
 
     def add(self, doc, raw: bytes) -> None:
         total = len(raw) // 4
@@ -170,12 +173,12 @@ class Packer:
             offset += n
         self.next += 1
 
-    def pack(self, until: int) -> None:
-        """Fill windows until at most ``until`` pieces remain (0: all of them)."""
-        held = sum(n * c for n, c in enumerate(self.counts) if c)
+    def fill_windows(self, until: int) -> int:
+        """Whole windows while more than ``until`` pieces remain; the number of ids left."""
+        held = sum(n * c for n, c in enumerate(self.counts) if c) + sum(len(x[2]) // 4 for x in self.first)
         while self.size > until and held >= self.window:
-            pieces = [self.take(self.present.bit_length() - 1)]
-            room = self.window - len(pieces[0][2]) // 4
+            pieces, self.first = self.first or [self.take(self.present.bit_length() - 1)], []
+            room = self.window - sum(len(x[2]) // 4 for x in pieces)
             for n, k in fill(self.counts, self.present, room).items():
                 pieces += [self.take(n) for _ in range(k)]
                 room -= n * k
@@ -184,6 +187,17 @@ class Packer:
                 room -= len(pieces[-1][2]) // 4
             self.emit(pieces)
             held -= self.window
+        return held
+
+    def end_run(self) -> None:
+        """Every piece so far goes into windows; less than a window is left for the next one."""
+        self.fill_windows(0)
+        while self.size:
+            self.first.append(self.take(self.present.bit_length() - 1))
+
+    def pack(self, until: int) -> None:
+        """Fill windows until at most ``until`` pieces remain (0: all of them)."""
+        held = self.fill_windows(until)
         if until == 0:
             while held:
                 room = 1 << held.bit_length() - 1
@@ -196,7 +210,8 @@ class Packer:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
-                   text_col: str = "text", window: int = WINDOW, pool: int = POOL) -> DataFrame:
+                   text_col: str = "text", window: int = WINDOW, pool: int = POOL,
+                   run_rows: int | None = None) -> DataFrame:
     """One row per piece: where it starts in its document's ids, its length and
     crc32, its document's ids, and its sequence and place there.
 
@@ -204,13 +219,17 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
     packed one by one, so repeated rows and ids give their own pieces; a NULL
     id stays NULL.  Sequence ids are unique, not dense: the partition's number
     is in the bits from 40 up.  ``pool`` bounds the pieces that wait in a
-    partition, not what is packed."""
+    partition, not what is packed.
+
+    With ``run_rows``, sequence ids follow the order of the rows: each run of so
+    many rows of a partition is packed before the next one, so that a row's
+    pieces never stand before those of a row ``2 * run_rows`` earlier."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     end = array("I", [END_ID]).tobytes()
 
     def run(batches):
         encoder = Encoder(tokenizer)
-        packer = Packer(window, TaskContext.get().partitionId() << 40)
+        packer, read = Packer(window, TaskContext.get().partitionId() << 40), 0
 
         def out():
             cols = list(zip(*packer.rows)) or [()] * len(names)
@@ -220,9 +239,17 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
         for ids, texts in slices(batches, "_id", "_text"):
             for doc, text in zip(ids, texts):
                 packer.add(doc, encoder.encode(text) + end)
-                if packer.size >= pool:
+                read += 1
+                if run_rows and read % run_rows == 0:
+                    packer.end_run()
+                elif packer.size >= pool:
                     packer.pack(pool // 2)
             yield out()
+        if run_rows:
+            packer.end_run()
+            for piece in packer.first:
+                packer.keep(piece)
+            packer.first = []
         packer.pack(0)
         yield out()
 

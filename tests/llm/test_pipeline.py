@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 from panelforge.llm.jaccard_join import jaccard_components
+from panelforge.llm.mixing import mix_sources
 from panelforge.llm.quality_knn import quality_scores
 from panelforge.llm.quality_rules import quality_verdicts
 
@@ -66,3 +67,27 @@ def test_empty_documents(spark, tmp_path):
     full.limit(0).write.parquet(str(tmp_path / "none/documents.parquet"))
     spark.read.parquet(str(tmp_path / "full/labels.parquet")).write.parquet(str(tmp_path / "none/labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_sequences_follow_the_mixed_order(spark, tmp_path):
+    """Over every prefix of the sequences each source has its share, whatever its documents' lengths."""
+    rng, n = random.Random(8), {"long": 2800, "short": 2800, "few": 300}
+    rows = [(i, prose(rng, {"long": 60, "short": 6, "few": 25}[s]), s)
+            for i, s in enumerate(s for s in n for _ in range(n[s]))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    stages = dict(corpus_pipeline.STAGES)
+    stages["mixing sources"](spark, docs, "").write.parquet(str(tmp_path / "mixed"))
+    packed = stages["packing"](spark, spark.read.parquet(str(tmp_path / "mixed")), "")
+    source = {i: s for i, _, s in rows}
+    first = {}
+    for r in packed.select("doc_id", "sequence_id", "offset").orderBy("sequence_id", "offset").collect():
+        first.setdefault(r.doc_id, len(first))
+    assert set(first) == set(source)
+    slot = {r.doc_id: (r.slot, r.place) for r in mix_sources(docs).collect()}
+    mixed = sorted(slot, key=slot.get)
+    want, got = dict.fromkeys(n, 0), dict.fromkeys(n, 0)
+    for a, b in zip(mixed, sorted(first, key=first.get)):
+        want[source[a]] += 1
+        got[source[b]] += 1
+        assert all(abs(want[s] - got[s]) <= corpus_pipeline.RUN_ROWS for s in n)
