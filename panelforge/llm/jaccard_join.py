@@ -7,16 +7,20 @@
    shingle in common.  The order is by length, longest first: long shingles
    are rare, and those of short words only, which unrelated texts share by
    chance, come last.  Behind them come shingles that occur often (a bounded
-   list; order and list steer cost, never the result).  Nodes that share a
-   prefix shingle form a tile.
+   list; order and list steer cost, never the result).  Of two such sets the
+   smaller one, of n shingles, even has the shingle among its first
+   ``n - ceil(2 t n / (1 + t)) + 1``: there it is marked as leading.  Nodes that
+   share a prefix shingle form a tile.
 3. Links inside a tile are looked for in two steps.  First each node against
    a centre (in its size band the node that is in the most tiles), then those
    without a link against the node most like that one; the links found give
    components.  Then only pairs of
-   one tile from different components, which for a group of near copies are
-   few: sorted by size and cut into size bands, a band is compared with itself
-   and the bands within reach of the size bound, and the hashed bitmaps' bit
-   counts bound the overlap from above.
+   one tile from different components whose smaller node leads, which for a
+   group of near copies, or texts around one template, are few.  A tile's nodes
+   are dealt over blocks, and each pair of blocks with such pairs meets in a
+   group of its own: there each node is compared with the band of nodes that the
+   size bound leaves to it, and the hashed bitmaps' bit counts bound the overlap
+   from above.
 4. Pairs that pass are checked exactly by intersecting the sorted sets.
 
 Entries move between tasks as packed arrays.  A shingle that very many nodes
@@ -95,6 +99,12 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def leading_size(n: int, percent: int) -> int:
+    """The prefix in which a set shares a shingle with the prefix of any similar set that
+    is not smaller: they have 2 t n / (1 + t) shingles or more in common."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
 def bitmap(s: np.ndarray) -> bytes:
     """One bit per hash of the set, out of a power of two of at least
     ``BITS_PER_SHINGLE`` times its size; halving the bitmap by OR gives the
@@ -176,15 +186,18 @@ def with_sets(docs: DataFrame, n: int) -> DataFrame:
 
 def prefix_tiles(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, counts: np.ndarray,
                  groups: int, hot: int) -> DataFrame:
-    """(tile, size, node): nodes with a prefix shingle in common; a tile
-    is named by its nodes, so shingles with the same nodes give one tile."""
-    entry = np.dtype([("key", "<u8"), ("node", "<i8")])
+    """(tile, node, leads): nodes with a prefix shingle in common; a tile is named by
+    its nodes, so shingles with the same nodes give one tile, where a node leads
+    if it does for one of the shingles.  Tiles in which none leads only help to
+    find centres."""
+    entry = np.dtype([("key", "<u8"), ("node", "<i8")])  # the key's last bit: the shingle leads
+    one = np.uint64(1)
 
     def emit(batches):
         powers, seen, held, size = Powers(), set(), [], 0
 
         def flush():
-            e = np.concatenate(held)
+            e, lead = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
             blocks = np.ones(len(e), np.int64)
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, e["key"]), len(frequent) - 1)
@@ -198,8 +211,9 @@ def prefix_tiles(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, co
                 low, high = np.minimum(own[again], other), np.maximum(own[again], other)
                 more = h[again].copy()
                 more["key"] = mixed(more["key"] + (low << 32 | high).astype(np.uint64) + np.uint64(1))
-                e = np.concatenate([e[~split], more])
-            p = (mixed(e["key"]) % np.uint64(groups)).astype(np.int32)
+                e, lead = np.concatenate([e[~split], more]), np.r_[lead[~split], lead[split][again]]
+            e["key"] = e["key"] & ~one | lead
+            p = (mixed(e["key"] | one) % np.uint64(groups)).astype(np.int32)
             order = np.argsort(p, kind="stable")
             p, e = p[order], e[order]
             starts = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
@@ -217,7 +231,7 @@ def prefix_tiles(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, co
                 e = np.empty(prefix_size(len(s), percent), entry)
                 e["key"] = ordered(s, length, frequent, counts)[:len(e)]
                 e["node"] = node
-                held.append(e)
+                held.append((e, (np.arange(len(e)) < leading_size(len(s), percent)).astype(np.uint64)))
                 size += len(e)
                 if size >= TASK_ENTRIES // 2:
                     yield flush()
@@ -231,28 +245,31 @@ def prefix_tiles(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, co
         e = np.concatenate([np.frombuffer(b, entry) for b in pdf["entries"]])
         del pdf
         e = e[np.argsort(e["key"], kind="stable")]
-        same = e["key"][1:] == e["key"][:-1]
+        key = e["key"] | one
+        same = key[1:] == key[:-1]
         e = e[np.r_[False, same] | np.r_[same, False]]
-        e = e[np.lexsort((e["node"], e["key"]))]
+        e = e[np.lexsort((~e["key"] & one, e["node"], e["key"] | one))]  # of a node's, the leading one first
+        key = e["key"] | one
         if len(e):
-            new = np.r_[True, e[1:] != e[:-1]]
-            e = e[new]
-        out = {c: [] for c in ("tile", "size", "node")}
+            new = np.r_[True, (key[1:] != key[:-1]) | (e["node"][1:] != e["node"][:-1])]
+            e, key = e[new], key[new]
+        out = {c: [] for c in ("tile", "node", "leads")}
         if len(e):
-            starts = np.flatnonzero(np.r_[True, e["key"][1:] != e["key"][:-1]])
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             sizes = np.diff(np.r_[starts, len(e)])
             names = np.add.reduceat(mixed(e["node"].view(np.uint64)), starts)
-            first = np.zeros(len(starts), bool)
-            first[np.unique(names, return_index=True)[1]] = True
-            first &= sizes > 1
-            keep = np.repeat(first, sizes)
-            out = {"tile": np.repeat(names.view(np.int64), sizes)[keep],
-                   "size": np.repeat(sizes, sizes)[keep], "node": e["node"][keep]}
+            lead = (e["key"] & one).astype(np.int64)
+            keep = np.repeat(sizes > 1, sizes)
+            out = {"tile": np.repeat(names.view(np.int64), sizes)[keep], "node": e["node"][keep], "leads": lead[keep]}
+            order = np.lexsort((-out["leads"], out["node"], out["tile"]))
+            out = {c: x[order] for c, x in out.items()}
+            new = np.r_[True, (np.diff(out["tile"]) != 0) | (np.diff(out["node"]) != 0)][:len(order)]
+            out = {c: x[new] for c, x in out.items()}
         return pd.DataFrame(out).astype("int64")
 
     packed = docs.select("_text").mapInArrow(emit, "p int, entries binary")
-    return (packed.groupBy("p").applyInPandas(tiles, "tile long, size long, node long")
-            .dropDuplicates(["tile", "node"]))
+    return (packed.groupBy("p").applyInPandas(tiles, "tile long, node long, leads long")
+            .groupBy("tile", "node").agg(F.max("leads").alias("leads")))
 
 
 def star_pairs(tiles: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -352,42 +369,72 @@ def linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent:
     return both.mapInArrow(run, "a long, b long, share double")
 
 
+def dealt(tiles: DataFrame, parts: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """(per tile its counts and ``rows``, the rows): rows (tile, kind, low, high, side,
+    node, part, leads), a group for each pair of blocks in which pairs of different
+    components can have a leading node.
+
+    With the tile's largest component as main, those pairs are: leading nodes of
+    the others among themselves (kind 0; side 1 is the higher block) and with all
+    that is not so (kind 1), and leading nodes of the main component with those of
+    the others that don't lead (kind 2).  A group has about two blocks of rows."""
+    t = tiles.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn(
+        "part", F.coalesce("part", "node"))
+    per_part = t.groupBy("tile", "part").agg(F.count("*").alias("count"), F.sum("leads").alias("lead"))
+    x = per_part.groupBy("tile").agg(F.max(F.struct("count", "part", "lead")).alias("m"),
+                                     F.sum("count").alias("all"), F.sum("lead").alias("lead"),
+                                     F.count("*").alias("parts")).filter("parts > 1")
+    x = x.selectExpr("tile", "m.part AS main", "lead - m.lead AS a", "m.lead AS b",
+                     "all - lead - m.count + m.lead AS c", "all - lead + m.lead AS d").selectExpr(
+        "*", *(f"int(ceil({k} / {block})) AS n_{k}" for k in "abcd")).selectExpr(
+        "*", "a * (n_a + n_d) + d * n_a + b * n_c + c * n_b AS rows").filter("a > 0 OR b > 0 AND c > 0")
+    x = stage(x, "tile-counts")
+
+    def own(k):
+        return f"int(pmod(xxhash64(node), n_{k}))"
+
+    def met(n, kind, low, high, side):
+        return f"transform(IF(n_{n} > 0, sequence(0, n_{n} - 1), array()), o -> struct({kind} AS kind, " \
+               f"{low} AS low, {high} AS high, {side} AS side))"
+
+    lone = met("a", 0, f"least(o, {own('a')})", f"greatest(o, {own('a')})", f"int({own('a')} > o)")
+    others = met("a", 1, "o", own("d"), 1)
+    groups = f"""CASE
+        WHEN leads = 1 AND part != main THEN concat({lone}, {met("d", 1, own("a"), "o", 0)})
+        WHEN leads = 1 THEN concat({others}, {met("c", 2, own("b"), "o", 0)})
+        WHEN part != main THEN concat({others}, {met("b", 2, "o", own("c"), 1)})
+        ELSE {others} END"""
+    rows = t.join(x, "tile").selectExpr("tile", "node", "part", "leads", f"explode({groups}) AS g")
+    return x, rows.select("tile", "g.*", "node", "part", "leads")
+
+
 def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, percent: int,
                 block: int, buckets: int) -> DataFrame:
     """Pairs of one tile, from different components, that size and bitmap allow.
-    ``buckets`` tasks share the tiles and their blocks."""
-    t = tiles.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn(
-        "part", F.coalesce("part", "node"))
-    mixed_tiles = t.groupBy("tile").agg(F.min("part").alias("low"), F.max("part").alias("high")) \
-        .filter("low != high").select("tile")
-    per_part = t.join(mixed_tiles, "tile").groupBy("tile", "part").count()
-    largest = per_part.groupBy("tile").agg(
-        F.max_by("part", F.struct("count", "part")).alias("main"))
-    t = t.join(largest, "tile")
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    # The tile's largest component is dealt over the blocks; the others meet each of them.
-    t = t.withColumn("own", own).withColumn("main", F.col("part") == F.col("main")).withColumn(
-        "blk", F.explode(F.when(F.col("main"), F.array("own")).otherwise(
-            F.sequence(F.lit(0), blocks - 1))))
-    t = t.join(signatures, "node").select("tile", "blk", "own", "node", "part", "main", "n", "bits")
+    At least ``buckets`` tasks share the groups, about ``TASK_ROWS`` rows each."""
+    counts, t = dealt(tiles, parts, block)
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    buckets = max(buckets, int(total) // TASK_ROWS + 1)
+    t = t.join(signatures, "node").select("tile", "kind", "low", "high", "side", "node", "part", "leads", "n", "bits")
 
     def run(pdf):
         import pandas as pd
-        pdf = pdf.sort_values(["tile", "blk", "n", "node"], kind="stable")
-        group = np.cumsum(np.r_[0, (np.diff(pdf["tile"].to_numpy()) != 0) | (np.diff(pdf["blk"].to_numpy()) != 0)])
-        size, part, node, own, blk = (pdf[c].to_numpy() for c in ("n", "part", "node", "own", "blk"))
-        is_main = pdf["main"].to_numpy(bool)
+        named = ["tile", "kind", "low", "high"]
+        pdf = pdf.sort_values([*named, "side", "n", "node"], kind="stable")
+        group = np.cumsum(np.r_[0, (np.diff(pdf[named].to_numpy(), axis=0) != 0).any(axis=1)])
+        size, part, node, leads, side = (pdf[c].to_numpy() for c in ("n", "part", "node", "leads", "side"))
+        alone = ((pdf["kind"] == 0) & (pdf["low"] == pdf["high"])).to_numpy()  # a block with itself
         raw = [np.frombuffer(x, np.uint64) for x in pdf["bits"]]
         width = np.array([len(x) for x in raw])
         stacked = {w: folded_rows(raw, width, w) for w in np.unique(width)}
-        # In a group, sorted by size, each row outside the largest component is compared
-        # with the band of rows that the size bound leaves to it.
+        # Each row of side 0 is compared with the band of rows of side 1 that the size bound
+        # leaves to it, or of its own side where a block meets itself.
         reach = size.max() * 2 + 1
-        rows = np.flatnonzero(~is_main)
-        base = group[rows] * reach
-        low = np.searchsorted(group * reach + size, base + -(-percent * size[rows] // 100))
-        high = np.searchsorted(group * reach + size, base + np.minimum(100 * size[rows] // percent, reach - 1), "right")
+        rows = np.flatnonzero(side == 0)
+        base = (2 * group[rows] + ~alone[rows]) * reach
+        place = (2 * group + side) * reach + size
+        low = np.searchsorted(place, base + -(-percent * size[rows] // 100))
+        high = np.searchsorted(place, base + np.minimum(100 * size[rows] // percent, reach - 1), "right")
         ends = np.cumsum(high - low)
         found, first = [], 0
         while first < len(rows):  # some rows' bands at a time
@@ -395,8 +442,8 @@ def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, perce
             last = max(first + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
             j, of = ranges(low[first:last], high[first:last])
             i = rows[of + first]
-            # Two such rows meet in every block and count in one, by the smaller node.
-            ok = (part[i] != part[j]) & (is_main[j] | (node[i] < node[j]) & (own[i] == blk[i]))
+            ok = (part[i] != part[j]) & (~alone[i] | (node[i] < node[j]))
+            ok &= (leads[i] > 0) & (size[i] <= size[j]) | (leads[j] > 0) & (size[j] <= size[i])
             i, j = i[ok], j[ok]
             w_pair = np.minimum(width[i], width[j])
             for w in np.unique(w_pair):
@@ -413,8 +460,8 @@ def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, perce
         pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
         return pairs.drop_duplicates()
 
-    buckets = F.pmod(F.xxhash64("tile", "blk"), F.lit(buckets))
-    return t.groupBy(buckets.alias("bucket")).applyInPandas(run, "a long, b long").distinct()
+    bucket = F.pmod(F.xxhash64("tile", "kind", "low", "high"), F.lit(buckets))
+    return t.groupBy(bucket.alias("bucket")).applyInPandas(run, "a long, b long").distinct()
 
 
 def folded_rows(raw: list[np.ndarray], width: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
@@ -471,7 +518,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         first = first.unionByName(found)
     parts = connected_components(first, "a", "b")
     second = links(cross_pairs(tiles, parts, nodes.select("node", "n", "bits"), percent, block,
-                               max(shuffle_partitions(spark), tiles.count() // TASK_ROWS + 1)))
+                               shuffle_partitions(spark)))
     comps = connected_components(first.unionByName(second), "a", "b")
 
     named = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))

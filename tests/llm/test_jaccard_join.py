@@ -1,9 +1,13 @@
 import random
 import re
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from panelforge.llm.components import connected_components
+from panelforge.llm import jaccard_join as J
+from panelforge.llm.common import Powers, two
 from panelforge.llm.jaccard_join import jaccard_components, one_per_class
 
 from .data import awkward, frame, prose
@@ -95,3 +99,54 @@ def test_components(spark):
             if root.get(k, k) in (x, y):
                 root[k] = min(x, y)
     assert got == {k: v for k, v in root.items() if k != v}
+
+
+def template_rows(n, own, seed=7):
+    """Texts with one template, between two runs of their own words: none of them link."""
+    rng = random.Random(seed)
+    template = prose(rng, 200 - own)
+    return [(i, " ".join(f"longword{i}x{k}" for k in range(own)) + " " + template) for i in range(n)]
+
+
+def test_texts_around_a_template_are_not_compared(spark):
+    rows = template_rows(80, 40)  # similarity about 2/3
+    every = np.sort(np.concatenate([s for s, _ in J.shingle_sets([t for _, t in rows], Powers(), 5)]))
+    keys, counts = np.unique(every, return_counts=True)
+    keys, counts = keys[counts >= 12], counts[counts >= 12]
+    tiles = J.prefix_tiles(two(frame(spark, rows), "doc_id", "text"), 5, 75, keys, counts, 4, 10**6)
+    _, dealt = J.dealt(tiles, spark.createDataFrame([], "node long, component long"), 8)
+    assert dealt.count() < 10
+    got = jaccard_components(frame(spark, rows), block=8).collect()
+    assert all(r.component_id == r.doc_id for r in got)
+
+
+def test_no_group_is_larger_than_its_blocks(spark):
+    rng, block = random.Random(9), 10
+    leads = {i: int(rng.random() < 0.5) for i in range(240)}
+    part = {i: 0 if i < 50 else i for i in leads}  # the main component, and nodes without a link
+    tiles = spark.createDataFrame([(1, i, k) for i, k in leads.items()], "tile long, node long, leads long")
+    parts = spark.createDataFrame([(i, 0) for i in range(50)], "node long, component long")
+    counts, dealt = J.dealt(tiles, parts, block)
+    groups, of_row = defaultdict(list), Counter()
+    for r in dealt.collect():
+        groups[r.kind, r.low, r.high].append(r)
+        of_row[r.node] += 1
+    assert sum(of_row.values()) == counts.first()["rows"]
+    assert max(map(len, groups.values())) <= 5 * block and max(of_row.values()) <= 1 + 240 // block + 1
+    met = Counter()
+    for (kind, low, high), rows in groups.items():
+        for a in rows:
+            for b in rows:
+                alone = kind == 0 and low == high
+                if (a.node < b.node if alone else a.side < b.side) and part[a.node] != part[b.node]:
+                    met[frozenset((a.node, b.node))] += 1
+    want = {frozenset((a, b)) for a in leads for b in leads if part[a] != part[b] and leads[a] + leads[b]}
+    assert {p for p in met if sum(leads[x] for x in p)} == want and max(met.values()) == 1
+
+
+@pytest.mark.parametrize("own", [8, 16, 22])
+def test_template_with_links_against_brute_force(spark, own):
+    rows = template_rows(60, own) + [(100 + i, t + f" tail{i}") for i, t in template_rows(20, own)]
+    rows += [(200 + i, t) for i, t in template_rows(40, own // 3, seed=7)]
+    got = jaccard_components(frame(spark, rows), block=6, hot_entries=30, frequent=100).collect()
+    assert sorted((False, r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
