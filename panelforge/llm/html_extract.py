@@ -173,6 +173,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Their content is no text of the page.
 SILENT = frozenset("""script style noscript template svg math iframe object select textarea button
 canvas audio video title head datalist""".split())
+#: What may stand in a head; anything else ends it.
+HEAD = frozenset("title meta link base style script noscript template head html".split())
 #: Raw text: nothing inside is markup but the end tag.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog fieldset search".split())
@@ -234,6 +236,8 @@ def blocks(html: str) -> list[tuple]:
 
     def text(part: str):
         nonlocal words_linked
+        if stack and stack[-1][0] == "head" and part.strip():
+            close(len(stack) - 1)
         if part and not silent:
             part = unescape(part)
             texts.append(part)
@@ -272,6 +276,8 @@ def blocks(html: str) -> list[tuple]:
                     close(k)
                     break
             continue
+        if stack and stack[-1][0] == "head" and tag not in HEAD:
+            close(len(stack) - 1)
         if tag in BLOCK:  # an open p ends at the next block, li at the next li, and so on
             ends = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"),
                     "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}.get(tag, ())

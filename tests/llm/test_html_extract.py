@@ -53,3 +53,11 @@ def test_rows(spark):
         [(1, "u", len(LONG))] * 2 + [(2, "", 0), (0, "v", 0), (3, "w", 5000 * len(LONG) + 2 * 4999)])
     assert all(r.text is not None and len(r.text) == r.n_chars for r in got)
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+def test_a_head_without_end():
+    from panelforge.llm.html_extract import blocks
+    for page in ("<head><meta charset=utf-8><p>The text", "<html><head><title>No</title><script>no</script><div>The text",
+                 "<head><link rel=a>\n<title>No</title>\n The text", "<head><noscript><p>no</p></noscript></head><p>The text",
+                 "<head><title>No</title><img src=a>The text", "<title>No</title><p>The text"):
+        assert [b[0] for b in blocks(page)] == ["The text"], page
