@@ -60,6 +60,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_identifiers, span_digests
+    return span_digests(find_identifiers(table(spark, sf_dir, "documents")))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import assign_shards
     return assign_shards(table(spark, sf_dir, "documents"))
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_quality_knn": op8_quality_knn,
     "op9_bm25_search": op9_bm25_search,
     "op10_toxicity": op10_toxicity,
+    "op11_pii": op11_pii,
     "pipeline": pipeline,
 }
 
