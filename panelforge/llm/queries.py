@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .mixing import MIX_SQL
+from .phrases import PHRASE_SQL
 from .sharding import SHARD_SQL
 
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -65,6 +66,11 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(find_identifiers(table(spark, sf_dir, "documents")))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import mine_phrases
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import assign_shards
     return assign_shards(table(spark, sf_dir, "documents"))
@@ -92,10 +98,12 @@ QUERIES = {
     "op9_bm25_search": op9_bm25_search,
     "op10_toxicity": op10_toxicity,
     "op11_pii": op11_pii,
+    "op13_phrases": op13_phrases,
     "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_sharding": SHARD_SQL,
     "op7_mixing": MIX_SQL,
+    "op13_phrases": PHRASE_SQL,
 }
