@@ -66,6 +66,12 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(find_identifiers(table(spark, sf_dir, "documents")))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversations import damaged, digests, repair_conversations
+    rows = table(spark, sf_dir, "conversations")
+    return digests(repair_conversations(damaged(rows), names=rows))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .phrases import mine_phrases
     return mine_phrases(table(spark, sf_dir, "documents"))
@@ -98,6 +104,7 @@ QUERIES = {
     "op9_bm25_search": op9_bm25_search,
     "op10_toxicity": op10_toxicity,
     "op11_pii": op11_pii,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_phrases": op13_phrases,
     "pipeline": pipeline,
 }
