@@ -76,6 +76,17 @@ def test_disguises_are_traced_back_to_the_source():
         assert (KINDS[k], text[a:b], found, plain) == (kind, source, form, False)
 
 
+def test_hints_miss_nothing():
+    import pyarrow as pa
+    rng = random.Random(8)
+    odd = [t for t, *_ in DISGUISED] + ["joe[at]mail.example", "joe _at_ mail _dot_ com", "joe @ mail dot com", "joe@ mail (dot) com",
+                                        "joe at mail. dot com", "+١٢٣ 456 7890", "1l.2.3.4", "ONE-TWO-THREE, four five six seven eight nine"]
+    texts = [_random_text(rng) for _ in range(3000)] + odd + [
+        "".join(rng.choice([" at ", "(at)", " dot ", "[dot]", "a", "b.c", " ", "@", "com", "one ", "zwei-", "+", "7", "l", "O", ".", "​"])
+                for _ in range(rng.randint(1, 14))) for _ in range(6000)]
+    assert pii.spans_of(pa.array(texts)) == [all_spans(t) for t in texts]
+
+
 def test_prose_stays():
     for text in ["I looked at the dot matrix at noon", "meet me at example.com", "one two three", "иса@mail.ru",
                  "at one point five of us were at a dot", "Wir sind um acht an Punkt drei.", "été–hiver 2020·2021"]:
