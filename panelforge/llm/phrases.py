@@ -6,27 +6,25 @@
    neighbours overlap by three words, the places depend on content only, and
    repeated passages give the same chunks wherever they stand.
 2. *Dictionary.*  Distinct chunks with their frequencies in the parse, stored.
-3. *Count* inside distinct chunks, weighted by frequency, one phrase length after
-   the other.  A chunk owns the phrases whose last word lies behind the words
-   that it shares with its predecessor: each occurrence has exactly one owner.
-   A phrase can be frequent only if both its shorter halves are, so lengths of
-   two words and more count only where a bitmap of the frequent shorter phrases
-   says yes.  The bitmap has a bounded size and no false negatives; false
-   positives are counted, too, and fall out by their exact count.
+3. *Count* inside distinct chunks, weighted by frequency.  A chunk owns the
+   phrases whose last word lies behind the words that it shares with its
+   predecessor: each occurrence has exactly one owner.  A phrase can be frequent
+   only if its words and its pairs of neighbours are, so words and then pairs
+   are first counted by hash, and bitmaps of the frequent hashes (of a bounded
+   size, without false negatives) choose what is then counted exactly, as text.
 4. *Score* every frequent phrase by its weakest cut, drop those that live inside a
    longer one, and rank per language.
 """
 
 from __future__ import annotations
 
-from itertools import repeat
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Powers, mixed, parts, stage
+from .common import SLICE_CHARS, Powers, mixed, parts, stage
 
 # Longest phrase, least frequency, phrases per language, the share
 # of a phrase's occurrences that a longer one must hold to replace it, and scale.
@@ -135,24 +133,49 @@ def _salt(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
 
 
-def _grouped(piece, *columns):
-    """Rows of an Arrow batch by language: (lang, lists of the columns)."""
-    values = [piece.column(c).to_pylist() for c in columns]
-    groups: dict[str, list[int]] = {}
-    for i, lang in enumerate(piece.column("lang").to_pylist()):
-        groups.setdefault(lang, []).append(i)
-    for lang, rows in groups.items():
-        yield lang, [[v[i] for i in rows] for v in values]
+def _gathered(batches, chars: int = SLICE_CHARS):
+    """The dictionary's rows in lots of about ``chars`` characters, by language:
+    (lang, words, number of each chunk's first word, its first owned word, its
+    frequency).  Arrow's batches hold far fewer, which would hide repetition."""
+    powers = Powers()
+
+    def lots():
+        some, size = [], 0
+        for b in batches:
+            some.append(b)
+            size += b.column("chunk").nbytes
+            if size >= chars:
+                yield pa.Table.from_batches(some)
+                some, size = [], 0
+        if some:
+            yield pa.Table.from_batches(some)
+
+    for lot in lots():
+        codes = lot.column("lang").combine_chunks().dictionary_encode()
+        for i, lang in enumerate(codes.dictionary.to_pylist()):
+            rows = lot.filter(pc.equal(codes.indices, i))
+            w = Words(b"\n".join(rows.column("chunk").cast(pa.binary()).to_pylist()), powers)
+            first = np.searchsorted(w.piece, np.arange(rows.num_rows))  # no chunk holds a break
+            heads = rows.column("head").to_numpy(zero_copy_only=False)
+            yield lang, w, first, first + np.where(heads, 0, OVERLAP), rows.column("n").to_numpy()
+
+
+def _owned(w: Words, own: np.ndarray, n_words: int) -> np.ndarray:
+    """For every window of ``n_words`` words: does it lie in one chunk, which owns it?"""
+    count = max(len(w.start) - n_words + 1, 0)
+    last = np.arange(count) + n_words - 1
+    chunk = w.piece[:count]
+    return (chunk == w.piece[last]) & (last >= own[chunk])
 
 
 class Bitmap:
     """Which phrases of one length may be frequent: a bit per hash."""
 
     def __init__(self, words: np.ndarray):
-        self.words, self.bits = words, np.uint64(64 * len(words))
+        self.words, self.mask = words, np.uint64(64 * len(words) - 1)
 
     def may_hold(self, h: np.ndarray) -> np.ndarray:
-        at = h % self.bits
+        at = h & self.mask
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -162,84 +185,97 @@ def _bits_for(n: int) -> int:
     return min(MAX_BITS, 1 << (want - 1).bit_length())
 
 
-def bitmap_of(frequent: DataFrame, n_words: int) -> Bitmap:
-    """The bitmap of (lang, phrase) rows; at most ``MAX_BITS`` / 64 numbers reach the driver."""
+def bitmap_of(frequent: DataFrame) -> Bitmap:
+    """The bitmap of the hashes ``h``; at most ``MAX_BITS`` / 64 numbers reach the driver."""
     bits = _bits_for(frequent.count())
-
-    def run(batches):
-        words, powers = np.zeros(bits // 64, np.uint64), Powers()
-        for piece, _ in parts(batches, "phrase"):
-            for lang, (phrases,) in _grouped(piece, "phrase"):
-                h = Words("\n".join(phrases).encode(), powers)
-                h = (h.windows(n_words)[::n_words] ^ _salt(lang)) % np.uint64(bits)
-                np.bitwise_or.at(words, (h >> np.uint64(6)).astype(np.int64),
-                                 np.uint64(1) << (h & np.uint64(63)))
-        at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at].view(np.int64))], names=["at", "word"])
-
-    merged = frequent.select("lang", "phrase").mapInArrow(run, "at long, word long").groupBy("at").agg(
-        F.bit_or("word").alias("word")).toArrow()
+    merged = frequent.select(
+        F.expr(f"shiftright(h & {bits - 1}L, 6)").alias("at"), F.expr("shiftleft(1L, cast(h & 63L AS int))").alias("word")
+    ).groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
     words = np.zeros(bits // 64, np.int64)
     words[merged.column("at").to_numpy()] = merged.column("word").to_numpy()
     return Bitmap(words.view(np.uint64))
 
 
-def count_phrases(dictionary: DataFrame, n_words: int, shorter: Bitmap | None,
-                  min_count: int = 1) -> DataFrame:
-    """(lang, phrase, f) of the phrases of ``n_words`` words with at least
-    ``min_count`` occurrences, both of whose shorter halves ``shorter`` lets pass."""
-    sent = None if shorter is None else dictionary.sparkSession.sparkContext.broadcast(shorter.words)
+def hashed_counts(dictionary: DataFrame, n_words: int, of_words: Bitmap | None = None) -> DataFrame:
+    """(h, f): occurrences per hash of (language, phrase), for the phrases of
+    ``n_words`` words all of which ``of_words`` lets pass.  Phrases that share a
+    hash are counted together, so no phrase is counted too low."""
+    sent = None if of_words is None else dictionary.sparkSession.sparkContext.broadcast(of_words.words)
 
     def run(batches):
-        powers = Powers()
         known = None if sent is None else Bitmap(sent.value)
-        for piece, _ in parts(batches, "chunk"):
-            for lang, (chunks, heads, times) in _grouped(piece, "chunk", "head", "n"):
-                w = Words("\n".join(chunks).encode(), powers)
-                count = len(w.start) - n_words + 1
-                if count <= 0:
-                    continue
-                # chunks are the pieces here: no chunk holds a break
-                first = np.searchsorted(w.piece, np.arange(len(chunks)))
-                last = np.arange(count) + n_words - 1
-                own = first[w.piece[:count]] + np.where(np.asarray(heads), 0, OVERLAP)[w.piece[:count]]
-                take = (w.piece[:count] == w.piece[last]) & (last >= own)
-                if known is not None:
-                    ok = known.may_hold(w.windows(n_words - 1) ^ _salt(lang))
-                    take &= ok[:count] & ok[1:count + 1]
+        for lang, w, _, own, n in _gathered(batches):
+            take = _owned(w, own, n_words)
+            if known is not None:
+                ok = known.may_hold(w.windows(1) ^ _salt(lang))
+                for i in range(n_words):
+                    take &= ok[i:i + len(take)]
+            at = np.flatnonzero(take)
+            if not len(at):
+                continue
+            h = w.windows(n_words)[at] ^ _salt(lang)
+            order = np.argsort(h)
+            h = h[order]
+            begin = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            f = np.add.reduceat(n[w.piece[at[order]]], begin)
+            yield pa.RecordBatch.from_arrays([pa.array(h[begin].view(np.int64)), pa.array(f)], names=["h", "n"])
+
+    return dictionary.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("f"))
+
+
+#: Phrases that a task adds up before it hands them over.
+HELD = 400_000
+
+
+def exact_counts(dictionary: DataFrame, of_words: Bitmap, of_pairs: Bitmap) -> DataFrame:
+    """(lang, words, phrase, f) of every phrase of one to four words whose words
+    and pairs the bitmaps let pass; the row of no words counts all words."""
+    context = dictionary.sparkSession.sparkContext
+    sent = context.broadcast(of_words.words), context.broadcast(of_pairs.words)
+
+    def run(batches):
+        words, pairs = (Bitmap(x.value) for x in sent)
+        held: dict[tuple[str, int], dict[bytes, int]] = {}
+
+        def flush():
+            for (lang, k), counts in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(counts), pa.string()), pa.array([k] * len(counts), pa.int32()),
+                     pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())],
+                    names=["lang", "words", "phrase", "n"])
+            held.clear()
+
+        for lang, w, _, own, n in _gathered(batches):
+            salt = _salt(lang)
+            one, two = words.may_hold(w.windows(1) ^ salt), pairs.may_hold(w.windows(2) ^ salt)
+            total = held.setdefault((lang, 0), {})
+            total[b""] = total.get(b"", 0) + int(n[w.piece[_owned(w, own, 1)]].sum())
+            for k in range(1, MAX_WORDS + 1):
+                take = _owned(w, own, k)
+                for i in range(max(k - 1, 1)):
+                    take &= (one if k == 1 else two)[i:i + len(take)]
                 at = np.flatnonzero(take)
-                raw, counts = w.raw, {}
+                counts, raw = held.setdefault((lang, k), {}), w.raw
                 get = counts.get
-                weight = np.asarray(times, np.int64)[w.piece[at]].tolist()
-                for a, b, t in zip(w.start[at].tolist(), w.end[at + n_words - 1].tolist(), weight):
+                for a, b, t in zip(w.start[at].tolist(), w.end[at + k - 1].tolist(), n[w.piece[at]].tolist()):
                     g = raw[a:b]
                     counts[g] = get(g, 0) + t
-                if counts:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(repeat(lang, len(counts))), pa.string()),
-                         pa.array(list(counts), pa.binary()).cast(pa.string()),
-                         pa.array(list(counts.values()), pa.int64())], names=["lang", "phrase", "n"])
+            if sum(map(len, held.values())) > HELD:
+                yield from flush()
+        yield from flush()
 
-    counted = dictionary.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(
-        F.sum("n").alias("f"))
-    return counted.filter(F.col("f") >= min_count) if min_count > 1 else counted
+    return dictionary.mapInArrow(run, "lang string, words int, phrase string, n long").groupBy(
+        "lang", "words", "phrase").agg(F.sum("n").alias("f"))
 
 
 def frequent_phrases(dictionary: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, words, phrase, f) of all phrases of one to four words with at
     least ``min_count`` occurrences, and (lang, n) with all words counted."""
-    words = stage(count_phrases(dictionary, 1, None), "words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    level = words.filter(F.col("f") >= min_count)
-    levels = []
-    for n in range(1, MAX_WORDS + 1):
-        if n > 1:
-            level = stage(count_phrases(dictionary, n, bitmap_of(level, n - 1), min_count), f"phrases-{n}")
-        levels.append(level.select("lang", F.lit(n).alias("words"), "phrase", "f"))
-    out = levels[0]
-    for more in levels[1:]:
-        out = out.unionByName(more)
-    return out, totals
+    often = F.col("f") >= min_count
+    of_words = bitmap_of(stage(hashed_counts(dictionary, 1).filter(often), "frequent-words"))
+    of_pairs = bitmap_of(stage(hashed_counts(dictionary, 2, of_words).filter(often), "frequent-pairs"))
+    counts = stage(exact_counts(dictionary, of_words, of_pairs).filter(often | (F.col("words") == 0)), "phrases")
+    return counts.filter("words > 0"), counts.filter("words = 0").select("lang", F.col("f").alias("n"))
 
 
 def _joined(words, start, length):
@@ -266,8 +302,8 @@ def mine_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     table give nothing; repeated rows count again; texts may have any length.
     Ties of cuts go to the shortest first part, ties of phrases to the larger
     frequency, then the smaller phrase in byte order.  Other columns are not
-    read.  A phrase with a language's hash of another one makes a bitmap pass
-    more phrases, never fewer; all counts are exact."""
+    read.  Equal hashes make a bitmap pass more phrases, never fewer; all
+    counts are exact."""
     dictionary = stage(chunk_dictionary(docs, lang_col, text_col, trigger), "chunks")
     frequent, totals = frequent_phrases(dictionary, min_count)
     candidates = frequent.filter("words > 1")
