@@ -104,7 +104,7 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
     return out
 
 
-def ml_job(raw: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
+def ml_job(raw: DataFrame, num_trees: int = NUM_TREES, max_depth: int | None = MAX_DEPTH,
            actual_col: str = "PTS", preds: DataFrame | None = None) -> DataFrame:
     """features -> ordered split -> forest -> predictions -> anomalies.  Stored
     predictions of an earlier fit (``preds``) are used instead of a new one."""
@@ -119,7 +119,7 @@ def main(argv=None) -> None:
 
     warehouse --landing DIR --root DIR --seasons A,B --as-of YYYY-MM-DD
               [--lookback 14] [--full-refresh]
-    ml --bronze DIR --out DIR [--trees 300] [--depth 30]
+    ml --bronze DIR --out DIR [--trees 300] [--depth N]
     """
     import argparse
 

@@ -564,8 +564,9 @@ def q_warehouse_job(spark, sf):
     return out
 
 
-# --- model (Spark ML): one fit per data folder, shared by its queries.  Predictions
-# are not bit-comparable, so each query returns what must hold of them -------
+# --- model: one fit per data folder, shared by its queries.  Predictions of a
+# bootstrapped forest cannot be had from SQL, so those queries return what must
+# hold of them; a tree over all rows (rf_tree_fit) can -------
 
 def _fitted(spark, sf):
     """Folders of the fitted model, the test rows with predictions and the features."""
@@ -601,14 +602,27 @@ def q_rf_metrics(spark, sf):
 
 def q_model_roundtrip(spark, sf):
     """Whether the loaded model predicts each stored test row as the fitted one did."""
-    from .model import _features, load_model
-    model, preds, features = _fitted(spark, sf)
-    cols = [r.feature for r in spark.read.parquet(features).orderBy("position").collect()]
+    from .model import load_model
+    model, preds, _ = _fitted(spark, sf)
     stored = spark.read.parquet(preds).withColumnRenamed("PRED_PTS_NEXT_GAME", "_pf_stored")
-    return load_model(model).transform(_features(stored, cols, "sentinel", -1.0)).select(
+    return load_model(spark, model).transform(stored).select(
         *ANOM_TIES, F.col("PRED_PTS_NEXT_GAME").eqNullSafe(F.col("_pf_stored")).alias("same"))
 
 
+def q_rf_tree_fit(spark, sf):
+    """A full tree over all rows, once each, in prediction of those rows: it parts
+    all rows that any feature tells apart, so a row gets the mean label of its equals."""
+    from ..operators.forest import fit_forest, predict_forest
+    from .model import _features as encoded
+    names = ["PTS_LAST5", "REB_LAST5", "AST_LAST5", "MIN_LAST5", "OPP_PTS_ALLOWED_RANK"]
+    rows = ordered_split(_f5(spark, sf, *SPLIT_ORDER, *names, "PTS_NEXT_GAME"), SPLIT_ORDER, 0.2, pos_col="_pos")
+    rows = encoded(rows, names, "sentinel", -1.0)
+    cols = [f"_f_{c}" for c in names]
+    tree = fit_forest(rows, cols, "PTS_NEXT_GAME", "_pos", 1, bootstrap=False)
+    fitted = predict_forest(tree, rows, cols, "_pos", "fitted")
+    return rows.join(fitted, "_pos").select(*ANOM_TIES, F.round("fitted", 6).alias("fitted"))
+
+
 def q_ml_job(spark, sf):
     """Whether each anomaly's label agrees with the sign of its residual."""
     from .jobs import ml_job
@@ -641,6 +655,7 @@ QUERIES.update({
     "rf_predict": q_rf_predict,
     "rf_metrics": q_rf_metrics,
     "model_roundtrip": q_model_roundtrip,
+    "rf_tree_fit": q_rf_tree_fit,
     "ml_job": q_ml_job,
 })
 
