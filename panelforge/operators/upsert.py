@@ -16,8 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from ..sources.ingest import path_exists
+from ..session import drop_path, scratch_path
+from .versioned import VersionedTable
 
 DEFAULT_UPDATE = ("INGESTED_AT",)
 
@@ -37,14 +37,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def guard_unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fail the job if a (non-NULL) key occurs twice in ``batch``.  Rows with a
-    NULL key part pass by the check, so they never meet in one window."""
-    whole = _all_keys_present(keys)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    """Fail the job if a (non-NULL) key occurs twice in ``batch``.  A row with a
+    NULL key part is a group of its own, so such rows never meet in one window."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_pf_own"))
     msg = "upsert batch has a duplicate key on (" + ", ".join(keys) + ")"
-    checked = batch.where(whole).withColumn("_pf_kn", n).where(
-        F.when(F.col("_pf_kn") > 1, F.raise_error(F.lit(msg))).otherwise(F.lit(True))).drop("_pf_kn")
-    return checked.unionByName(batch.where(~whole))
+    return with_own_group(batch, keys).withColumn("_pf_kn", n).where(
+        F.when(F.col("_pf_kn") > 1, F.raise_error(F.lit(msg))).otherwise(F.lit(True))).drop("_pf_kn", "_pf_own")
+
+
+def with_own_group(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_pf_own``: NULL, or a number of its own for a row with a NULL key part."""
+    return batch.withColumn("_pf_own", F.when(~_all_keys_present(keys), F.monotonically_increasing_id()))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
@@ -89,33 +92,32 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 def create_like(spark: SparkSession, path: str, like: DataFrame) -> bool:
     """Create an empty table at ``path`` with ``like``'s schema unless one
     exists (``CREATE TABLE IF NOT EXISTS ... AS SELECT ... WHERE 1=0``).
-
-    The schema is kept as an empty Parquet file in ``<path>/_schema`` (Spark
-    readers skip folders starting with '_'), so an empty partitioned table
-    still has a schema.  Returns True when created."""
-    if path_exists(spark, f"{path}/_schema"):
-        return False
-    like.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/_schema")
-    return True
+    Returns True when created."""
+    return VersionedTable(spark, path).create(like)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a table made by :func:`create_like` / :func:`upsert_table` with
-    its recorded schema (partition folder values keep the recorded type)."""
-    schema = spark.read.parquet(f"{path}/_schema").schema
-    return spark.read.schema(schema).parquet(path)
+    """The live rows of a table made by :func:`create_like` / :func:`upsert_table`
+    with its recorded schema (partition folder values keep the recorded type)."""
+    return VersionedTable(spark, path).read()
 
 
 #: Partition values of a batch that are written into the scan as literals at most.
 MAX_TOUCHED = 10_000
 
 
+def touched_values(batch: DataFrame, partition_col: str) -> list | None:
+    """The batch's partition values, NULL included; None beyond ``MAX_TOUCHED``."""
+    values = [r[0] for r in batch.select(F.col(partition_col).cast("string")).distinct().limit(MAX_TOUCHED + 1).collect()]
+    return None if len(values) > MAX_TOUCHED else values
+
+
 def touched_partitions(batch: DataFrame, partition_col: str) -> Column | None:
     """A condition that selects the batch's partitions, NULL included, with
-    literals, so that the target's scan reads only those folders.  None beyond
+    literals, so that a scan reads only those folders.  None beyond
     ``MAX_TOUCHED`` values (then a join selects them)."""
-    values = [r[0] for r in batch.select(partition_col).distinct().limit(MAX_TOUCHED + 1).collect()]
-    if len(values) > MAX_TOUCHED:
+    values = touched_values(batch, partition_col)
+    if values is None:
         return None
     some = [v for v in values if v is not None]
     cond = F.col(partition_col).isin(some) if some else F.lit(False)
@@ -124,53 +126,47 @@ def touched_partitions(batch: DataFrame, partition_col: str) -> Column | None:
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str] | None = DEFAULT_UPDATE,
-                 partition_col: str = "SEASON") -> DataFrame:
-    """Upsert ``batch`` into the Parquet table at ``path`` (partitioned by
-    ``partition_col``, which must be one of the keys).
+                 partition_col: str = "SEASON", check=None, keep: int = 2) -> DataFrame:
+    """Upsert ``batch`` into the versioned table at ``path`` (partitioned by
+    ``partition_col``, which must be one of the keys), in one commit.
 
     The table's columns decide: a column that the batch lacks keeps its stored
     value in matched rows and is NULL in inserted ones; a column that only the
-    batch has is an error.  Only the partitions the batch touches, the NULL
-    partition included, are read, merged and rewritten (when none of them holds
-    rows yet, the batch is written directly): the merge is staged in the shared
-    checkpoint folder (Spark cannot overwrite a path it is reading), then
-    written back with dynamic partition overwrite, which replaces exactly those
-    partitions.  Reruns with the same batch give the same table, but for rows
-    with a NULL key part, which are always inserted.
-    """
+    batch has is an error.  The batch is computed once, into a staging table that
+    is dropped at the end.  Only the partitions the batch touches, the NULL
+    partition included, are read, merged and written, as new folders beside the
+    old ones; one manifest then switches all of them.  A failure before that,
+    also one that ``check`` (a function of the table as it would be) raises,
+    leaves the table as it was.  Reruns with the same batch give the same table,
+    but for rows with a NULL key part, which are always inserted.  The newest
+    ``keep`` versions stay readable."""
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
-
-    def write(df):
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
-
-    if create_like(spark, path, batch):
-        # new table: the merge is the batch itself (keys checked), no staging
-        write(guard_unique(batch, keys))
-        return read_table(spark, path).select(*batch.columns)
-    target = read_table(spark, path)
-    extra = [c for c in batch.columns if c not in target.columns]
+    table = VersionedTable(spark, path, partition_col)
+    table.create(batch)
+    schema = table.schema()
+    extra = [c for c in batch.columns if c not in schema.names]
     if extra:
         raise ValueError(f"the table has no columns {extra}")
     update = [c for c in (batch.columns if update_cols is None else update_cols)
               if c in batch.columns and c not in keys]
-    batch = batch.select(*[(F.col(c) if c in batch.columns
-                            else F.lit(None).cast(target.schema[c].dataType)).alias(c)
-                           for c in target.columns])
-    cond = touched_partitions(batch, partition_col)
-    if cond is not None:
-        target_part = target.where(cond)
-    else:
-        seasons = batch.select(F.col(partition_col).alias("_pf_p")).distinct()
-        target_part = target.join(seasons, target[partition_col].eqNullSafe(seasons["_pf_p"]), "left_semi")
-    if target_part.limit(1).count() == 0:
-        # Every touched partition is new (an append, e.g. a new season): the
-        # merge is the batch itself, written straight into those partitions.
-        write(guard_unique(batch, keys))
-        return read_table(spark, path).select(*target.columns)
-    merged = upsert(target_part, batch, keys, update)
-    stage = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    write(spark.read.schema(merged.schema).parquet(stage).select(*merged.columns))
-    return read_table(spark, path).select(*merged.columns)
+    staging = scratch_path(spark, "upsert-batch")
+    try:
+        batch.select(*[(F.col(c) if c in batch.columns else F.lit(None).cast(schema[c].dataType)).alias(c)
+                       for c in schema.names]).write.parquet(staging)
+        batch = spark.read.schema(schema).parquet(staging)
+        values, live = touched_values(batch, partition_col), table.manifest()["parts"]
+        if values is None:
+            seasons = batch.select(F.col(partition_col).alias("_pf_p")).distinct()
+            target = table.read()
+            old = target.join(seasons, target[partition_col].eqNullSafe(seasons["_pf_p"]), "left_semi") if live else None
+        else:
+            touched = [f for f in map(table.folder, values) if f in live]
+            old = table.read(touched) if touched else None
+        # Without old rows the merge is the batch itself.
+        rows = guard_unique(batch, keys) if old is None else upsert(old, batch, keys, update)
+        table.replace(rows, check=check)
+    finally:
+        drop_path(spark, staging)
+    table.vacuum(keep)
+    return table.read()

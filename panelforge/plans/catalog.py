@@ -4,13 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from ..operators.opponents import opponent_allowed, opponent_ranks
-from .features import player_features
-from .silver import silver
-
 # The three layer namespaces.
 NAMESPACES = ("bronze", "silver", "gold")
 
@@ -22,36 +18,46 @@ def init_namespaces(spark: SparkSession, names: Sequence[str] = NAMESPACES) -> N
 
 
 def register_tables(spark: SparkSession, paths: dict[str, str], schemas: dict[str, StructType],
-                    partitions: dict[str, list[str]] | None = None) -> None:
+                    partitions: dict[str, dict[str, str]] | None = None) -> None:
     """Make stored Parquet folders readable as ``layer.name``.  The catalog
-    entry is replaced, so it follows a changed schema; the files stay."""
+    entry is replaced, so it follows a changed schema; the files stay.
+    ``partitions``: per table the folder of each partition (``column=value``)."""
     for name, path in paths.items():
         layer, table = name.split(".")
-        by = (partitions or {}).get(name, [])
+        places = (partitions or {}).get(name, {})
+        by = sorted({p.split("=", 1)[0] for p in places})
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas[name].fields)
         spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{table}`")
         spark.sql(f"CREATE TABLE `{layer}`.`{table}` ({fields}) USING parquet "
                   + (f"PARTITIONED BY ({', '.join(f'`{c}`' for c in by)}) " if by else "")
                   + "LOCATION :path", args={"path": path})
-        if by:
-            spark.sql(f"MSCK REPAIR TABLE `{layer}`.`{table}`")
-
-
-def register_views(spark: SparkSession, bronze: DataFrame, prefix: str = "") -> dict[str, DataFrame]:
-    """Define (or replace) the silver and gold views in dependency order as
-    temporary views: silver_player_game_logs -> gold_opponent_allowed ->
-    gold_opponent_ranks -> gold_player_features."""
-    s = silver(bronze)
-    allowed = opponent_allowed(s)
-    views = {
-        f"{prefix}silver_player_game_logs": s,
-        f"{prefix}gold_opponent_allowed": allowed,
-        f"{prefix}gold_opponent_ranks": opponent_ranks(allowed),
-        f"{prefix}gold_player_features": player_features(s),
-    }
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return views
+        unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        for place, folder in places.items():
+            column, value = place.split("=", 1)
+            spark.sql(f"ALTER TABLE `{layer}`.`{table}` ADD PARTITION (`{column}` = :value) LOCATION :folder",
+                      args={"value": unescape(value), "folder": folder})
+
+
+#: Stored views over ``silver.player_game_logs``, in dependency order.
+VIEWS = {
+    "gold.opponent_allowed": """
+        SELECT season, opponent_team AS team, avg(pts) AS opp_pts_allowed,
+               avg(reb) AS opp_reb_allowed, avg(ast) AS opp_ast_allowed
+        FROM silver.player_game_logs GROUP BY season, opponent_team""",
+    "gold.opponent_ranks": "SELECT *, " + ", ".join(
+        f"CAST(dense_rank() OVER (PARTITION BY season ORDER BY opp_{m}_allowed NULLS LAST) AS BIGINT) "
+        f"AS opp_{m}_allowed_rank" for m in ("pts", "reb", "ast")) + " FROM gold.opponent_allowed",
+}
+
+
+def create_views(spark: SparkSession) -> None:
+    """Define or replace the stored views; every session of the catalog sees them.
+
+    Only their text is stored, so they are never stale.  A reader who asks for
+    ranks sorts the averages (a row per season and opponent); jobs use
+    ``operators.opponents``, which spreads a season over tasks."""
+    for name, text in VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -21,10 +21,11 @@ from ..operators.anomalies import compute_anomalies
 from ..operators.opponents import opponent_allowed, opponent_ranks
 from ..operators.positions import materialize
 from ..operators.upsert import read_table, upsert_table
+from ..operators.versioned import VersionedTable
 from ..schemas import BRONZE_KEYS, BRONZE_TEXT_SCHEMA
 from ..sources.ingest import bronze_status, incremental, isolated_load, path_exists
 from . import quality as dq
-from .catalog import init_namespaces, register_tables
+from .catalog import create_views, init_namespaces, register_tables
 from .features import features_last5, player_features, typed_raw
 from .model import MAX_DEPTH, NUM_TREES, train_model
 from .runlog import RunLog, run_layer
@@ -45,7 +46,8 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
     cannot be read is recorded and the others proceed.  Without any readable
     season and without a bronze table the run ends after bronze, with a
     'warning' row; with a bronze table the later layers run on it.  Silver is
-    partitioned by season and only the batch's seasons are rewritten."""
+    partitioned by season and only seasons that changed since it was made are
+    rewritten, by this run or by an earlier one that died."""
     init_namespaces(spark)
     log = RunLog(spark, f"{root}/run_log")
     log.create()
@@ -53,7 +55,6 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
              "gold": f"{root}/gold_player_features", "run_log": log.path}
     feed_schema = type(BRONZE_TEXT_SCHEMA)([f for f in BRONZE_TEXT_SCHEMA.fields
                                             if f.name not in ("SEASON", "INGESTED_AT")])
-    touched = None
     with run_layer(log, "bronze") as run:
         res = isolated_load(spark, landing, seasons, schema=feed_schema, batch_ts=batch_ts or now_text())
         run.status, run.message = bronze_status(list(seasons), res.failed)
@@ -61,49 +62,67 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
         if res.frame is not None:
             batch = incremental(res.frame, as_of, lookback_days, full_refresh)
             batch = batch.select(*[f.name for f in BRONZE_TEXT_SCHEMA.fields])
-            # Written once: its rows, its seasons and the merge come from one reading of the feed.
+            # Written once: its rows and the merge come from one reading of the feed.
             batch = materialize(batch, "bronze-batch")
             run.rows = batch.count()
-            touched = [r[0] for r in batch.select("SEASON").distinct().collect()]  # seasons
             upsert_table(spark, paths["bronze"], batch, BRONZE_KEYS)
     out = {**paths, "checks": None, "failed_seasons": res.failed}
     if not path_exists(spark, f"{paths['bronze']}/_schema"):
         return out
 
-    bronze = read_table(spark, paths["bronze"])
     with run_layer(log, "silver") as run:
-        first = not path_exists(spark, paths["silver"])
-        rows = silver(bronze)
-        if not first:
-            some = [s for s in touched or [] if s is not None]
-            changed = F.col("season").isin(some) if some else F.lit(False)
-            rows = rows.where(changed | F.col("season").isNull() if None in (touched or []) else changed)
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static" if first else "dynamic")
-         .partitionBy("season").parquet(paths["silver"]))
-        s = spark.read.schema(silver(bronze).schema).parquet(paths["silver"])
-        run.rows = s.count()
+        s = refresh_silver(spark, paths["bronze"], paths["silver"])
+        run.rows = s.count()  # file footers only
     with run_layer(log, "gold") as run:
         ranks = opponent_ranks(opponent_allowed(s))
-        feats = player_features(s)
         # Range-partitioned and sorted by the dashboard's filter key: Parquet
         # min/max statistics then let a player-name filter skip almost every
         # file and row group.  game_id completes the key, so a hot player
         # still spreads over several files.  All of gold is rewritten: a new
         # row moves its season's ranks and its player's means and targets.
+        # The write itself counts the rows and evaluates gold's checks.
         order = ["player_name", "game_date", "game_id"]
-        (feats.repartitionByRange(*order).sortWithinPartitions(*order)
-         .write.mode("overwrite").parquet(paths["gold"]))
+        feats = player_features(s)
+        on_gold = [c for c in dq.warehouse_checks(s, feats) if c.table is feats]
+        rows, values = dq.observed_write(
+            feats.repartitionByRange(*order).sortWithinPartitions(*order),
+            lambda df: df.write.mode("overwrite").parquet(paths["gold"]), on_gold)
         gold = spark.read.parquet(paths["gold"])
-        run.rows = ranks.count() + gold.count()
+        run.rows = ranks.count() + rows
+    parts = VersionedTable(spark, paths["silver"], "season").manifest()["parts"]
     register_tables(spark, {"silver.player_game_logs": paths["silver"],
                             "gold.player_features": paths["gold"]},
                     {"silver.player_game_logs": s.schema, "gold.player_features": gold.schema},
-                    {"silver.player_game_logs": ["season"]})
+                    {"silver.player_game_logs": {p: f"{paths['silver']}/{p}/{v}" for p, v in parts.items()}})
+    create_views(spark)
     with run_layer(log, "quality"):
-        out["checks"] = dq.assert_checks(dq.run_checks(dq.warehouse_checks(s, gold)))
+        n_bronze = read_table(spark, paths["bronze"]).count()
+        on_silver = [c for c in dq.warehouse_checks(s, feats) if c.table is s] + [
+            dq.Check("silver has bronze's rows", s, dq.has_rows(), lambda v: v == F.lit(n_bronze))]
+        row = s.agg(*[c.value.cast("bigint").alias(f"v{i}") for i, c in enumerate(on_silver)]).first()
+        out["checks"] = dq.assert_checks(dq.measured_report(spark, [*zip(on_gold, values), *zip(on_silver, row)]))
     return out
 
 
+def refresh_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> DataFrame:
+    """Bring silver up to date with bronze and return it.
+
+    Silver's manifest notes from which folder of bronze each season was made.
+    Seasons whose folder is another one now are made again, whichever run changed
+    them, and vanished ones go, so silver equals bronze after every run, also
+    after runs that died."""
+    b = VersionedTable(spark, bronze_path, "SEASON")
+    t = VersionedTable(spark, silver_path, "season")
+    live, made = b.manifest()["parts"], t.manifest()["sources"]
+    t.create(silver(b.read([])))
+    stale = [p for p, v in live.items() if made.get(p) != v]
+    gone = [p for p in made if p not in live]
+    if stale or gone:
+        t.replace(silver(b.read(stale)), [p.replace("SEASON=", "season=", 1) for p in stale + gone], live)
+        t.vacuum()
+    return t.read()
+
+
 def ml_job(raw: DataFrame, num_trees: int = NUM_TREES, max_depth: int | None = MAX_DEPTH,
            actual_col: str = "PTS", preds: DataFrame | None = None) -> DataFrame:
     """features -> ordered split -> forest -> predictions -> anomalies.  Stored

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.expressions import count_where
@@ -68,6 +68,22 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
                                      F.coalesce(F.col("ok"), F.lit(False)).alias("ok"))
 
 
+def observed_write(df: DataFrame, write: Callable[[DataFrame], object], checks: Sequence[Check] = ()) -> tuple[int, list[int]]:
+    """Write ``df`` and measure it on the way: its rows and the checks' values."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        F.coalesce(c.value.cast("bigint"), F.lit(0)).alias(f"v{i}") for i, c in enumerate(checks)]))
+    got = seen.get
+    return got["rows"], [got[f"v{i}"] for i in range(len(checks))]
+
+
+def measured_report(spark, measured: Sequence[tuple[Check, int]]) -> DataFrame:
+    """The report of :func:`run_checks` for values that are known already."""
+    rows = spark.createDataFrame([(i, c.name, v) for i, (c, v) in enumerate(measured)], "idx int, check string, value bigint")
+    ok = F.coalesce(*[F.when(F.col("idx") == i, c.ok(F.col("value"))) for i, (c, _) in enumerate(measured)])
+    return rows.orderBy("idx").select("check", "value", F.coalesce(ok, F.lit(False)).alias("ok"))
+
+
 def assert_checks(report: DataFrame) -> DataFrame:
     """Raise :class:`QualityError` listing every failed check."""
     rows = report.collect()  # one row per check

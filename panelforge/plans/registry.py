@@ -501,23 +501,79 @@ def q_csv_roundtrip(spark, sf):
                             BRONZE_TEXT_SCHEMA)
 
 
+def _warehouse(spark, sf):
+    """Folder of a warehouse that one full run built."""
+    from .jobs import warehouse_job
+
+    def make(root):
+        landing = _landing(spark, sf)
+        warehouse_job(spark, landing, landing_seasons(spark, landing), root, AS_OF, full_refresh=True,
+                      batch_ts=FIXTURE_INGESTED_AT)
+    return _once(spark, sf, "warehouse", make)
+
+
 def q_catalog_exists(spark, sf):
-    from .catalog import register_views, table_exists
-    views = register_views(spark, bronze_log(spark, sf))
-    s = views["silver_player_game_logs"]
-    out = None
+    """The layers' relations as another session finds them by name."""
+    from .catalog import create_views, init_namespaces, register_tables, table_exists
+    from ..operators.versioned import VersionedTable
+    root = _warehouse(spark, sf)
+    t = VersionedTable(spark, f"{root}/silver", "season")
+    gold = spark.read.parquet(f"{root}/gold_player_features")
+    init_namespaces(spark)
+    register_tables(spark, {"silver.player_game_logs": t.path, "gold.player_features": f"{root}/gold_player_features"},
+                    {"silver.player_game_logs": t.schema(), "gold.player_features": gold.schema},
+                    {"silver.player_game_logs": {p: f"{t.path}/{p}/{v}" for p, v in t.manifest()["parts"].items()}})
+    create_views(spark)
+    other, out = spark.newSession(), None
     # the misspelled name is looked up on purpose: it does not exist
-    for name in ["gold_opponents_ranks", "gold_opponent_ranks", "gold_player_features"]:
-        if table_exists(spark, name):
-            one = spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(
-                F.lit(name).alias("table_name"), F.lit(True).alias("present"), "rows")
-        else:
-            one = s.agg(F.lit(0).cast("bigint").alias("rows")).select(
-                F.lit(name).alias("table_name"), F.lit(False).alias("present"), "rows")
+    for name in ["silver.player_game_logs", "gold.opponents_ranks", "gold.opponent_allowed", "gold.opponent_ranks",
+                 "gold.player_features"]:
+        present = table_exists(other, name)
+        one = (spark.table(name) if present else gold.limit(0)).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), F.lit(present).alias("present"), "rows")
         out = one if out is None else out.unionByName(one)
     return out
 
 
+def q_stored_view_ranks(spark, sf):
+    """The ranks as the stored view gives them."""
+    q_catalog_exists(spark, sf)
+    return spark.newSession().table("gold.opponent_ranks")
+
+
+def q_warehouse_job_resumed(spark, sf):
+    """Rows per layer after a run died between bronze and silver, leaving files
+    in silver's folder, and a later run loaded only the last season."""
+    from .jobs import warehouse_job
+    root, landing = scratch_path(spark, "warehouse-resumed"), _landing(spark, sf)
+    seasons = landing_seasons(spark, landing)
+    ups.upsert_table(spark, f"{root}/bronze", _all_seasons(spark, sf), KEY_COLS)
+    silver(bronze_log(spark, sf)).limit(10).write.partitionBy("season").parquet(f"{root}/silver")
+    run = warehouse_job(spark, landing, seasons[-1:], root, AS_OF, full_refresh=True)
+    frames = [("silver", ups.read_table(spark, run["silver"])), ("gold", spark.read.parquet(run["gold"]))]
+    out = None
+    for layer, df in frames:
+        one = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("season").alias("seasons"),
+                     F.sum("pts").alias("points")).select(F.lit(layer).alias("layer"), "rows", "seasons", "points")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_upsert_rejected(spark, sf):
+    """The table after a change of several partitions that was written but not committed."""
+    def reject(_):
+        raise ValueError("rejected before the commit")
+
+    target, batch = upsert_inputs(spark, sf)
+    path = scratch_path(spark, "bronze")
+    ups.upsert_table(spark, path, target, KEY_COLS)
+    try:
+        ups.upsert_table(spark, path, batch, KEY_COLS, check=reject)
+    except ValueError:
+        return ups.read_table(spark, path)
+    raise RuntimeError("the change was committed")
+
+
 def q_run_log_append(spark, sf):
     from .runlog import RunLog, run_layer
     log = RunLog(spark, scratch_path(spark, "run_log"))
@@ -651,6 +707,9 @@ QUERIES.update({
     "overwrite_roundtrip": q_overwrite_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "catalog_exists": q_catalog_exists,
+    "stored_view_ranks": q_stored_view_ranks,
+    "warehouse_job_resumed": q_warehouse_job_resumed,
+    "upsert_rejected": q_upsert_rejected,
     "run_log_append": q_run_log_append,
     "rf_predict": q_rf_predict,
     "rf_metrics": q_rf_metrics,

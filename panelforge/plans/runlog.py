@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RUN_LOG_SCHEMA, RUN_STATUSES
+from ..session import drop_path
 from ..sources.ingest import path_exists
 
 
@@ -42,13 +43,19 @@ class RunLog:
         df.coalesce(1).write.mode("append").parquet(self.path)
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.path).dropDuplicates()
 
     def compact(self, files: int = 1) -> None:
-        """Rewrite the log into ``files`` files (through a staging copy)."""
-        from ..operators.positions import materialize
-        staged = materialize(self.read(), "runlog-compact")
-        staged.coalesce(files).write.mode("overwrite").parquet(self.path)
+        """Rewrite the log into ``files`` files.  The compacted rows are added
+        before the old files go, and ``read`` drops repeated rows, so a crash in between loses and repeats nothing."""
+        old = self._files()
+        self.spark.read.schema(RUN_LOG_SCHEMA).parquet(*old).dropDuplicates().coalesce(files).write.mode(
+            "append").parquet(self.path) if old else None
+        for name in old:
+            drop_path(self.spark, name)
+
+    def _files(self) -> list[str]:
+        return list(self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.path).inputFiles())
 
 
 class LayerRun:

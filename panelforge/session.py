@@ -92,6 +92,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/panelforge-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

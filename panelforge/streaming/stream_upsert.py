@@ -19,19 +19,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.upsert import DEFAULT_UPDATE, read_table, upsert_table
+from ..operators.upsert import DEFAULT_UPDATE, read_table, upsert_table, with_own_group
 from ..session import scratch_path
 
 
 def newest_file(batch: DataFrame, keys: Sequence[str], file_col: str = "_pf_file") -> DataFrame:
     """Per key the rows of its newest file; rows with a NULL key part all stay."""
-    whole = F.lit(True)
-    for k in keys:
-        whole = whole & F.col(k).isNotNull()
-    newest = F.max(file_col).over(Window.partitionBy(*keys))
-    kept = batch.where(whole).withColumn("_pf_newest", newest).where(
-        F.col(file_col) == F.col("_pf_newest")).drop("_pf_newest")
-    return kept.unionByName(batch.where(~whole))
+    newest = F.max(file_col).over(Window.partitionBy(*keys, "_pf_own"))
+    return with_own_group(batch, keys).withColumn("_pf_newest", newest).where(
+        F.col(file_col) == F.col("_pf_newest")).drop("_pf_newest", "_pf_own")
 
 
 def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, target: str,

@@ -115,14 +115,18 @@ def test_warehouse_job(spark):
 
 
 def test_namespaces_and_views(spark):
-    from panelforge.plans.catalog import init_namespaces, register_views, table_exists
+    from panelforge.plans.catalog import create_views, init_namespaces, register_tables, table_exists
+    from panelforge.plans.silver import silver
+    from panelforge.session import scratch_path
     init_namespaces(spark)
-    assert {"bronze", "silver", "gold"} <= {d.name for d in spark.catalog.listDatabases()}
-    register_views(spark, game_log(spark, SF_SMALL), prefix="t_")
-    assert table_exists(spark, "t_gold_player_features")
-    assert not table_exists(spark, "t_gold_opponents_ranks")
-    # 187 groups at sf0.001 (DuckDB gives the same count)
-    assert spark.sql("SELECT count(*) FROM t_gold_opponent_ranks").first()[0] == 187
+    s = silver(game_log(spark, SF_SMALL))
+    path = scratch_path(spark, "t-silver-named")
+    s.write.parquet(path)
+    register_tables(spark, {"silver.player_game_logs": path}, {"silver.player_game_logs": s.schema})
+    create_views(spark)
+    other = spark.newSession()
+    assert table_exists(other, "gold.opponent_ranks") and not table_exists(other, "gold.opponents_ranks")
+    assert other.table("gold.opponent_ranks").count() == other.table("gold.opponent_allowed").count() > 0
 
 
 def test_forest_beats_mean_predictor(spark, gl):
