@@ -8,14 +8,25 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .positions import materialize
 
 
+#: Cells of the density's fine grid per bandwidth, and how far a kernel reaches.
+CELLS_PER_BANDWIDTH, REACH = 128, 12
+#: Places of the six grid points around a cell's start.
+NODES = (-2, -1, 0, 1, 2, 3)
+
+
+def _basis(node: int) -> np.ndarray:
+    """Coefficients (lowest power first) of the polynomial that is 1 at ``node``
+    and 0 at the other nodes."""
+    others = [j for j in NODES if j != node]
+    return np.polynomial.polynomial.polyfromroots(others) / np.prod([node - j for j in others], dtype=float)
+
+
 def _bounds(lo, hi):
     # Equal bounds get a unit-wide range around the value (as numpy does).
     if lo is None:
@@ -62,8 +73,13 @@ def kde(df: DataFrame, col: str, gridsize: int = 200, cut: float = 0.0,
 
     Columns: point (0..gridsize-1), x, density, and ``count_density`` (the
     density scaled by n * bin width, the curve drawn over a count histogram
-    of ``bins`` bins).  Each task gives one row per grid point, whatever its
-    number of values, and a final aggregate adds the tasks up."""
+    of ``bins`` bins).
+
+    Work grows with rows + cells, all in built-in functions.  A value's kernel is
+    replaced by the kernels of the six grid points around it, a hundred-odd per
+    bandwidth, with Lagrange weights.  The error of one kernel (whose peak is 1)
+    is at most 15 / 720 * 3.52 * (1 / ``CELLS_PER_BANDWIDTH``)^6, about 2e-14,
+    and what lies beyond ``REACH`` bandwidths, below 1e-31, is left out."""
     vals = materialize(df.select(F.col(col).alias("x"))
                        .where(F.col("x").isNotNull() & ~F.isnan("x")), "kde")
     st = vals.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
@@ -75,24 +91,36 @@ def kde(df: DataFrame, col: str, gridsize: int = 200, cut: float = 0.0,
     bw = sd * n ** (-1.0 / 5.0) * bw_adjust
     g_lo, g_hi = lo - cut * bw, hi + cut * bw
     step = (g_hi - g_lo) / (gridsize - 1)
-    # Each task adds up its values' kernels on the grid in one array of
-    # ``gridsize`` sums, and only those arrays meet.
-    grid = g_lo + np.arange(gridsize) * step
-
-    def sums(batches):
-        total = np.zeros(gridsize)
-        for batch in batches:
-            x = batch.column("x").to_numpy(zero_copy_only=False)
-            for i in range(0, len(x), 1000):
-                total += np.exp(-0.5 * ((grid[None, :] - x[i:i + 1000, None]) / bw) ** 2).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(gridsize)), pa.array(total)],
-                                         names=["point", "k"])
-
-    contrib = vals.mapInArrow(sums, "point long, k double")
+    # Rows -> moments of their places within fine cells -> weights of the cells'
+    # neighbouring grid points -> kernels between grid points and output points.
+    delta = bw / CELLS_PER_BANDWIDTH
+    u = (F.col("x") - F.lit(lo)) / F.lit(delta)
+    placed = vals.select(F.floor(u).alias("cell"), (u - F.floor(u)).alias("t1"))
+    for k in range(2, len(NODES)):
+        placed = placed.withColumn(f"t{k}", F.col(f"t{k - 1}") * F.col("t1"))
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).cast("double").alias("m0"),
+                                       *[F.sum(f"t{k}").alias(f"m{k}") for k in range(1, len(NODES))])
+
+    def weight(node):
+        return sum((F.col(f"m{k}") * F.lit(float(c)) for k, c in enumerate(_basis(node))), F.lit(0.0))
+
+    spread = cells.select(F.explode(F.array(*[F.struct((F.col("cell") + j).alias("g"), weight(j).alias("w"))
+                                              for j in NODES])).alias("s")).select("s.*")
+    grid = spread.groupBy("g").agg(F.sum("w").alias("w")).select("w", (F.lit(lo) + F.col("g") * F.lit(delta)).alias("v"))
+    reach = REACH * bw
+    first = F.greatest(F.lit(0), F.ceil((F.col("v") - F.lit(reach + g_lo)) / F.lit(step)))
+    last = F.least(F.lit(gridsize - 1), F.floor((F.col("v") + F.lit(reach - g_lo)) / F.lit(step)))
+    near = grid.select("*", first.alias("a"), last.alias("b")).where("a <= b").select(
+        "w", "v", F.explode(F.sequence("a", "b")).alias("point"))
+    z = (F.lit(g_lo) + F.col("point").cast("double") * F.lit(step) - F.col("v")) / F.lit(bw)
+    sums = near.groupBy("point").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
+    # both sides hold at most ``gridsize`` rows
+    contrib = spark.range(gridsize).withColumnRenamed("id", "point").join(F.broadcast(sums), "point", "left").select(
+        "point", F.greatest(F.coalesce("s", F.lit(0.0)), F.lit(0.0)).alias("s"))
     norm = n * bw * math.sqrt(2 * math.pi)
     h_lo, h_hi = _bounds(lo, hi)
     binwidth = (h_hi - h_lo) / bins
-    return (contrib.groupBy("point").agg(F.sum("k").alias("s"))
+    return (contrib
             .select(F.col("point").cast("bigint").alias("point"),
                     F.round(F.lit(g_lo) + F.col("point").cast("double") * F.lit(step), 6).alias("x"),
                     F.round(F.col("s") / F.lit(norm), 6).alias("density"),

@@ -9,12 +9,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import nan_to_null, opponent_last_token
 from ..operators.joins import join_small
-from ..operators.opponents import opponent_allowed, opponent_defense, opponent_ranks
+from ..operators.opponents import L_ALLOWED, opponent_allowed, opponent_defense, opponent_ranks
 from ..operators.rolling import position_rows, rolling_features, rolling_over_positions
 from ..schemas import MEASURE_COLS, PLAYER_FEATURE_COLS
 
@@ -103,23 +105,43 @@ def opponent_def_features(raw: DataFrame) -> DataFrame:
     return _join_defense(with_opponent(raw))
 
 
-def features_last5(raw: DataFrame, strategy: str = "positions", window: int = 5) -> DataFrame:
-    """features.csv of the older pipeline."""
+def features_last5(raw: DataFrame, strategy: str = "positions", window: int = 5,
+                   columns: Sequence[str] | None = None) -> DataFrame:
+    """features.csv of the older pipeline, or only its ``columns``: then only
+    what they need is sorted, written and joined."""
+    wanted = None if columns is None else set(columns)
+
+    def want(*names):
+        return wanted is None or not wanted.isdisjoint(names)
+
+    pra = [f"{m}_LAST{window}" for m in ("PTS", "REB", "AST")]
+    means = [(f"{m}_LAST{window}", m, window) for m in L_MEASURES
+             if want(f"{m}_LAST{window}") or f"{m}_LAST{window}" in pra and want(f"PRA_LAST{window}")]
+    defense = [o for m in L_ALLOWED for o in (m[0], f"{m[0]}_RANK")]
+    with_defense = want(*defense)
+    if wanted is not None:
+        needed = wanted | {"PLAYER_NAME", "PTS", *L_ORDER, *[c for _, c, _ in means]}
+        if with_defense or "OPPONENT_TEAM" in wanted:
+            needed |= {"MATCHUP"}
+        if with_defense:
+            needed |= {"SEASON", *[c for _, c in L_ALLOWED]}
+        raw = raw.select(*[c for c in raw.columns if c in needed])
     df = raw.select(*[nan_to_null(c).alias(c) if c in L_MEASURES else F.col(c)
                       for c in raw.columns])
-    df = with_opponent(df)
-    means = [(f"{m}_LAST{window}", m, window) for m in L_MEASURES]
+    df = with_opponent(df) if "MATCHUP" in raw.columns else df.withColumn("GAME_DATE", F.to_date("GAME_DATE"))
     leads = [("PTS_NEXT_GAME", "PTS", 1)]
+    joined = _join_defense if with_defense else (lambda d: d)
     if strategy == "positions":
         # one materialisation; the opponent averages and the windows scan it
         df = position_rows(df, ["PLAYER_NAME"], L_ORDER)
-        df = rolling_over_positions(_join_defense(df), ["PLAYER_NAME"], means, leads)
+        df = rolling_over_positions(joined(df), ["PLAYER_NAME"], means, leads)
     else:
-        df = rolling_features(_join_defense(df), ["PLAYER_NAME"], L_ORDER, means, leads, strategy)
-    pra = (F.col(f"PTS_LAST{window}") + F.col(f"REB_LAST{window}")
-           + F.col(f"AST_LAST{window}")).alias(f"PRA_LAST{window}")
-    ordered = [c for c in df.columns if c != "PTS_NEXT_GAME"]
+        df = rolling_features(joined(df), ["PLAYER_NAME"], L_ORDER, means, leads, strategy)
+    ordered = [F.col(c) for c in df.columns if c != "PTS_NEXT_GAME"]
+    if want(f"PRA_LAST{window}"):
+        ordered.append((F.col(pra[0]) + F.col(pra[1]) + F.col(pra[2])).alias(f"PRA_LAST{window}"))
     # Rows without a player name form no group in the original and end
     # without a target; the filter comes after the windows on purpose.
-    return (df.select(*ordered, pra, "PTS_NEXT_GAME")
-            .where(F.col("PLAYER_NAME").isNotNull() & F.col("PTS_NEXT_GAME").isNotNull()))
+    out = (df.select(*ordered, "PTS_NEXT_GAME")
+           .where(F.col("PLAYER_NAME").isNotNull() & F.col("PTS_NEXT_GAME").isNotNull()))
+    return out if columns is None else out.select(*columns)

@@ -170,7 +170,7 @@ def q_anomalies(spark, sf):
 
 def _f5(spark, sf, *cols):
     """Only the named columns of the last-five features."""
-    return feat.features_last5(_raw(spark, sf)).select(*cols)
+    return feat.features_last5(_raw(spark, sf), columns=list(dict.fromkeys(cols)))
 
 
 def q_residual_zscore(spark, sf):
@@ -180,13 +180,13 @@ def q_residual_zscore(spark, sf):
 
 
 def q_anomaly_label(spark, sf):
-    f5 = feat.features_last5(_raw(spark, sf))
+    f5 = _f5(spark, sf, *ANOM_TIES, "PTS", "PTS_LAST5")
     return an.with_label(an.with_residual(f5, "PTS", "PTS_LAST5")).select(
         *ANOM_TIES, "RESIDUAL", "ANOMALY_TYPE")
 
 
 def q_residual_stats(spark, sf):
-    f5 = feat.features_last5(_raw(spark, sf))
+    f5 = _f5(spark, sf, "PTS", "PTS_LAST5")
     st = an.residual_stats(an.with_residual(f5, "PTS", "PTS_LAST5"))
     return st.select("n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
@@ -199,17 +199,17 @@ def q_top_anomalies(spark, sf):
 
 
 def q_residual_histogram(spark, sf):
-    f5 = feat.features_last5(_raw(spark, sf))
+    f5 = _f5(spark, sf, "PTS", "PTS_LAST5")
     return hist.histogram(an.with_residual(f5, "PTS", "PTS_LAST5"), "RESIDUAL", 40)
 
 
 def q_residual_kde(spark, sf):
-    f5 = feat.features_last5(_raw(spark, sf))
+    f5 = _f5(spark, sf, "PTS", "PTS_LAST5")
     return hist.kde(an.with_residual(f5, "PTS", "PTS_LAST5"), "RESIDUAL")
 
 
 def q_pred_actual_grid(spark, sf):
-    f5 = feat.features_last5(_raw(spark, sf))
+    f5 = _f5(spark, sf, "PTS", "PTS_LAST5")
     return hist.grid_counts(f5, "PTS_LAST5", "PTS", 20)
 
 
@@ -229,9 +229,15 @@ def q_regression_metrics(spark, sf):
 
 # --- data quality and layer counts -------------------------------------------
 
+def _counted(s):
+    """The gold features for aggregates that use no window column: then the plan
+    holds no window, so no rows need be placed and written for it."""
+    return feat.player_features(s, strategy="window")
+
+
 def _checks(spark, sf):
     s = _silver(spark, sf)
-    return dq.run_checks(dq.warehouse_checks(s, feat.player_features(s)))
+    return dq.run_checks(dq.warehouse_checks(s, _counted(s)))
 
 
 def q_dq_report(spark, sf):
@@ -240,7 +246,7 @@ def q_dq_report(spark, sf):
 
 def q_dq_has_rows(spark, sf):
     s = _silver(spark, sf)
-    f = feat.player_features(s)
+    f = _counted(s)
     return dq.run_checks([dq.Check("gold.player_features has rows", f, dq.has_rows(),
                                    lambda v: v > 0)])
 
@@ -263,12 +269,12 @@ def q_dq_null_keys_found(spark, sf):
 def q_dq_rank_range_found(spark, sf):
     """The same check on ranks of which some are too large."""
     c = "opp_pts_allowed_rank"
-    f = feat.player_features(_silver(spark, sf)).withColumn(c, F.col(c) * 2)
+    f = _counted(_silver(spark, sf)).withColumn(c, F.col(c) * 2)
     return dq.run_checks([dq.Check(f"{c} within 1..30", f, dq.out_of_range(c), lambda v: v == 0)])
 
 
 def q_dq_rank_range(spark, sf):
-    f = feat.player_features(_silver(spark, sf))
+    f = _counted(_silver(spark, sf))
     return dq.run_checks([dq.Check(f"{c} within 1..30", f, dq.out_of_range(c), lambda v: v == 0)
                           for c in ["opp_pts_allowed_rank", "opp_reb_allowed_rank",
                                     "opp_ast_allowed_rank"]])
@@ -280,7 +286,7 @@ def q_layer_counts(spark, sf):
     allowed = opponent_allowed(s)
     parts = [("bronze", b), ("silver", s), ("opponent_allowed", allowed),
              ("opponent_ranks", opponent_ranks(allowed)),
-             ("player_features", feat.player_features(s))]
+             ("player_features", _counted(s))]
     out = None
     for name, df in parts:
         one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("layer"), "rows")
