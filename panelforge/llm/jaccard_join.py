@@ -48,12 +48,12 @@ CHARS = 500_000
 FREQUENT = 1 << 18
 FREQUENT_IN_SLICE, FREQUENT_IN_ALL = 4, 12
 #: Prefix entries a task should get, entries of one shingle before it is split, nodes of a tile per block.
-TASK_ENTRIES, HOT_ENTRIES, BLOCK = 2_000_000, 500_000, 2000
+TASK_ENTRIES, HOT_ENTRIES, BLOCK = 1_000_000, 500_000, 2000
 #: Times that nodes without a link try a centre nearer to the original.
 CLIMBS = 2
 #: Rows of tiles that a task should get, pairs that it looks at together, and 64-bit words
 #: of their bitmaps.
-TASK_ROWS, PAIRS, WORDS = 50_000, 300_000, 1_000_000
+TASK_ROWS, PAIRS, WORDS = 25_000, 300_000, 1_000_000
 #: Shingles that a task counts together for the frequent ones.
 COUNTED = 2_000_000
 
@@ -369,61 +369,89 @@ def linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent:
     return both.mapInArrow(run, "a long, b long, share double")
 
 
-def dealt(tiles: DataFrame, parts: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """(per tile its counts and ``rows``, the rows): rows (tile, kind, low, high, side,
-    node, part, leads), a group for each pair of blocks in which pairs of different
-    components can have a leading node.
+def dealt(tiles: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int,
+          block: int) -> tuple[DataFrame, DataFrame]:
+    """(per tile its counts and ``rows``, the rows): rows (tile, kind, low_band,
+    high_band, low, high, side, node, part, leads), a group for each pair of blocks
+    in which pairs of different components can have a leading node.
 
     With the tile's largest component as main, those pairs are: leading nodes of
     the others among themselves (kind 0; side 1 is the higher block) and with all
     that is not so (kind 1), and leading nodes of the main component with those of
-    the others that don't lead (kind 2).  A group has about two blocks of rows."""
+    the others that don't lead (kind 2).  A group has about two blocks of rows.
+
+    The nodes of a tile of more than ``block`` nodes are dealt by size first: sizes
+    in a ratio of 100 / ``percent`` make a band, similar sets lie in one band or in
+    neighbouring ones, and blocks of other bands never meet.  ``sizes``: node, n."""
     t = tiles.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn(
-        "part", F.coalesce("part", "node"))
+        "part", F.coalesce("part", "node")).join(sizes, "node")
+    in_band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
     per_part = t.groupBy("tile", "part").agg(F.count("*").alias("count"), F.sum("leads").alias("lead"))
-    x = per_part.groupBy("tile").agg(F.max(F.struct("count", "part", "lead")).alias("m"),
-                                     F.sum("count").alias("all"), F.sum("lead").alias("lead"),
-                                     F.count("*").alias("parts")).filter("parts > 1")
-    x = x.selectExpr("tile", "m.part AS main", "lead - m.lead AS a", "m.lead AS b",
-                     "all - lead - m.count + m.lead AS c", "all - lead + m.lead AS d").selectExpr(
-        "*", *(f"int(ceil({k} / {block})) AS n_{k}" for k in "abcd")).selectExpr(
-        "*", "a * (n_a + n_d) + d * n_a + b * n_c + c * n_b AS rows").filter("a > 0 OR b > 0 AND c > 0")
-    x = stage(x, "tile-counts")
+    x = per_part.groupBy("tile").agg(F.max(F.struct("count", "part", "lead")).alias("m"), F.sum("count").alias("all"),
+                                     F.sum("lead").alias("lead"), F.count("*").alias("parts")).filter("parts > 1")
+    x = x.filter("lead > m.lead OR m.lead > 0 AND all - lead - m.count + m.lead > 0").select(
+        "tile", F.col("m.part").alias("main"), (F.col("all") > block).alias("wide"))
+    x = stage(x, "tile-mains")
+    t = t.join(x, "tile").withColumn("band", F.when(F.col("wide"), in_band).otherwise(F.lit(0)))
+
+    def some(condition):
+        return F.count_if(F.expr(condition))
+
+    counts = t.groupBy("tile", "band").agg(
+        some("leads = 1 AND part != main").alias("a"), some("leads = 1 AND part = main").alias("b"),
+        some("leads = 0 AND part != main").alias("c"), some("leads = 0 OR part = main").alias("d"))
+    counts = stage(counts.selectExpr("tile", "band", *(f"int(ceil({k} / {block})) AS {k}" for k in "abcd"), "a AS n_a",
+                                     "b AS n_b", "c AS n_c", "d AS n_d"), "tile-counts")
+    # a tile has few bands: their numbers of blocks travel as one map
+    blocks = counts.groupBy("tile").agg(F.map_from_entries(F.collect_list(F.struct(
+        "band", F.struct("a", "b", "c", "d")))).alias("blocks"))
 
     def own(k):
-        return f"int(pmod(xxhash64(node), n_{k}))"
-
-    def met(n, kind, low, high, side):
-        return f"transform(IF(n_{n} > 0, sequence(0, n_{n} - 1), array()), o -> struct({kind} AS kind, " \
-               f"{low} AS low, {high} AS high, {side} AS side))"
-
-    lone = met("a", 0, f"least(o, {own('a')})", f"greatest(o, {own('a')})", f"int({own('a')} > o)")
-    others = met("a", 1, "o", own("d"), 1)
+        return f"int(pmod(xxhash64(node), try_element_at(blocks, band).{k}))"
+
+    def met(k, other, kind, low_band, high_band, low, high, side):
+        n = f"coalesce(try_element_at(blocks, {other}).{k}, 0)"
+        return (f"transform(IF({n} > 0, sequence(0, {n} - 1), array()), o -> struct({kind} AS kind, int({low_band}) AS low_band, "
+                f"int({high_band}) AS high_band, int({low}) AS low, int({high}) AS high, int({side}) AS side))")
+
+    def near(k, kind, mine, side):
+        """Blocks of the class ``k`` in this node's band and the two beside it."""
+        return ", ".join(met(k, f"band + {i}", kind, "band" if side == 0 else f"band + {i}", f"band + {i}" if side == 0 else "band",
+                             own(mine) if side == 0 else "o", "o" if side == 0 else own(mine), side) for i in (-1, 0, 1))
+
+    lone = ", ".join((
+        met("a", "band", 0, "band", "band", f"least(o, {own('a')})", f"greatest(o, {own('a')})", f"{own('a')} > o"),
+        met("a", "band + 1", 0, "band", "band + 1", own("a"), "o", 0),
+        met("a", "band - 1", 0, "band - 1", "band", "o", own("a"), 1)))
     groups = f"""CASE
-        WHEN leads = 1 AND part != main THEN concat({lone}, {met("d", 1, own("a"), "o", 0)})
-        WHEN leads = 1 THEN concat({others}, {met("c", 2, own("b"), "o", 0)})
-        WHEN part != main THEN concat({others}, {met("b", 2, "o", own("c"), 1)})
-        ELSE {others} END"""
-    rows = t.join(x, "tile").selectExpr("tile", "node", "part", "leads", f"explode({groups}) AS g")
-    return x, rows.select("tile", "g.*", "node", "part", "leads")
+        WHEN leads = 1 AND part != main THEN concat({lone}, {near("d", 1, "a", 0)})
+        WHEN leads = 1 THEN concat({near("a", 1, "d", 1)}, {near("c", 2, "b", 0)})
+        WHEN part != main THEN concat({near("a", 1, "d", 1)}, {near("b", 2, "c", 1)})
+        ELSE concat({near("a", 1, "d", 1)}) END"""
+    rows = t.join(blocks, "tile").selectExpr("tile", "node", "part", "leads", "n", f"explode({groups}) AS g")
+    near_blocks = blocks.alias("y").join(counts.alias("x"), "tile").selectExpr("tile", " + ".join(
+        f"n_{k} * coalesce(try_element_at(blocks, band + {i}).{o}, 0)"
+        for k, o in ("aa", "ad", "da", "bc", "cb") for i in (-1, 0, 1)) + " AS rows")
+    return near_blocks, rows.select("tile", "g.*", "node", "part", "leads", "n")
 
 
 def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, percent: int,
                 block: int, buckets: int) -> DataFrame:
     """Pairs of one tile, from different components, that size and bitmap allow.
     At least ``buckets`` tasks share the groups, about ``TASK_ROWS`` rows each."""
-    counts, t = dealt(tiles, parts, block)
+    counts, t = dealt(tiles, parts, signatures.select("node", "n"), percent, block)
     total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     buckets = max(buckets, int(total) // TASK_ROWS + 1)
-    t = t.join(signatures, "node").select("tile", "kind", "low", "high", "side", "node", "part", "leads", "n", "bits")
+    t = t.join(signatures.select("node", "bits"), "node")
+    named = ["tile", "kind", "low_band", "high_band", "low", "high"]
 
     def run(pdf):
         import pandas as pd
-        named = ["tile", "kind", "low", "high"]
         pdf = pdf.sort_values([*named, "side", "n", "node"], kind="stable")
         group = np.cumsum(np.r_[0, (np.diff(pdf[named].to_numpy(), axis=0) != 0).any(axis=1)])
         size, part, node, leads, side = (pdf[c].to_numpy() for c in ("n", "part", "node", "leads", "side"))
-        alone = ((pdf["kind"] == 0) & (pdf["low"] == pdf["high"])).to_numpy()  # a block with itself
+        alone = ((pdf["kind"] == 0) & (pdf["low"] == pdf["high"])
+                 & (pdf["low_band"] == pdf["high_band"])).to_numpy()  # a block with itself
         raw = [np.frombuffer(x, np.uint64) for x in pdf["bits"]]
         width = np.array([len(x) for x in raw])
         stacked = {w: folded_rows(raw, width, w) for w in np.unique(width)}
@@ -460,7 +488,7 @@ def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, perce
         pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
         return pairs.drop_duplicates()
 
-    bucket = F.pmod(F.xxhash64("tile", "kind", "low", "high"), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64(*named), F.lit(buckets))
     return t.groupBy(bucket.alias("bucket")).applyInPandas(run, "a long, b long").distinct()
 
 
