@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from ..operators.anomalies import compute_anomalies
 from ..operators.opponents import opponent_allowed, opponent_ranks
-from ..operators.positions import materialize
 from ..operators.upsert import read_table, upsert_table
 from ..operators.versioned import VersionedTable
 from ..schemas import BRONZE_KEYS, BRONZE_TEXT_SCHEMA
-from ..sources.ingest import bronze_status, incremental, isolated_load, path_exists
+from ..sources.feed import ATTEMPTS, BASE_SLEEP, feed_load
+from ..sources.ingest import bronze_status, incremental, path_exists
 from . import quality as dq
 from .catalog import create_views, init_namespaces, register_tables
 from .features import features_last5, player_features, typed_raw
@@ -39,11 +39,11 @@ def now_text() -> str:
 
 def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], root: str,
                   as_of: str, lookback_days: int = 14, full_refresh: bool = False,
-                  batch_ts: str | None = None) -> dict:
+                  batch_ts: str | None = None, attempts: int = ATTEMPTS, base_sleep: float = BASE_SLEEP) -> dict:
     """Run the warehouse layers; returns the paths and the check report.
 
     ``batch_ts`` is the batch's ingestion instant (default: now).  A season that
-    cannot be read is recorded and the others proceed.  Without any readable
+    cannot be read after ``attempts`` attempts is recorded and the others proceed.  Without any readable
     season and without a bronze table the run ends after bronze, with a
     'warning' row; with a bronze table the later layers run on it.  Silver is
     partitioned by season and only seasons that changed since it was made are
@@ -56,14 +56,14 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
     feed_schema = type(BRONZE_TEXT_SCHEMA)([f for f in BRONZE_TEXT_SCHEMA.fields
                                             if f.name not in ("SEASON", "INGESTED_AT")])
     with run_layer(log, "bronze") as run:
-        res = isolated_load(spark, landing, seasons, schema=feed_schema, batch_ts=batch_ts or now_text())
+        first = None if full_refresh else (dt.date.fromisoformat(as_of) - dt.timedelta(days=lookback_days)).isoformat()
+        res = feed_load(spark, landing, seasons, feed_schema, batch_ts or now_text(), first, None if full_refresh else as_of,
+                        attempts, base_sleep)
         run.status, run.message = bronze_status(list(seasons), res.failed)
         run.rows = 0
         if res.frame is not None:
             batch = incremental(res.frame, as_of, lookback_days, full_refresh)
-            batch = batch.select(*[f.name for f in BRONZE_TEXT_SCHEMA.fields])
-            # Written once: its rows and the merge come from one reading of the feed.
-            batch = materialize(batch, "bronze-batch")
+            batch = batch.select(*[f.name for f in BRONZE_TEXT_SCHEMA.fields])  # the feed was stored when read
             run.rows = batch.count()
             upsert_table(spark, paths["bronze"], batch, BRONZE_KEYS)
     out = {**paths, "checks": None, "failed_seasons": res.failed}

@@ -414,6 +414,25 @@ def q_bronze_status(spark, sf):
         F.lit(msg).cast("string").alias("error_message"))
 
 
+def q_feed_read(spark, sf):
+    """The lookback window as the feed's data source gives it."""
+    from ..sources.feed import feed_load
+    root = _landing(spark, sf)
+    res = feed_load(spark, root, landing_seasons(spark, root), FEED_SCHEMA, FIXTURE_INGESTED_AT, "2001-07-18", AS_OF)
+    return res.frame.select(*BRONZE_COLS)
+
+
+def q_feed_retry(spark, sf):
+    """Files and failures per season of a feed with an unreadable and a missing one."""
+    from ..sources.feed import read_feed
+    root = scratch_path(spark, "landing-junk")
+    ingest.write_landing(bronze_log(spark, sf), root)
+    spark.createDataFrame([("not a table",)], "value string").coalesce(1).write.text(f"{root}/SEASON={MISSING_SEASON}")
+    got = read_feed(spark, root, landing_seasons(spark, root) + ["1901"], FEED_SCHEMA, attempts=3, base_sleep=0.05)
+    return got.groupBy("SEASON").agg(F.count_if(F.col("_error").isNull()).alias("rows"), F.max("_attempts").alias("attempts"),
+                                     F.max(F.col("_error").isNotNull()).alias("failed"))
+
+
 def q_create_like(spark, sf):
     path = scratch_path(spark, "bronze-like")
     ups.create_like(spark, path, bronze_log(spark, sf))
@@ -619,7 +638,7 @@ def q_warehouse_job(spark, sf):
                        ("one unreadable", landing("landing-junk", True, [MISSING_SEASON])),
                        ("all unreadable", landing("landing-bad", False, [MISSING_SEASON]))):
         run = warehouse_job(spark, root, landing_seasons(spark, root), scratch_path(spark, "warehouse"),
-                            AS_OF, full_refresh=True)
+                            AS_OF, full_refresh=True, attempts=2, base_sleep=0.05)
         log = spark.read.parquet(run["run_log"]).select(
             F.lit(case).alias("case"), "layer", "status", "rows_processed")
         out = log if out is None else out.unionByName(log)
@@ -701,6 +720,8 @@ QUERIES.update({
     "full_refresh": q_full_refresh,
     "isolated_load": q_isolated_load,
     "bronze_status": q_bronze_status,
+    "feed_read": q_feed_read,
+    "feed_retry": q_feed_retry,
     "create_like": q_create_like,
     "duplicate_keys": q_duplicate_keys,
     "upsert": q_upsert,
