@@ -20,7 +20,8 @@
    are dealt over blocks, and each pair of blocks with such pairs meets in a
    group of its own: there each node is compared with the band of nodes that the
    size bound leaves to it, and the hashed bitmaps' bit counts bound the overlap
-   from above.
+   from above: folded bitmaps first, which travel with the tiles' rows, then
+   whole ones for the pairs that pass.
 4. Pairs that pass are checked exactly by intersecting the sorted sets.
 
 Entries move between tasks as packed arrays.  A shingle that very many nodes
@@ -435,6 +436,24 @@ def dealt(tiles: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int,
     return near_blocks, rows.select("tile", "g.*", "node", "part", "leads", "n")
 
 
+#: A node's rows in the tiles carry its bitmap folded to one in so many bits; pairs that
+#: pass are held against the whole bitmaps.
+COARSE = 4
+
+
+def coarse(nodes: DataFrame) -> DataFrame:
+    """(node, n, bits) with folded bitmaps."""
+
+    def run(batches):
+        for b in batches:
+            bits = [folded(w, max(1, len(w) // COARSE)).tobytes()
+                    for w in (np.frombuffer(x, np.uint64) for x in b.column("bits").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(bits, pa.binary())],
+                                             names=["node", "n", "bits"])
+
+    return stage(nodes.select("node", "n", "bits").mapInArrow(run, "node long, n long, bits binary"), "coarse")
+
+
 def cross_pairs(tiles: DataFrame, parts: DataFrame, signatures: DataFrame, percent: int,
                 block: int, buckets: int) -> DataFrame:
     """Pairs of one tile, from different components, that size and bitmap allow.
@@ -545,8 +564,8 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         found = links(possible(pairs, nodes, percent))
         first = first.unionByName(found)
     parts = connected_components(first, "a", "b")
-    second = links(cross_pairs(tiles, parts, nodes.select("node", "n", "bits"), percent, block,
-                               shuffle_partitions(spark)))
+    met = stage(cross_pairs(tiles, parts, coarse(nodes), percent, block, shuffle_partitions(spark)), "met")
+    second = links(possible(met, nodes, percent))
     comps = connected_components(first.unionByName(second), "a", "b")
 
     named = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
