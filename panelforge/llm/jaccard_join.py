@@ -436,9 +436,9 @@ def dealt(tiles: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int,
     return near_blocks, rows.select("tile", "g.*", "node", "part", "leads", "n")
 
 
-#: A node's rows in the tiles carry its bitmap folded to one in so many bits; pairs that
-#: pass are held against the whole bitmaps.
-COARSE = 4
+#: A node's rows in the tiles carry its bitmap folded to one in so many bits, but not
+#: below so many 64-bit words; pairs that pass are held against the whole bitmaps.
+COARSE, COARSE_WORDS = 4, 32
 
 
 def coarse(nodes: DataFrame) -> DataFrame:
@@ -446,7 +446,7 @@ def coarse(nodes: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            bits = [folded(w, max(1, len(w) // COARSE)).tobytes()
+            bits = [folded(w, max(min(len(w), COARSE_WORDS), len(w) // COARSE)).tobytes()
                     for w in (np.frombuffer(x, np.uint64) for x in b.column("bits").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(bits, pa.binary())],
                                              names=["node", "n", "bits"])
