@@ -14,23 +14,35 @@ from panelforge.llm.common import stage, table
 from panelforge.llm.queries import tokenizer_path
 
 
+#: Rows of an Arrow batch: whole documents travel in them, several batches per task at once.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the combined rules reject go."""
+    _small_batches(spark)
     return quality_rules.good_rows(docs)
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from the labelled raw documents."""
+    _small_batches(spark)
     return quality_knn.good_rows(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
+    _small_batches(spark)
     return jaccard_join.one_per_class(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in an order that mixes the sources to their target weights."""
+    _small_batches(spark)
     return mixing.in_mixed_order(docs)
 
 
@@ -44,6 +56,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A scan returns files and their splits in any order and the documents have
     no column for their slot, so the slots, which depend on nothing but the
     documents, are computed again."""
+    _small_batches(spark)
     return packing.pack_documents(mixing.in_mixed_order(docs), tokenizer_path(), run_rows=RUN_ROWS)
 
 
