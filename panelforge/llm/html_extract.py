@@ -7,7 +7,9 @@ furniture (``nav``, ``class="sidebar"``...), how many announce the article,
 and whether the page announces an article at all.  A small decision tree,
 grown from the labelled table below, says which blocks are main text.  So a
 page without any helpful markup is judged by words and links of neighbouring
-blocks alone.
+blocks alone.  A class name is a weak mark: one that only states something of
+the page (``has-sidebar``, ``no-comments``) counts for nothing, and where no
+block is left, the marks around the largest article are taken back.
 
 Pages are independent of each other: one pass, no shuffle.
 """
@@ -187,52 +189,81 @@ paywall popup promo promoted promotion recommended recommendations related repli
 responses search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe
 subscription toolbar topbar trending widget widgets""".split())
 ARTICLE = frozenset("article articlebody entry post story main".split())
-
-TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+#: A name with one of these tells what a page has or lacks, not what an element is.
+STATES = frozenset("has have no non none not with without".split())
+#: Silent elements that never hold their like: one without an end tag ends at the next block.
+UNNESTED = frozenset("button select datalist canvas audio video".split())
+CHOICES = frozenset("option optgroup hr".split())
+#: What an open element ends besides p, where it is the innermost open block.
+ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"),
+        "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+
+TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 HINTS = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element announces furniture, and whether it announces the article."""
+def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is furniture by its kind, whether it only announces
+    furniture (a name, or a form, which may hold a whole page), and whether it
+    announces the article."""
+    if tag in ("html", "body"):
+        return False, False, False
     words = set()
     for m in HINTS.finditer(attributes):
-        words |= set(re.split(r"[^a-z]+", CAMEL.sub(" ", m[1] or m[2] or m[3] or "").lower()))
+        for name in (m[1] or m[2] or m[3] or "").split():
+            parts = set(re.split(r"[^a-z]+", CAMEL.sub(" ", name).lower()))
+            if not parts & STATES:
+                words |= parts
     article = tag in ("article", "main") or bool(words & ARTICLE)
-    if tag in ("html", "body"):
-        return False, False
+    if tag == "main":
+        return False, False, True
     bad = words & FURNITURE
     if article and bad == {"header"}:  # the article's own heading
         bad = set()
-    furniture = (tag in FURNITURE_TAGS or bool(bad) or tag == "header" and not in_article
-                 or bool(HIDDEN.search(attributes)))
-    if tag == "main":
-        furniture = False
-    return furniture, article and not furniture
+    hard = (tag in FURNITURE_TAGS and tag != "form" or tag == "header" and not in_article
+            or bool(HIDDEN.search(attributes)))
+    soft = not hard and (bool(bad) or tag == "form")
+    return hard, soft, article and not hard and not soft
 
 
-def blocks(html: str) -> list[tuple]:
-    """(text, words, words inside links, furniture, article) of each block with a word."""
+def parse(html: str) -> tuple[list[tuple], list[int]]:
+    """The blocks with a word, and the announcements of furniture.
+
+    A block: (text, words, words inside links, elements around it that are
+    furniture by kind, its innermost announcement, articles around it,
+    innermost announcement around the innermost article).  Announcements are
+    numbered from 1 in page order; the list gives the one around each.  Takes
+    time in proportion to the page."""
     out, texts, stack = [], [], []
-    furniture = article = silent = links = 0
+    open_blocks, open_tags = [], {}  # places in the stack; open elements of each tag
+    above, softs, articles = [0], [0], []
+    hard = silent = links = 0
     words_linked = 0
 
     def flush():
         nonlocal texts, words_linked
         text = " ".join("".join(texts).split())
         if text:
-            out.append((text, text.count(" ") + 1, words_linked, furniture, article))
+            out.append((text, text.count(" ") + 1, words_linked, hard, softs[-1], len(articles),
+                        articles[-1] if articles else -1))
         texts, words_linked = [], 0
 
     def close(k: int):
-        nonlocal furniture, article, silent, links
+        nonlocal hard, silent, links
         while len(stack) > k:
-            tag, f, a = stack.pop()
-            furniture -= f
-            article -= a
-            silent -= tag in SILENT
+            tag, h, s, a, quiet = stack.pop()
+            open_tags[tag] -= 1
+            hard -= h
+            silent -= quiet
             links -= tag == "a"
+            if s:
+                softs.pop()
+            if a:
+                articles.pop()
+        while open_blocks and open_blocks[-1] >= k:
+            open_blocks.pop()
 
     def text(part: str):
         nonlocal words_linked
@@ -245,6 +276,7 @@ def blocks(html: str) -> list[tuple]:
                 words_linked += len(part.split())
 
     at, n = 0, len(html)
+    unended = []  # places of silent elements without an end tag
     while at < n:
         lt = html.find("<", at)
         if lt < 0:
@@ -271,22 +303,22 @@ def blocks(html: str) -> list[tuple]:
         elif tag == "br":
             texts.append(" ")
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
+            if open_tags.get(tag):  # all that the search passes is closed
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
+                close(k)
             continue
         if stack and stack[-1][0] == "head" and tag not in HEAD:
             close(len(stack) - 1)
         if tag in BLOCK:  # an open p ends at the next block, li at the next li, and so on
-            ends = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"),
-                    "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}.get(tag, ())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" or stack[k][0] in ends:
+            while unended and tag not in CHOICES:
+                k = unended.pop()
+                if k < len(stack) and stack[k][0] in UNNESTED:
                     close(k)
-                    break
-                if stack[k][0] in BLOCK:
-                    break
+            if open_blocks and (stack[open_blocks[-1]][0] == "p"
+                                or stack[open_blocks[-1]][0] in ENDS.get(tag, ())):
+                close(open_blocks[-1])
         if tag == "body":
             close(0)
         if tag in VOID:
@@ -296,29 +328,73 @@ def blocks(html: str) -> list[tuple]:
             at = n if end is None else end.start()
             if end is None:
                 break
-        f, a = _marks(tag, attributes, article > 0)
-        stack.append((tag, int(f), int(a)))
-        furniture += f
-        article += a
+        if tag in UNNESTED:
+            other = re.compile(rf"<(/?){tag}(?=[\s/>])", re.I).search(html, at)
+            if other is None or not other[1]:
+                unended.append(len(stack))
+        h, s, a = _marks(tag, attributes, bool(articles))
+        if tag in BLOCK:
+            open_blocks.append(len(stack))
+        stack.append((tag, h, s, a, tag in SILENT))
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+        if s:
+            above.append(softs[-1])
+            softs.append(len(above) - 1)
+        if a:
+            articles.append(softs[-1])
+        hard += h
         silent += tag in SILENT
         links += tag == "a"
     flush()
+    return out, above
+
+
+def wrappers(parsed: list[tuple], above: list[int]) -> set[int]:
+    """The announcements around the articles with most words among those that
+    only announcements make furniture; ties go to the first."""
+    words = {}
+    for b in parsed:
+        if not b[3] and b[4] and b[4] == b[6]:
+            words[b[4]] = words.get(b[4], 0) + b[1]
+    out, at = set(), max(words, key=lambda s: (words[s], -s), default=0)
+    while at:
+        out.add(at)
+        at = above[at]
     return out
 
 
+def marked(parsed: list[tuple], above: list[int], void=frozenset()) -> list[tuple]:
+    """(text, words, words inside links, furniture, article) of each block;
+    announcements in ``void`` do not count."""
+    depth = [0]
+    for s in range(1, len(above)):
+        depth.append(depth[above[s]] + (s not in void))
+    return [(*b[:3], b[3] + depth[b[4]], b[5]) for b in parsed]
+
+
+def blocks(html: str) -> list[tuple]:
+    """(text, words, words inside links, furniture, article) of each block with a word."""
+    return marked(*parse(html))
+
+
+def features(found: list[tuple]) -> list[tuple]:
+    """``FEATURES`` of each block."""
+    has_article = int(any(b[4] and not b[3] for b in found))
+    size = [(0, 0.0), *((b[1], 100.0 * b[2] / b[1]) for b in found), (0, 0.0)]
+    return [(*size[i + 1], *size[i], *size[i + 2], b[3], b[4], has_article)
+            for i, b in enumerate(found)]
+
+
 def main_text(html: str, tree) -> tuple[str, int, int]:
     """The main text, the number of blocks and of those kept."""
-    found = blocks(html)
-    has_article = int(any(b[4] and not b[3] for b in found))
-    size = [(b[1], 100.0 * b[2] / b[1]) for b in found]
-    edge = (0, 0.0)
+    parsed, above = parse(html)
     kept = []
-    for i, b in enumerate(found):
-        before = size[i - 1] if i else edge
-        after = size[i + 1] if i + 1 < len(found) else edge
-        if decide(tree, (*size[i], *before, *after, b[3], b[4], has_article)):
-            kept.append(b[0])
-    return "\n\n".join(kept), len(found), len(kept)
+    for void in (lambda: set(), lambda: wrappers(parsed, above)):
+        found = marked(parsed, above, void())
+        kept = [b[0] for b, row in zip(found, features(found)) if decide(tree, row)]
+        if kept:
+            break
+    return "\n\n".join(kept), len(parsed), len(kept)
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -328,7 +404,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     A NULL or empty page, or one without main text, gives an empty text.  Pages
     are read whole.  White space inside a block becomes one space; blocks are
     joined by two newlines.  Repeated rows give repeated results; NULL ids and
-    urls stay NULL; other columns are ignored."""
+    urls stay NULL; other columns are ignored; an empty table gives no rows."""
     tree = trained_tree()
     kind = dict(pages.dtypes)[id_col]
 

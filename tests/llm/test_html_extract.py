@@ -1,6 +1,9 @@
+import time
+
 import pytest
 
-from panelforge.llm.html_extract import LABELLED, blocks, decide, extract_main_text, main_text, trained_tree
+from panelforge.llm.html_extract import (LABELLED, blocks, decide, extract_main_text, features, main_text,
+                                         trained_tree)
 
 TREE = trained_tree()
 LONG = ("This is a paragraph of the article which has enough words to be told from the short pieces around it, "
@@ -61,3 +64,43 @@ def test_a_head_without_end():
                  "<head><link rel=a>\n<title>No</title>\n The text", "<head><noscript><p>no</p></noscript></head><p>The text",
                  "<head><title>No</title><img src=a>The text", "<title>No</title><p>The text"):
         assert [b[0] for b in blocks(page)] == ["The text"], page
+
+
+@pytest.mark.parametrize("opened", [
+    '<div class="has-sidebar"><article>', '<div class="content no-comments"><main>', '<div class="page alert-none"><article>',
+    '<div class="article-search-results"><article>', '<form id=all><div class=search><div class=post>',
+    '<div class="content no-comments">', '<div class="page alert-none">'])
+def test_a_wrapper_does_not_hide_its_article(opened):
+    assert text(f"{opened}<h2>Title</h2><p>{LONG}</p></div>") == f"Title\n\n{LONG}"
+
+
+def test_only_the_largest_article_loses_its_wrapper():
+    page = (f"<div class=layout-sidebar><article><p>{LONG}</p><p>{LONG} too</p></article>"
+            f"<div class=related><article><p>{LONG}</p></article></div></div><nav><article>{LONG * 9}</article></nav>")
+    assert text(page) == f"{LONG}\n\n{LONG} too"
+    story = f"<div><h2>Title</h2><p>{LONG}</p></div><div class=comments><article><p>{LONG * 9}</p></article></div>"
+    assert text(story) == f"Title\n\n{LONG}"
+
+
+@pytest.mark.parametrize("opened", ["<button>Menu", "<select><option>a<option>b", "<button>Menu <button>More", "<video src=a>"])
+def test_silence_without_end(opened):
+    assert text(f"{opened}<article><p>{LONG}</p><p>{LONG}</p></article>") == f"{LONG}\n\n{LONG}"
+    assert text(f"<article><p>{LONG}</p>{opened}<p>{LONG}</p></article>") == f"{LONG}\n\n{LONG}"
+
+
+def test_silence_with_end():
+    assert text(f"<article><p>{LONG}</p><button><div>{LONG}</div></button><select><option>a</select></article>") == LONG
+
+
+def test_time_is_linear():
+    began = time.time()
+    for page in ("<b>" * 60_000 + "</i>" * 60_000, "<b>" * 60_000 + "<hr>" * 60_000, "<button>" * 60_000,
+                 "<div class=ad>" * 30_000 + "<p>x" * 30_000, "<select>" * 30_000 + "<hr>" * 30_000, "<b><p>" * 30_000):
+        blocks(page)
+    assert time.time() - began < 30
+
+
+def test_features_by_hand():
+    page = "<nav><a>one two</a></nav><article><p>a b <a>c d</a></p><div class=ad>e</div></article>"
+    assert features(blocks(page)) == [(2, 100.0, 0, 0.0, 4, 50.0, 1, 0, 1), (4, 50.0, 2, 100.0, 1, 0.0, 0, 1, 1),
+                                      (1, 0.0, 4, 50.0, 0, 0.0, 1, 1, 1)]
