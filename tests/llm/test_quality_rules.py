@@ -57,3 +57,31 @@ def test_stage_keeps_all_columns(spark):
     assert out.schema == df.schema
     kept = quality_verdicts(df).filter("kept").count()
     assert out.count() == kept > 0
+
+
+def test_posterior_against_brute_force():
+    """One text at a time, one rule at a time, plain floats."""
+    rng = np.random.default_rng(8)
+    rows = [tuple(int(v) for v in r) for r in rng.choice([-1, 0, 1], (300, 4), p=[0.1, 0.5, 0.4])]
+    post = {r: (0.98, 0.2)[r.count(-1)] if r.count(-1) < 2 else 0.01 for r in rows}
+    for _ in range(40):
+        like = {r: [1.0, 1.0] for r in post}
+        good = sum(post[r] for r in rows)
+        for rule in range(4):
+            rate = []
+            for cls, prior in enumerate([(0.01, 0.5, 1.5), (0.5, 1.0, 0.5)]):
+                sums = list(prior)
+                for r in rows:
+                    sums[r[rule] + 1] += post[r] if cls == 0 else 1 - post[r]
+                rate.append([x / sum(sums) for x in sums])
+            over = max(rate[0][0] - 0.002, 0)
+            rate[0] = [rate[0][0] - over, rate[0][1], rate[0][2] + over]
+            for r in like:
+                for cls in range(2):
+                    like[r][cls] *= rate[cls][r[rule] + 1]
+        share = (good + 9) / (len(rows) + 10)
+        post = {r: share * a / (share * a + (1 - share) * b) for r, (a, b) in like.items()}
+        post = {r: p if -1 in r else max(p, 0.98) for r, p in post.items()}
+    patterns, counts = np.unique(rows, axis=0, return_counts=True)
+    got = em(patterns, counts.astype(float), rounds=40, tol=0)[0]
+    assert all(abs(g - post[tuple(p)]) < 1e-9 for g, p in zip(got, patterns.tolist()))
