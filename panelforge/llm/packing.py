@@ -219,7 +219,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
     packed one by one, so repeated rows and ids give their own pieces; a NULL
     id stays NULL.  Sequence ids are unique, not dense: the partition's number
     is in the bits from 40 up.  ``pool`` bounds the pieces that wait in a
-    partition, not what is packed.
+    partition, not what is packed.  A very long text is encoded whole and
+    cut into whole windows.  An empty table gives no rows; other columns are ignored.
 
     With ``run_rows``, sequence ids follow the order of the rows: each run of so
     many rows of a partition is packed before the next one, so that a row's

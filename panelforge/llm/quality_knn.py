@@ -117,7 +117,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | N
     Labels come from rows whose crc32(id as text) mod ``mod`` is not ``held``,
     at most ``sample`` of them, with the texts of ``train_docs`` (default:
     ``docs``).  A NULL text counts as empty and is scored like any other.
-    Equal texts get equal scores.  Without labels the score is 0.5."""
+    Equal texts get equal scores.  Texts are scored whole.  Without labels the
+    score is 0.5; an empty table gives no rows; other columns are ignored."""
     model = fit_quality(docs if train_docs is None else train_docs, labels, id_col, text_col, label,
                         mod, held, sample, directions)
     rows = two(docs, id_col, text_col).withColumn("_held", remainder("_id", mod) == held)

@@ -72,8 +72,11 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Writes ``docs`` as Parquet with one folder per shard below ``path``, and
     returns the directory: ``shard``, ``depth``, ``rows``, ``bytes``.  Rows join
-    their shard by id, so ids should be unique here."""
+    their shard by id, so ids (NULL is one) must be unique: repeated ones raise
+    ``ValueError`` before anything is written."""
     placed = stage(assign_shards(docs, id_col, text_col, shard_bytes), "shards")
+    if placed.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        raise ValueError(f"write_shards needs unique ids, {id_col} has repeated ones")
     named = docs.join(placed.select(F.col("doc_id").alias("_id"), F.concat(F.lit("s"), "shard").alias("shard_id")),
                       F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id")
     named.repartition("shard_id").write.partitionBy("shard_id").parquet(path)

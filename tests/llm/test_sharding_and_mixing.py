@@ -96,3 +96,11 @@ def test_mix_keeps_every_row(spark):
     assert s.filter("source = 's1' and _slot is null").count() == 0
     assert s.filter("source <> 's1' and _slot is not null").count() == 0
     assert in_mixed_order(df, w).count() == df.count()
+
+
+def test_shards_of_repeated_ids_are_refused(spark, tmp_path):
+    for ids in ((1, 2, 1), (None, 3, None)):
+        df = spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string")
+        with pytest.raises(ValueError, match="unique"):
+            write_shards(df, str(tmp_path / "refused"))
+        assert not (tmp_path / "refused").exists()
