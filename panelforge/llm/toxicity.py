@@ -193,7 +193,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     Labels come from rows whose crc32(id as text) mod ``mod`` is not ``held``,
     at most ``sample`` of each class.  A NULL or empty text has no sentence and
-    scores 0.  Equal texts get equal scores.  Without labels nothing is toxic."""
+    scores 0.  Equal texts get equal scores.  Without labels nothing is toxic;
+    an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(
         fit_toxicity(docs, labels, id_col, text_col, label, mod, held, sample))  # 2 ** FEATURE_BITS floats
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
