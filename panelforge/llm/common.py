@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,9 +55,19 @@ def slices(batches, *columns: str):
         yield (*(piece.column(c).to_pylist() for c in columns[:-1]), last)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker is kept after a task, and
+    what its allocators hold would count beside the memory of the next stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
 def parts(batches, column: str = "_text", chars: int = SLICE_CHARS):
     """Pieces of Arrow batches with the column's values as a list, of at most
     ``chars`` characters or one row."""
+    give_back()
     for b in batches:
         ends = np.cumsum(pc.utf8_length(b.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
         start = 0
