@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+from ..operators.versioned import VersionedTable
+
 # The three layer namespaces.
 NAMESPACES = ("bronze", "silver", "gold")
 
@@ -38,6 +40,13 @@ def register_tables(spark: SparkSession, paths: dict[str, str], schemas: dict[st
                       args={"value": unescape(value), "folder": folder})
 
 
+def register_versioned(spark: SparkSession, paths: dict[str, str], partition_col: str) -> None:
+    """Make the live versions of versioned tables readable as ``layer.name``."""
+    tables = {name: VersionedTable(spark, path, partition_col) for name, path in paths.items()}
+    register_tables(spark, paths, {n: t.schema() for n, t in tables.items()},
+                    {n: {p: f"{t.path}/{p}/{v}" for p, v in t.manifest()["parts"].items()} for n, t in tables.items()})
+
+
 #: Stored views over ``silver.player_game_logs``, in dependency order.
 VIEWS = {
     "gold.opponent_allowed": """

@@ -59,7 +59,7 @@ def player_features(silver: DataFrame, strategy: str = "positions",
             rolled = rolling_over_positions(base, ["player_id"], means, W_LEADS)
         else:
             rolled = rolling_features(base, ["player_id"], W_ORDER, means, W_LEADS, "window")
-        return _join_ranks(rolled, opponent_ranks(opponent_allowed(ranks_src)), window)
+        return join_ranks(rolled, opponent_ranks(opponent_allowed(ranks_src)), window)
     if strategy == "positions":
         # one materialisation of the rows; ranks and windows both scan it
         base = position_rows(base, ["player_id"], W_ORDER)
@@ -68,10 +68,11 @@ def player_features(silver: DataFrame, strategy: str = "positions",
     else:
         ranks = opponent_ranks(opponent_allowed(silver))
         rolled = rolling_features(base, ["player_id"], W_ORDER, means, W_LEADS, strategy)
-    return _join_ranks(rolled, ranks, window)
+    return join_ranks(rolled, ranks, window)
 
 
-def _join_ranks(rolled: DataFrame, ranks: DataFrame, window: int) -> DataFrame:
+def join_ranks(rolled: DataFrame, ranks: DataFrame, window: int = 3) -> DataFrame:
+    """gold.player_features from its rows with windows and the opponents' ranks."""
     r = ranks.select(F.col("season").alias("_r_season"), F.col("team").alias("_r_team"),
                      "opp_pts_allowed_rank", "opp_reb_allowed_rank", "opp_ast_allowed_rank")
     joined = join_small(rolled, r, [("season", "_r_season"), ("opponent_team", "_r_team")], "left")

@@ -25,8 +25,9 @@ from ..schemas import BRONZE_KEYS, BRONZE_TEXT_SCHEMA
 from ..sources.feed import ATTEMPTS, BASE_SLEEP, feed_load
 from ..sources.ingest import bronze_status, incremental, path_exists
 from . import quality as dq
-from .catalog import create_views, init_namespaces, register_tables
-from .features import features_last5, player_features, typed_raw
+from .catalog import create_views, init_namespaces, register_versioned
+from .features import features_last5, typed_raw
+from .gold import refresh_gold
 from .model import MAX_DEPTH, NUM_TREES, train_model
 from .runlog import RunLog, run_layer
 from .silver import silver
@@ -47,7 +48,8 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
     season and without a bronze table the run ends after bronze, with a
     'warning' row; with a bronze table the later layers run on it.  Silver is
     partitioned by season and only seasons that changed since it was made are
-    rewritten, by this run or by an earlier one that died."""
+    rewritten, by this run or by an earlier one that died; of gold, only seasons in
+    which a value changes."""
     init_namespaces(spark)
     log = RunLog(spark, f"{root}/run_log")
     log.create()
@@ -75,32 +77,24 @@ def warehouse_job(spark: SparkSession, landing: str, seasons: Sequence[str], roo
         run.rows = s.count()  # file footers only
     with run_layer(log, "gold") as run:
         ranks = opponent_ranks(opponent_allowed(s))
-        # Range-partitioned and sorted by the dashboard's filter key: Parquet
-        # min/max statistics then let a player-name filter skip almost every
-        # file and row group.  game_id completes the key, so a hot player
-        # still spreads over several files.  All of gold is rewritten: a new
-        # row moves its season's ranks and its player's means and targets.
-        # The write itself counts the rows and evaluates gold's checks.
-        order = ["player_name", "game_date", "game_id"]
-        feats = player_features(s)
-        on_gold = [c for c in dq.warehouse_checks(s, feats) if c.table is feats]
-        rows, values = dq.observed_write(
-            feats.repartitionByRange(*order).sortWithinPartitions(*order),
-            lambda df: df.write.mode("overwrite").parquet(paths["gold"]), on_gold)
-        gold = spark.read.parquet(paths["gold"])
-        run.rows = ranks.count() + rows
-    parts = VersionedTable(spark, paths["silver"], "season").manifest()["parts"]
-    register_tables(spark, {"silver.player_game_logs": paths["silver"],
-                            "gold.player_features": paths["gold"]},
-                    {"silver.player_game_logs": s.schema, "gold.player_features": gold.schema},
-                    {"silver.player_game_logs": {p: f"{paths['silver']}/{p}/{v}" for p, v in parts.items()}})
+        # Only seasons in which a value changes are rewritten.  A first build
+        # evaluates gold's checks while it writes, later runs over the rank columns.
+        def on_gold(df):
+            return [c for c in dq.warehouse_checks(s, df) if c.table is df]
+
+        gold, values = refresh_gold(spark, paths["silver"], paths["gold"], on_gold)
+        run.rows = ranks.count() + gold.count()  # gold: file footers only
+    register_versioned(spark, {"silver.player_game_logs": paths["silver"], "gold.player_features": paths["gold"]}, "season")
     create_views(spark)
     with run_layer(log, "quality"):
         n_bronze = read_table(spark, paths["bronze"]).count()
-        on_silver = [c for c in dq.warehouse_checks(s, feats) if c.table is s] + [
+        on_silver = [c for c in dq.warehouse_checks(s, gold) if c.table is s] + [
             dq.Check("silver has bronze's rows", s, dq.has_rows(), lambda v: v == F.lit(n_bronze))]
         row = s.agg(*[c.value.cast("bigint").alias(f"v{i}") for i, c in enumerate(on_silver)]).first()
-        out["checks"] = dq.assert_checks(dq.measured_report(spark, [*zip(on_gold, values), *zip(on_silver, row)]))
+        checks = on_gold(gold)
+        if values is None:
+            values = gold.agg(*[c.value.cast("bigint").alias(f"v{i}") for i, c in enumerate(checks)]).first()
+        out["checks"] = dq.assert_checks(dq.measured_report(spark, [*zip(checks, values), *zip(on_silver, row)]))
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.upsert import read_table
 from ..schemas import RECENT_GAME_COLS
 
 
@@ -34,10 +35,9 @@ def recent_games_from_silver(silver: DataFrame, player: str, n: int = 50,
 
 
 def recent_games_from_table(spark, gold_path: str, player: str, n: int = 50) -> DataFrame:
-    """Recent games read from the materialised gold table: the name filter
-    is pushed to the Parquet scan (row groups outside the name's min/max
-    range are skipped)."""
-    return recent_games(spark.read.parquet(gold_path), player, n)
+    """Recent games read from the stored gold table: the name filter is pushed
+    to the Parquet scan (row groups outside the name's min/max range are skipped)."""
+    return recent_games(read_table(spark, gold_path), player, n)
 
 
 def recent_games_sql(spark, table: str, player: str, n: int = 50) -> DataFrame:
