@@ -2,7 +2,8 @@
 
 The merge is one full outer join on the key, so target and batch are each
 shuffled once by key; keys are unique on both sides, so there is no hot
-join key.  A key present twice in the batch is an error (as a unique
+join key.  A batch of a checked size is broadcast instead and the target is not
+shuffled at all.  A key present twice in the batch is an error (as a unique
 constraint would refuse it); the check is a window count on the same key
 partitioning the join uses, so it costs no extra shuffle, and it raises
 inside the job.  Rows with a NULL key part never match (SQL equality) and
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_path, scratch_path
+from .joins import BROADCAST_BYTES, BROADCAST_ROWS, stored_bytes
 from .versioned import VersionedTable
 
 DEFAULT_UPDATE = ("INGESTED_AT",)
@@ -52,13 +54,19 @@ def with_own_group(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str] | None = DEFAULT_UPDATE,
-           check_duplicates: bool = True, allow_missing: bool = False) -> DataFrame:
+           check_duplicates: bool = True, allow_missing: bool = False,
+           broadcast_batch: bool = False) -> DataFrame:
     """Merged rows: target rows without a batch match unchanged; matched
     rows take ``update_cols`` from the batch (``None`` = every non-key
     column) and keep the rest; batch rows with new keys are inserted.
 
     Columns are matched by name; the result has the target's columns.  With
     ``allow_missing`` a column absent from the batch is NULL there.
+
+    ``broadcast_batch`` (for a batch of a checked size) gives the same rows without a
+    shuffle of the target: its rows are updated in place by a broadcast join, and
+    the batch's new rows are those whose key a second scan, of the target's key
+    columns only, does not find.
     """
     cols = target.columns
     missing = [c for c in cols if c not in batch.columns]
@@ -70,12 +78,20 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
         b = guard_unique(b, keys)
     upd = set(cols) - set(keys) if update_cols is None else set(update_cols)
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_t_in"))
+    new = b
     b = b.select(*[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_b_in"))
     cond = None
     for k in keys:
         e = F.col(f"_t_{k}") == F.col(f"_b_{k}")
         cond = e if cond is None else cond & e
-    j = t.join(b, cond, "full_outer")
+    if broadcast_batch:
+        wanted = F.broadcast(b.select(*[f"_b_{k}" for k in keys]))
+        # the target's keys are unique: at most the batch's rows
+        seen = t.join(wanted, cond, "left_semi").select(*[F.col(f"_t_{k}").alias(k) for k in keys])
+        new = new.join(F.broadcast(seen), list(keys), "left_anti").select(*cols)
+        j = t.join(F.broadcast(b), cond, "left")
+    else:
+        j = t.join(b, cond, "full_outer")
     t_in, b_in = F.col("_t_in").isNotNull(), F.col("_b_in").isNotNull()
     out = []
     for c in cols:
@@ -86,7 +102,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
             out.append(F.when(b_in, bc).otherwise(tc).alias(c))
         else:
             out.append(F.when(t_in, tc).otherwise(bc).alias(c))
-    return j.select(*out)
+    merged = j.select(*out)
+    return merged.unionByName(new) if broadcast_batch else merged
 
 
 def create_like(spark: SparkSession, path: str, like: DataFrame) -> bool:
@@ -132,7 +149,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
 
     The table's columns decide: a column that the batch lacks keeps its stored
     value in matched rows and is NULL in inserted ones; a column that only the
-    batch has is an error.  The batch is computed once, into a staging table that
+    batch has is an error.  A batch below the bounds of ``joins`` is broadcast.  The batch is computed once, into a staging table that
     is dropped at the end.  Only the partitions the batch touches, the NULL
     partition included, are read, merged and written, as new folders beside the
     old ones; one manifest then switches all of them.  A failure before that,
@@ -164,7 +181,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
             touched = [f for f in map(table.folder, values) if f in live]
             old = table.read(touched) if touched else None
         # Without old rows the merge is the batch itself.
-        rows = guard_unique(batch, keys) if old is None else upsert(old, batch, keys, update)
+        small = stored_bytes(batch) <= BROADCAST_BYTES and batch.count() <= BROADCAST_ROWS  # file footers only
+        rows = guard_unique(batch, keys) if old is None else upsert(old, batch, keys, update, broadcast_batch=small)
         table.replace(rows, check=check)
     finally:
         drop_path(spark, staging)
