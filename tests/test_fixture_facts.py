@@ -138,3 +138,13 @@ def test_forest_beats_mean_predictor(spark, gl):
     mean_y = preds.agg(F.avg("PTS_NEXT_GAME")).first()[0]
     base = regression_metrics(preds.withColumn("mu", F.lit(mean_y)), "PTS_NEXT_GAME", "mu").first()
     assert m["n"] == 265 and m["mae"] < base["mae"] * 1.05
+
+
+def test_order_measures_move_lineitem_once(spark):
+    from panelforge.sources.fixtures import order_measures
+    li = spark.createDataFrame([(1, 5.0, 1, 2, 3), (1, 6.0, 1, 2, 4), (1, 7.0, 2, None, 4), (2, 1.0, 1, None, None),
+                                (None, 9.0, 1, 1, 1)],
+                               "l_orderkey long, l_quantity double, l_linenumber int, l_suppkey long, l_partkey long")
+    got = order_measures(li)
+    assert got._jdf.queryExecution().sparkPlan().toString().count("Expand") == 0
+    assert {(r["l_orderkey"], r["q"], r["n"], r["ns"], r["np"]) for r in got.collect()} == {(1, 18, 3, 1, 2), (2, 1, 1, 0, 0)}
