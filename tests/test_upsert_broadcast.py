@@ -89,3 +89,17 @@ def test_a_large_batch_is_joined_by_a_shuffle(spark, monkeypatch):
             ups.upsert_table(spark, path, table(spark, random.Random(7), keys, stamp), KEYS, None)
         tables.append(content(ups.read_table(spark, path)))
     assert used == [True, False] and tables[0] == tables[1]
+
+
+def test_a_first_load_shuffles_keys_only(spark, tmp_path, monkeypatch):
+    """A duplicate is refused, and the rows of a first load are written as they were staged."""
+    import pytest
+    from panelforge.operators import upsert as ups
+    monkeypatch.setattr(ups, "guard_unique", lambda *a: pytest.fail("whole rows are shuffled for the check"))
+    good = spark.createDataFrame([("1", "a", 1, "x"), ("1", "b", 1, "y"), (None, "b", 1, "z"), (None, "b", 1, "z")],
+                                 "SEASON string, GAME_ID string, PLAYER_ID int, INGESTED_AT string")
+    out = ups.upsert_table(spark, str(tmp_path / "t"), good, ["SEASON", "GAME_ID", "PLAYER_ID"])
+    assert out.count() == 4
+    with pytest.raises(Exception, match="duplicate key"):
+        ups.upsert_table(spark, str(tmp_path / "t"), good.unionAll(good), ["SEASON", "GAME_ID", "PLAYER_ID"])
+    assert out.count() == 4
